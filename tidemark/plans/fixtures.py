@@ -136,6 +136,18 @@ def pa0001_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pa0008_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze basic pay: dates as text, open ends as 31.12.9999."""
+    k, c, d = _ocols()
+    end = F.when(_m(k, 3), F.lit("31.12.9999")).otherwise(_date_text(F.date_add(d, 364), k + 5))
+    return table(spark, sf_dir, "orders").select(
+        c.alias("Pers.No."),
+        _date_text(d, k + 6).alias("Start Date"),
+        end.alias("End Date"),
+        F.substring("o_orderpriority", 1, 1).alias("PS group"),
+    )
+
+
 def zpost_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze position-cost report: dates and amounts as text."""
     k, c, d = _ocols()
@@ -233,6 +245,14 @@ PA0001_BRONZE_SQL = f"""SELECT
 FROM orders"""
 
 
+PA0008_BRONZE_SQL = f"""SELECT
+    {_C} AS "Pers.No.",
+    {_date_text_sql(_D, _K + ' + 6')} AS "Start Date",
+    CASE WHEN {_K} % 3 = 0 THEN '31.12.9999' ELSE {_date_text_sql(_D + ' + 364', _K + ' + 5')} END AS "End Date",
+    substr(o_orderpriority, 1, 1) AS "PS group"
+FROM orders"""
+
+
 def _amount_text_sql(i: int) -> str:
     return (f"CASE WHEN ({_K} + {i}) % 41 = 0 THEN ' ' "
             f"ELSE format('{{:,.2f}}', o_totalprice - {float(i)}) END")

@@ -1 +1,99 @@
-"""Queries registered in later steps."""
+"""Queries over the Silver cleaning operators (FN1-FN5, PRJ1, FLT1, FLT2, CFG5)."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.functions._col import quote
+from tidemark.functions.dates import OPEN_END_CLAMP, parse_dirty_date
+from tidemark.functions.numbers import parse_dirty_decimal
+from tidemark.functions.text import blank_to_null
+from tidemark.operators import clean as C
+from tidemark.plans import fixtures as fx
+from tidemark.plans.catalog import register
+
+
+def _date_sql(col: str, open_end: bool = False) -> str:
+    clamp = f"WHEN TRIM(\"{col}\") = '31.12.9999' THEN DATE '{OPEN_END_CLAMP.isoformat()}' " if open_end else ""
+    return (f"CASE WHEN TRIM(\"{col}\") IN ('', '00.00.0000') THEN NULL {clamp}"
+            f"ELSE CAST(strptime(TRIM(\"{col}\"), '%d.%m.%Y') AS DATE) END")
+
+
+def _dec_sql(col: str) -> str:
+    return f"CAST(REPLACE(NULLIF(TRIM(\"{col}\"), ''), ',', '') AS DECIMAL(18,2))"
+
+
+@register("clean_dates", "FN1 FN4 FN15",
+          fx.with_fixtures(f"""SELECT "Position", {_date_sql('Start Date')} AS valid_from,
+       {_date_sql('End Date')} AS valid_to FROM b""", b=fx.PA0001_BRONZE_SQL))
+def clean_dates(spark: SparkSession, sf: str) -> DataFrame:
+    b = fx.pa0001_bronze(spark, sf)
+    return b.select("Position", parse_dirty_date("Start Date").alias("valid_from"),
+                    parse_dirty_date("End Date").alias("valid_to"))
+
+
+@register("clean_dates_open_end", "FN2",
+          fx.with_fixtures(f"""SELECT "Pers.No.", {_date_sql('Start Date', True)} AS valid_from,
+       {_date_sql('End Date', True)} AS valid_to FROM b""", b=fx.PA0008_BRONZE_SQL))
+def clean_dates_open_end(spark: SparkSession, sf: str) -> DataFrame:
+    b = fx.pa0008_bronze(spark, sf)
+    return b.select(F.col(quote("Pers.No.")), parse_dirty_date("Start Date", open_end=OPEN_END_CLAMP).alias("valid_from"),
+                    parse_dirty_date("End Date", open_end=OPEN_END_CLAMP).alias("valid_to"))
+
+
+@register("clean_decimals", "FN3 FN5 FN6",
+          fx.with_fixtures('SELECT "Position", ' + ", ".join(
+              f'{_dec_sql(m)} AS "{m}"' for m in C.ZPOST.decimals) + " FROM b", b=fx.ZPOST_BRONZE_SQL))
+def clean_decimals(spark: SparkSession, sf: str) -> DataFrame:
+    b = fx.zpost_bronze(spark, sf)
+    return b.select("Position", *[parse_dirty_decimal(m).alias(m) for m in C.ZPOST.decimals])
+
+
+@register("blank_to_null", "FN4 FN5",
+          fx.with_fixtures("""SELECT "Position", TRIM("Cost Ctr") AS cost_center,
+       NULLIF(TRIM("Org.unit"), '') AS org_unit FROM b""", b=fx.PA0001_BRONZE_SQL))
+def blank_to_null_query(spark: SparkSession, sf: str) -> DataFrame:
+    b = fx.pa0001_bronze(spark, sf)
+    return b.select("Position", F.trim(F.col("`Cost Ctr`")).alias("cost_center"),
+                    blank_to_null("Org.unit").alias("org_unit"))
+
+
+_PA1_SILVER_SQL = f"""SELECT {_date_sql('Start Date')} AS valid_from, {_date_sql('End Date')} AS valid_to,
+       TRIM("Cost Ctr") AS cost_center, NULLIF(TRIM("Org.unit"), '') AS org_unit,
+       * EXCLUDE ("Start Date", "End Date", "Cost Ctr", "Org.unit")
+FROM b"""
+
+
+@register("star_except", "PRJ1 CFG5", fx.with_fixtures(_PA1_SILVER_SQL, b=fx.PA0001_BRONZE_SQL))
+def star_except_query(spark: SparkSession, sf: str) -> DataFrame:
+    """PA0001 Silver template without its filter: typed columns first, the rest passes through."""
+    return C.clean(fx.pa0001_bronze(spark, sf), C.PA0001)
+
+
+@register("org_filter", "FLT1 FLT2 CFG2 CFG5",
+          fx.with_fixtures(_PA1_SILVER_SQL + """
+WHERE TRIM("Pers.No.") <> '' AND TRIM("Position") NOT IN ('', '99999999') AND TRIM("Cost Ctr") <> 'DUMMY'""",
+                           b=fx.PA0001_BRONZE_SQL))
+def org_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The PA0001 Silver job: config filter on the source, then the template."""
+    return C.clean(fx.pa0001_bronze(spark, sf), C.PA0001, where=C.ORG_ASSIGNMENT_FILTER)
+
+
+@register("silver_pa0008", "CFG5 FN1",
+          fx.with_fixtures(f"""SELECT {_date_sql('Start Date')} AS valid_from, {_date_sql('End Date')} AS valid_to,
+       * EXCLUDE ("Start Date", "End Date") FROM b""", b=fx.PA0008_BRONZE_SQL))
+def silver_pa0008(spark: SparkSession, sf: str) -> DataFrame:
+    return C.clean(fx.pa0008_bronze(spark, sf), C.PA0008)
+
+
+@register("silver_zpost", "CFG5 FN1 FN3 PRJ1",
+          fx.with_fixtures("SELECT " + ", ".join(
+              [f"{_date_sql(src)} AS {out}" for out, src in C.ZPOST.dates.items()]
+              + [f'{_dec_sql(m)} AS "{m}"' for m in C.ZPOST.decimals])
+              + ", * EXCLUDE (" + ", ".join(f'"{c}"' for c in [*C.ZPOST.dates.values(), *C.ZPOST.decimals])
+              + ") FROM b", b=fx.ZPOST_BRONZE_SQL))
+def silver_zpost(spark: SparkSession, sf: str) -> DataFrame:
+    return C.clean(fx.zpost_bronze(spark, sf), C.ZPOST)
