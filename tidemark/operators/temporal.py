@@ -14,20 +14,22 @@ every dimension row of that key; with one key holding a third of the rows that i
 in one task.  Instead both sides also carry a time bucket, and the join is an equi-join on
 ``(key, bucket)`` with the overlap as a residual:
 
-* each fact row of length <= W days lives in exactly one bucket, that of its start date;
+* buckets are B days wide; each fact row of length <= L days lives in exactly one bucket,
+  that of its start date;
 * each dimension row is copied into every bucket ``b`` with
-  ``bucket(d.from - W) <= b <= bucket(d.to)`` (clamped to the buckets facts start in).
-  If ``d`` overlaps a short fact ``f`` then ``d.from <= f.to <= f.from + W`` and
+  ``bucket(d.from - L) <= b <= bucket(d.to)`` (clamped to the buckets facts start in).
+  If ``d`` overlaps a short fact ``f`` then ``d.from <= f.to <= f.from + L`` and
   ``d.to >= f.from``, so a copy of ``d`` sits in ``f``'s bucket: every match is found, once;
-* the rare facts longer than W go to one extra bucket (``LONG_BUCKET``) where the
+* the rare facts longer than L go to one extra bucket (``LONG_BUCKET``) where the
   dimension has one more copy, i.e. a plain key join for them;
 * facts that can never match (blank key, NULL date) get a NULL join key and a hashed salt
   as bucket, so they spread over all partitions instead of piling into one and still come
   out of the *same* left join with NULL dimension columns -- one scan of the fact, no union.
 
 All dimensions join on the same ``(key, bucket)`` columns of the fact, so the fact side is
-shuffled once for the whole chain.  Catalyst/AQE choose sort-merge or broadcast per join
-from measured sizes, and AQE splits any (key, bucket) partition that is still skewed.
+shuffled once for the whole chain.  A bucketed dimension is broadcast only when an exact
+measurement of it (one aggregate) is under the broadcast threshold, else the join is a
+sort-merge join; AQE splits any (key, bucket) partition that is still skewed.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ from tidemark.functions.numbers import round2, safe_daily_rate
 
 LONG_BUCKET = -(2 ** 62)       # bucket of facts longer than the bucket width
 _SALT_BUCKETS = 1 << 16        # spread of never-matching facts (negative, disjoint from real buckets)
-_MIN_WIDTH = 7                 # days
+_MIN_WIDTH = 28                # days
 _MAX_COPIES = 256              # target bound on bucket copies of one dimension row
 
 
@@ -71,19 +73,26 @@ class DimSpec:
 
 @dataclass(frozen=True)
 class BucketPlan:
-    width: int                  # W, in days
+    width: int                  # B: bucket width in days
+    short: int                  # L: facts with to - from <= L are "short" (one bucket each)
     lo: int | None              # first bucket a fact starts in (None: no matchable fact)
     hi: int | None
-    has_long: bool              # some matchable fact is longer than W
+    has_long: bool              # some matchable fact is longer than L
+
+    @property
+    def max_copies(self) -> int:
+        """Upper bound of bucket copies of one dimension row."""
+        return (0 if self.lo is None else self.hi - self.lo + 1) + (1 if self.has_long else 0)
 
 
 def plan_buckets(fact: DataFrame, key: str, valid_from: str, valid_to: str,
                  bucket_days: int | str = "auto") -> BucketPlan:
-    """Choose the bucket width from one small aggregate over the fact's two date columns.
+    """Choose the bucket geometry from one small aggregate over the fact's two date columns.
 
-    ``auto``: W = max(p99 of fact length, span / 256, 7 days), so 99 % of facts are "short"
-    and an open-ended dimension row is copied into at most ~256 buckets.  The aggregate reads
-    only the two date columns (column pruning) and returns one row.
+    ``auto``: L = p99 of the fact length (so 99 % of facts are short), B = max(4 L, span/256,
+    28 days): a dimension row of length D gets about (D + L) / B + 1 copies, an open-ended one
+    at most ~256.  A given ``bucket_days`` sets B = L.  The aggregate reads only the two date
+    columns (column pruning) and returns one row.
     """
     k, f0, f1 = as_col(key), as_col(valid_from), as_col(valid_to)
     matchable = _matchable(k, f0, f1)
@@ -93,17 +102,19 @@ def plan_buckets(fact: DataFrame, key: str, valid_from: str, valid_to: str,
     if bucket_days == "auto":
         aggs.append(F.percentile_approx(length, 0.99, 1000).alias("p99"))
     row = fact.where(matchable).agg(*aggs).first()
-    if row is None or row["lo"] is None:
-        width = int(bucket_days) if bucket_days != "auto" else _MIN_WIDTH
-        return BucketPlan(width, None, None, False)
     if bucket_days == "auto":
+        if row is None or row["lo"] is None:
+            return BucketPlan(_MIN_WIDTH, _MIN_WIDTH, None, None, False)
+        short = max(int(row["p99"] or 0), 0)
         span = row["hi"] - row["lo"] + 1
-        width = max(int(row["p99"] or 0), math.ceil(span / _MAX_COPIES), _MIN_WIDTH)
+        width = max(4 * short, math.ceil(span / _MAX_COPIES), _MIN_WIDTH)
     else:
-        width = int(bucket_days)
+        width = short = int(bucket_days)
         if width < 1:
             raise ValueError("bucket_days must be >= 1")
-    return BucketPlan(width, row["lo"] // width, row["hi"] // width, (row["mx"] or 0) > width)
+        if row is None or row["lo"] is None:
+            return BucketPlan(width, short, None, None, False)
+    return BucketPlan(width, short, row["lo"] // width, row["hi"] // width, (row["mx"] or 0) > short)
 
 
 def _matchable(k: Column, f0: Column, f1: Column) -> Column:
@@ -112,10 +123,16 @@ def _matchable(k: Column, f0: Column, f1: Column) -> Column:
 
 def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
                       dims: Sequence[DimSpec], bucket_days: int | str = "auto",
-                      plan: BucketPlan | None = None) -> DataFrame:
+                      plan: BucketPlan | None = None, broadcast: str | bool = "auto") -> DataFrame:
     """JN1 / JN2 / JN3: left outer overlap join of ``fact`` with each of ``dims``.
 
     Output: all fact columns, then per dimension ``from_as``, ``to_as`` and its attributes.
+
+    ``broadcast``: ``"auto"`` measures each bucketed dimension exactly (rows and bytes, one
+    aggregate over the dimension's join columns) and broadcasts it only when that size is under
+    ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is a shuffle sort-merge join
+    (the explode makes Catalyst's file-size estimate an under-estimate, so it is not trusted).
+    ``True`` / ``False`` force either way.
     """
     if not dims:
         return fact
@@ -129,46 +146,99 @@ def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
 
     if plan is None:
         plan = plan_buckets(fact, key, valid_from, valid_to, bucket_days)
-    w = plan.width
     matchable = _matchable(k, f0, f1)
-    short = F.datediff(f1, f0) <= F.lit(w)
+    short = F.datediff(f1, f0) <= F.lit(plan.short)
     hashable = [F.col(quote(f.name)) for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
     salt = -1 - F.pmod(F.xxhash64(*hashable), F.lit(_SALT_BUCKETS))
     left = fact.select(
         "*",
         F.when(matchable, k).alias("_tm_k"),
         F.when(~matchable, salt)
-         .when(short, day_bucket(f0, w))
+         .when(short, day_bucket(f0, plan.width))
          .otherwise(F.lit(LONG_BUCKET)).alias("_tm_b"),
     )
 
+    if broadcast == "auto":
+        limit = broadcast_threshold(fact.sparkSession)
+        sizes = measure_bucketed(dims, plan) if limit >= 0 else [limit + 1] * len(dims)
+        small = [0 <= sz <= limit for sz in sizes]
+    else:
+        small = [bool(broadcast)] * len(dims)
     out = left
     for i, d in enumerate(dims):
-        out = _join_one(out, d, i, plan, valid_from, valid_to)
+        out = _join_one(out, d, i, plan, valid_from, valid_to, small[i])
     return out.drop("_tm_k", "_tm_b")
 
 
-def _join_one(left: DataFrame, d: DimSpec, i: int, plan: BucketPlan,
-              valid_from: str, valid_to: str) -> DataFrame:
-    w = plan.width
+def _bucket_array(d: DimSpec, i: int, plan: BucketPlan) -> tuple[DataFrame, Column]:
+    w, L = plan.width, plan.short
     p = f"_tm{i}_"
     dk = F.trim(as_col(d.key)) if d.trim_key else as_col(d.key)
-    d0, d1 = as_col(d.valid_from), as_col(d.valid_to)
     dim = d.df.select(
-        dk.alias(p + "k"), d0.alias(p + "from"), d1.alias(p + "to"),
+        dk.alias(p + "k"), as_col(d.valid_from).alias(p + "from"), as_col(d.valid_to).alias(p + "to"),
         *[as_col(src).alias(p + "a_" + str(j)) for j, src in enumerate(d.attributes.values())],
     ).where(F.col(p + "k").isNotNull() & F.col(p + "from").isNotNull() & F.col(p + "to").isNotNull())
-
+    empty = F.array().cast("array<bigint>")
     if plan.lo is None:
-        buckets = F.array().cast("array<bigint>")
+        buckets = empty
     else:
-        first = F.greatest(day_bucket(F.date_sub(F.col(p + "from"), w), w), F.lit(plan.lo))
+        first = F.greatest(day_bucket(F.date_sub(F.col(p + "from"), L), w), F.lit(plan.lo))
         last = F.least(day_bucket(F.col(p + "to"), w), F.lit(plan.hi))
-        buckets = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
+        buckets = F.when(first <= last, F.sequence(first, last)).otherwise(empty)
     if plan.has_long:
         buckets = F.array_union(buckets, F.array(F.lit(LONG_BUCKET)))
-    dim = dim.select("*", F.explode(buckets).alias(p + "b"))
+    return dim, buckets
+
+
+def bucketed_dim(d: DimSpec, i: int, plan: BucketPlan) -> DataFrame:
+    """The dimension's join columns, one row per (dimension row, bucket it must be found in)."""
+    dim, buckets = _bucket_array(d, i, plan)
+    return dim.select("*", F.explode(buckets).alias(f"_tm{i}_b"))
+
 
+def measure_bucketed(dims: Sequence[DimSpec], plan: BucketPlan) -> list[int]:
+    """Exact in-memory size bound of every bucketed dimension, all in one job.
+
+    Per dimension one aggregate of (copies, copies x text bytes) over the un-exploded rows
+    (the copy count is ``size`` of the bucket array); each row of the exploded frame costs 8
+    bytes per field plus its text.  The aggregates of all dimensions run as one union job.
+    """
+    parts = []
+    for i, d in enumerate(dims):
+        dim, buckets = _bucket_array(d, i, plan)
+        n = F.size(buckets).cast("bigint")
+        strings = [F.coalesce(F.length(F.col(quote(f.name))), F.lit(0)) for f in dim.schema.fields
+                   if f.dataType.simpleString() == "string"]
+        text = sum(strings[1:], strings[0]) if strings else F.lit(0)
+        width = 8 * (len(dim.columns) + 2)
+        parts.append(dim.agg(F.lit(i).alias("i"), F.coalesce(F.sum(n * (F.lit(width) + text)), F.lit(0)).alias("bytes")))
+    union = parts[0]
+    for q in parts[1:]:
+        union = union.unionByName(q)
+    got = {r["i"]: int(r["bytes"]) for r in union.collect()}
+    return [got[i] for i in range(len(dims))]
+
+
+def conf_bytes(value: str) -> int:
+    """Parse a Spark size setting (``10485760``, ``10485760b``, ``10m``, ``1g``, ``-1``)."""
+    v = str(value).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30,
+             "t": 1 << 40, "tb": 1 << 40}
+    for suffix in sorted(units, key=len, reverse=True):
+        if v.endswith(suffix) and v[: -len(suffix)].lstrip("-").isdigit():
+            return int(v[: -len(suffix)]) * units[suffix]
+    return int(v)
+
+
+def broadcast_threshold(spark) -> int:
+    return conf_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760"))
+
+
+def _join_one(left: DataFrame, d: DimSpec, i: int, plan: BucketPlan,
+              valid_from: str, valid_to: str, small: bool) -> DataFrame:
+    p = f"_tm{i}_"
+    dim = bucketed_dim(d, i, plan)
+    dim = F.broadcast(dim) if small else dim.hint("shuffle_merge")
     cond = ((F.col("_tm_k") == F.col(p + "k")) & (F.col("_tm_b") == F.col(p + "b"))
             & (as_col(valid_from) <= F.col(p + "to")) & (as_col(valid_to) >= F.col(p + "from")))
     joined = left.join(dim, cond, "left")

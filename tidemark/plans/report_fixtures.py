@@ -95,38 +95,48 @@ def nation_report(spark: SparkSession, sf: str, name: str = "nation_report", dro
 # ---------------------------------------------------------------------------------------
 # a position-cost export rendered from orders: the 10-column signature, 35 columns in all
 
-def _poscost_columns() -> list[tuple[str, Column, str]]:
-    """(source header, Spark cell text, DuckDB cell text) for the 35 columns."""
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    d = F.to_date("o_orderdate")
+def _poscost_columns() -> list[tuple[str, object, str]]:
+    """(source header, Spark cell-text builder, DuckDB cell text) for the 35 columns.
+
+    The Spark side is a zero-argument builder so that nothing touches a SparkContext until a
+    frame is actually rendered (the DuckDB texts are needed without one).
+    """
+    k = lambda: F.col("o_orderkey")           # noqa: E731
+    c = lambda: F.col("o_custkey")            # noqa: E731
+    d = lambda: F.to_date("o_orderdate")      # noqa: E731
     ks, cs, ds = "o_orderkey", "o_custkey", "CAST(o_orderdate AS DATE)"
+
+    def tag(prefix, col, n, sql_col):
+        return (lambda: F.concat(F.lit(prefix), (col() % n).cast("string")),
+                f"'{prefix}' || CAST({sql_col} % {n} AS VARCHAR)")
+
     spec = [
-        (k.cast("string"), f"CAST({ks} AS VARCHAR)"),
-        (F.concat(F.lit("Post "), (k % 97).cast("string")), f"'Post ' || CAST({ks} % 97 AS VARCHAR)"),
-        (F.substring("o_orderpriority", 1, 1), "substr(o_orderpriority, 1, 1)"),
-        (F.lpad((k % 40).cast("string"), 2, "0"), f"lpad(CAST({ks} % 40 AS VARCHAR), 2, '0')"),
-        (F.col("o_orderstatus"), "o_orderstatus"),
-        (F.format_number(c * 1000, 0), f"format('{{:,}}', {cs} * 1000)"),
-        (F.concat(F.lit("FT"), (k % 3).cast("string")), f"'FT' || CAST({ks} % 3 AS VARCHAR)"),
-        (F.concat(F.lit("EE"), (k % 5).cast("string")), f"'EE' || CAST({ks} % 5 AS VARCHAR)"),
-        (F.concat(F.lit("Desc, item "), k.cast("string")), f"'Desc, item ' || CAST({ks} AS VARCHAR)"),
-        (F.concat(F.lit("FA"), (k % 11).cast("string")), f"'FA' || CAST({ks} % 11 AS VARCHAR)"),
-        (c.cast("string"), f"CAST({cs} AS VARCHAR)"),
-        (F.date_format(d, "dd.MM.yyyy"), f"strftime({ds}, '%d.%m.%Y')"),
-        (F.date_format(F.date_add(d, 89), "dd.MM.yyyy"), f"strftime({ds} + 89, '%d.%m.%Y')"),
-        (F.lit("90"), "'90'"),
-        (F.year(d).cast("string"), f"CAST(year({ds}) AS VARCHAR)"),
-        (F.concat(F.lit("OU"), (c % 7).cast("string")), f"'OU' || CAST({cs} % 7 AS VARCHAR)"),
-        (F.concat(F.lit("Unit, "), (c % 7).cast("string")), f"'Unit, ' || CAST({cs} % 7 AS VARCHAR)"),
-        (F.concat(F.lit("BA"), (k % 4).cast("string")), f"'BA' || CAST({ks} % 4 AS VARCHAR)"),
-        (F.concat(F.lit("Area "), (k % 4).cast("string")), f"'Area ' || CAST({ks} % 4 AS VARCHAR)"),
-        (F.col("o_orderstatus"), "o_orderstatus"),
-        (F.concat(F.lit("Loc, "), (k % 9).cast("string")), f"'Loc, ' || CAST({ks} % 9 AS VARCHAR)"),
-        (F.concat(F.lit("S"), (k % 2).cast("string")), f"'S' || CAST({ks} % 2 AS VARCHAR)"),
-        (F.format_number(c * 10, 0), f"format('{{:,}}', {cs} * 10)"),
+        (lambda: k().cast("string"), f"CAST({ks} AS VARCHAR)"),
+        tag("Post ", k, 97, ks),
+        (lambda: F.substring("o_orderpriority", 1, 1), "substr(o_orderpriority, 1, 1)"),
+        (lambda: F.lpad((k() % 40).cast("string"), 2, "0"), f"lpad(CAST({ks} % 40 AS VARCHAR), 2, '0')"),
+        (lambda: F.col("o_orderstatus"), "o_orderstatus"),
+        (lambda: F.format_number(c() * 1000, 0), f"format('{{:,}}', {cs} * 1000)"),
+        tag("FT", k, 3, ks),
+        tag("EE", k, 5, ks),
+        (lambda: F.concat(F.lit("Desc, item "), k().cast("string")), f"'Desc, item ' || CAST({ks} AS VARCHAR)"),
+        tag("FA", k, 11, ks),
+        (lambda: c().cast("string"), f"CAST({cs} AS VARCHAR)"),
+        (lambda: F.date_format(d(), "dd.MM.yyyy"), f"strftime({ds}, '%d.%m.%Y')"),
+        (lambda: F.date_format(F.date_add(d(), 89), "dd.MM.yyyy"), f"strftime({ds} + 89, '%d.%m.%Y')"),
+        (lambda: F.lit("90"), "'90'"),
+        (lambda: F.year(d()).cast("string"), f"CAST(year({ds}) AS VARCHAR)"),
+        tag("OU", c, 7, cs),
+        tag("Unit, ", c, 7, cs),
+        tag("BA", k, 4, ks),
+        tag("Area ", k, 4, ks),
+        (lambda: F.col("o_orderstatus"), "o_orderstatus"),
+        tag("Loc, ", k, 9, ks),
+        tag("S", k, 2, ks),
+        (lambda: F.format_number(c() * 10, 0), f"format('{{:,}}', {cs} * 10)"),
     ]
     for j in range(12):
-        spec.append((F.format_number(F.col("o_totalprice") - F.lit(float(j)), 2),
+        spec.append(((lambda j=j: F.format_number(F.col("o_totalprice") - F.lit(float(j)), 2)),
                      f"format('{{:,.2f}}', o_totalprice - {float(j)})"))
     headers = POSITION_COST_SIGNATURE + POSITION_COST_HEADERS[len(POSITION_COST_SIGNATURE):]
     return [(h, s, q) for h, (s, q) in zip(headers, spec)]
@@ -140,7 +150,7 @@ def poscost_report(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("o_orderkey")
     file = F.concat(F.lit("reports/poscost_"), F.floor(k / 5000).cast("string"), F.lit(".txt"))
     return render(table(spark, sf, "orders"), file, F.floor(k / 50), k % 50, POSCOST_TITLE,
-                  [h for h, _, _ in cols], [s for _, s, _ in cols])
+                  [h for h, _, _ in cols], [s() for _, s, _ in cols])
 
 
 def poscost_sql_cells() -> list[tuple[str, str]]:
