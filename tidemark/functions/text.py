@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from tidemark.functions._col import as_col
 
-# Python's str.strip() removes any Unicode whitespace (NBSP, tabs, CR ...); Spark's trim()
-# removes only 0x20.  (?U) switches Java's \s to the Unicode White_Space class.
-_EDGE_WS = r"(?U)^\s+|\s+$"
+# Python's str.strip() removes every character for which str.isspace() holds (tabs, CR, NBSP,
+# the Unicode space separators ...); Spark's trim() removes only 0x20.  The set is derived by
+# that rule and handed to btrim, which strips any of its characters from both ends.
+PY_WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def strip_ws(c) -> Column:
-    """Strip leading/trailing Unicode whitespace, like Python ``str.strip()``."""
-    return F.regexp_replace(as_col(c), _EDGE_WS, "")
+    """Strip leading/trailing whitespace exactly like Python ``str.strip()``."""
+    return F.btrim(as_col(c), F.lit(PY_WHITESPACE))
 
 
 def trimmed(c) -> Column:
