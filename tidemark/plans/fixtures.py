@@ -25,8 +25,8 @@ from tidemark.plans.hr_summary import MEASURES
 from tidemark.sources.tables import read_table
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", spread)
 
 
 def _ocols():
@@ -124,7 +124,7 @@ def pa0001_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, c, d = _ocols()
     end = F.when(_m(k, 4), F.lit("31.12.9999")).otherwise(_date_text(F.date_add(d, 179), k + 1))
     pos = F.when(_m(k, 9), F.lit("99999999")).when(_m(k, 43), F.lit(" ")).otherwise(k.cast("string"))
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", spread=True).select(
         F.when(_m(k, 47), F.lit("  ")).otherwise(c).alias("Pers.No."),
         _date_text(d, k).alias("Start Date"),
         end.alias("End Date"),
@@ -141,7 +141,7 @@ def pa0008_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze basic pay: dates as text, open ends as 31.12.9999."""
     k, c, d = _ocols()
     end = F.when(_m(k, 3), F.lit("31.12.9999")).otherwise(_date_text(F.date_add(d, 364), k + 5))
-    return table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders", spread=True).select(
         c.alias("Pers.No."),
         _date_text(d, k + 6).alias("Start Date"),
         end.alias("End Date"),
@@ -167,7 +167,7 @@ def zpost_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("Personnel area"),
         F.lpad((k % 40).cast("string"), 2, "0").alias("Post Type"),
     ]
-    return table(spark, sf_dir, "orders").select(*cols)
+    return table(spark, sf_dir, "orders", spread=True).select(*cols)
 
 
 # ---------------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from tidemark.plans.audit import content_hash_dedup
 
 
 def _extract_orders(spark: SparkSession, sf: str) -> DataFrame:
-    rows, _ = extract_grid(rf.orders_report(spark, sf))
+    rows, _ = extract_grid(rf.materialize(rf.orders_report(spark, sf)))
     return L.to_table(rows, rf.ORDERS_HEADERS, layout=L.TABLE_DUMP)
 
 
@@ -39,9 +39,9 @@ def report_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _all_reports(spark: SparkSession, sf: str) -> DataFrame:
-    return (rf.orders_report(spark, sf)
-              .unionByName(rf.nation_report(spark, sf))
-              .unionByName(rf.poscost_report(spark, sf)))
+    return rf.materialize(rf.orders_report(spark, sf)
+                          .unionByName(rf.nation_report(spark, sf))
+                          .unionByName(rf.poscost_report(spark, sf)))
 
 
 @register("layout_match", "EXT7 EXT8 EXT9 EXT10 EXT13 CFG1", f"""
@@ -74,7 +74,7 @@ def _strip_sql(name: str, expr: str) -> str:
 def layout_rename_strip_commas(spark: SparkSession, sf: str) -> DataFrame:
     """Position-cost export: positional rename to the canonical 35 headers, commas removed
     from the amount-like columns (any whose name contains a keyword, Fund Code included)."""
-    rows, files = extract_grid(rf.poscost_report(spark, sf))
+    rows, files = extract_grid(rf.materialize(rf.poscost_report(spark, sf)))
     headers = [h for h, _ in rf.poscost_sql_cells()]
     return L.to_table(rows, headers, layout=L.POSITION_COST)
 
@@ -91,7 +91,7 @@ def ragged_files(spark: SparkSession, sf: str) -> DataFrame:
     """Short rows are padded (file ok); a row wider than the header fails its file."""
     lines = (rf.nation_report(spark, sf, "nation_short", drop_last_when=F.col("n_nationkey") % 4 == 0)
                .unionByName(rf.nation_report(spark, sf, "nation_wide", extra_cell_when=F.col("n_nationkey") % 5 == 0)))
-    rows, files = extract_grid(lines)
+    rows, files = extract_grid(rf.materialize(lines))
     st = file_stats(rows, files)
     padded = (L.to_table(rows, rf.NATION_HEADERS, keep=["file"])
                 .groupBy("file").agg(F.sum(F.col("n_regionkey").isNull().cast("int")).alias("padded_cells")))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.fixtures import table
+from tidemark.session import checkpoint_dir
+from tidemark.sources.tables import ensure_parallelism
 from tidemark.sources.layouts import POSITION_COST_HEADERS, POSITION_COST_SIGNATURE
 
 DIVIDER = "|" + "-" * 72 + "|"
@@ -25,6 +27,7 @@ def render(df: DataFrame, file: Column, page: Column, slot: Column, title: str,
            headers: Sequence[str], cells: Sequence[Column] | Column) -> DataFrame:
     """Lines ``(file, pos, value)`` of a report with the given headers and cell texts
     (a list of text columns, or one array column whose width may vary per row)."""
+    df = ensure_parallelism(df)
     arr = cells if isinstance(cells, Column) else F.array(*cells)
     row = F.concat(F.lit("| "), F.array_join(arr, " | "), F.lit(" |"))
     data = df.select(file.alias("file"), (page * 1000 + 100 + slot).cast("bigint").alias("pos"), row.alias("value"))
@@ -44,6 +47,14 @@ def render(df: DataFrame, file: Column, page: Column, slot: Column, title: str,
     return data.unionByName(frame)
 
 
+def materialize(lines: DataFrame) -> DataFrame:
+    """Write rendered report lines once (reliable checkpoint in the shared checkpoint folder),
+    as report files would sit on disk.  Without it Catalyst may push the extractor's line
+    filters below the rendering projection and render every line several times."""
+    checkpoint_dir(lines.sparkSession)
+    return lines.checkpoint(eager=True)
+
+
 # ---------------------------------------------------------------------------------------
 # orders as a table-dump report, split into files of 5,000 keys, 50 rows per page
 
