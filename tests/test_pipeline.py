@@ -102,3 +102,15 @@ def test_missing_dependency_and_failing_job(spark, tmp_root):
     res = run_jobs(spark, jobs, tmp_root, audit)
     assert [r.status for r in res] == ["failed", "success"]
     assert sorted(r["status"] for r in audit.read(RUNS).collect()) == ["failed", "success"]
+
+
+def test_sql_template_job_equals_dataframe_job(spark, tmp_root):
+    from tidemark.plans.jobs import PA0008_SQL, Job, run_job
+    from tidemark.sources.snapshots import write_snapshot
+    audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
+    write_snapshot(fx.pa0008_bronze(spark, SF), tmp_root, "bronze", "pa0008", "20240101_000000_000000")
+    a = run_job(spark, Job("sql_pa0008", "silver", {"source_file": "pa0008"}, sql=PA0008_SQL), tmp_root, audit)
+    b = run_job(spark, SILVER_JOBS[1], tmp_root, audit)
+    x, y = spark.read.parquet(a.output), spark.read.parquet(b.output)
+    assert x.columns == y.columns and x.count() == y.count() > 0
+    assert x.exceptAll(y).count() == 0

@@ -37,5 +37,7 @@ def register(name: str, ids: str, oracle: str | None):
 
 def load_all() -> dict[str, Query]:
     """Import the modules that register queries (idempotent)."""
-    from tidemark.plans import queries_temporal, queries_clean, queries_report, queries_profile  # noqa: F401
+    from tidemark.plans import (  # noqa: F401
+        queries_temporal, queries_clean, queries_report, queries_profile, queries_audit,
+    )
     return REGISTRY
