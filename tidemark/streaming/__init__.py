@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The source pipeline has no stream, watermark, window or state: every entry point is a finite
+batch run.  Its incrementality is content based -- a file whose bytes were already ingested is
+skipped, a changed file becomes a new snapshot (``tidemark.plans.ingest`` with the manifest in
+``tidemark.plans.audit``).  A Structured Streaming file source would track *paths* in its
+checkpoint and so miss that content-level dedup, which is why none is built here.
+"""
