@@ -53,8 +53,7 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
         if not todo:
             return res
         hash_of = {r["file"]: r["file_hash"] for r in todo}
-        lines = read_report_lines(spark, raw_dir, glob, encoding)
-        lines = lines.where(F.col("file").isin(list(hash_of)))   # only new files (pruned by path)
+        lines = read_report_lines(spark, encoding=encoding, paths=sorted(hash_of))   # only the new files
         rows, files = extract_grid(lines, multi_cell_dividers)
         meta = match_layouts(file_stats(rows, files), layouts).collect()
 

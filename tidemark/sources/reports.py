@@ -29,19 +29,19 @@ DIVIDER = r"(?U)^\|[-\s]+\|$"
 DIVIDER_MULTI = r"(?U)^\|[-\s|]*-[-\s|]*\|$"
 
 
-def read_report_lines(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
-                      encoding: str = "utf-8") -> DataFrame:
+def read_report_lines(spark: SparkSession, raw_dir: str | None = None, glob: str = "*.txt",
+                      encoding: str = "utf-8", paths: list[str] | None = None) -> DataFrame:
     """SRC1-SRC3: the lines of every ``glob`` file directly in ``raw_dir`` (not recursive,
-    case-sensitive), as ``(file, pos, value)``.
+    case-sensitive) -- or of the given ``paths`` -- as ``(file, pos, value)``.
 
     UTF-8 input is read by the splittable text source; invalid bytes become U+FFFD.  ``pos`` =
     (split start, row id) orders lines inside a file even when the file is split across tasks;
     the id is taken right above the scan, before any shuffle.  Other encodings (``latin-1``)
     go through ``binaryFile`` (one task per file, 2 GB per file at most).
     """
-    pattern = raw_dir.rstrip("/") + "/" + glob
+    sources = list(paths) if paths is not None else [raw_dir.rstrip("/") + "/" + glob]
     if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
-        df = spark.read.format("text").load(pattern)
+        df = spark.read.format("text").load(sources)
         return df.select(
             F.col("_metadata.file_path").alias("file"),
             F.struct(F.col("_metadata.file_block_start").alias("block"),
@@ -50,7 +50,7 @@ def read_report_lines(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
         )
     charset = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1"}.get(
         encoding.lower(), encoding)
-    raw = spark.read.format("binaryFile").load(pattern)
+    raw = spark.read.format("binaryFile").load(sources)
     text = F.regexp_replace(F.decode(F.col("content"), charset), r"\r\n?", "\n")
     # universal newlines: \r\n, \r and \n all end a line; a final newline adds no line
     lines = F.split(F.col("_t"), "\n", -1)
