@@ -81,7 +81,7 @@ def layout_rename_strip_commas(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("ragged_files", "EXT14 EXT7", f"""
 SELECT 'nation_short.txt' AS file, COUNT(*) AS n_rows, max(CASE WHEN n_nationkey % 4 = 0 THEN 2 ELSE 3 END) AS max_width,
-       3 AS n_headers, false AS ragged, SUM(CASE WHEN n_nationkey % 4 = 0 THEN 1 ELSE 0 END) AS padded_cells
+       3 AS n_headers, false AS ragged, CAST(SUM(CASE WHEN n_nationkey % 4 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS padded_cells
 FROM nation
 UNION ALL
 SELECT 'nation_wide.txt', COUNT(*), max(CASE WHEN n_nationkey % 5 = 0 THEN 4 ELSE 3 END), 3,
