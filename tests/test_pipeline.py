@@ -114,3 +114,19 @@ def test_sql_template_job_equals_dataframe_job(spark, tmp_root):
     x, y = spark.read.parquet(a.output), spark.read.parquet(b.output)
     assert x.columns == y.columns and x.count() == y.count() > 0
     assert x.exceptAll(y).count() == 0
+
+
+def test_latest_snapshot_gold_beats_silver(spark, tmp_root):
+    from tidemark.sources.snapshots import latest_snapshot, pick_latest, write_snapshot
+    df = spark.range(1)
+    write_snapshot(df, tmp_root, "silver", "x", "20250101_000000_000000")
+    write_snapshot(df, tmp_root, "gold", "x", "20240101_000000_000000")
+    write_snapshot(df, tmp_root, "silver", "y", "20240101_000000_000000")
+    write_snapshot(df, tmp_root, "silver", "y", "20240102_000000_000000")
+    assert latest_snapshot(spark, tmp_root, "x", ("silver", "gold")).endswith("gold/x/snapshot=20240101_000000_000000")
+    assert latest_snapshot(spark, tmp_root, "y", ("silver", "gold")).endswith("silver/y/snapshot=20240102_000000_000000")
+    assert latest_snapshot(spark, tmp_root, "z", ("silver", "gold")) is None
+    listing = spark.createDataFrame([("x", "silver", "2"), ("x", "gold", "1"), ("y", "silver", "1"), ("y", "silver", "3")],
+                                    "d string, l string, s string")
+    got = {r["dataset"]: (r["layer"], r["snapshot"]) for r in pick_latest(listing, "d", "l", "s", ["silver", "gold"]).collect()}
+    assert got == {"x": ("gold", "1"), "y": ("silver", "3")}

@@ -8,8 +8,9 @@ from tidemark.sources.reports import extract_grid, file_stats, read_report_lines
 
 def python_extract(text: str):
     """The reference behaviour, restated in plain Python for comparison."""
+    import io
     import re
-    lines = text.splitlines(keepends=True)
+    lines = io.StringIO(text, newline=None).readlines()     # universal newlines, like open(..., 'r')
     if not lines:
         return "", [], []
     first = lines[0].strip()
@@ -129,3 +130,24 @@ def test_file_stats_ragged(spark, tmp_root):
     assert st["wide.txt"]["ragged"]
     assert st["allshort.txt"]["ragged"]          # widest row (1) != 2 headers -> the source fails too
     assert st["nodata.txt"]["n_rows"] == 0 and not st["nodata.txt"]["ragged"]
+
+
+from hypothesis import HealthCheck, given, settings, strategies as st
+
+_alphabet = st.sampled_from(["|", "|", "-", " ", "\t", "a", "b", "\u00a0", "\r", "\n", "\n", "\r\n", "x|y"])
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(_alphabet, max_size=12).map("".join), min_size=1, max_size=12).map("\n".join))
+def test_property_extraction_matches_python(spark, text):
+    import tempfile
+    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    write(folder, "p.txt", text)
+    got = extract_folder(spark, folder)
+    first, headers, data = python_extract(text)
+    if not text:
+        assert got == {}
+    elif not headers and not data and first == "" and "p.txt" not in got:
+        pass
+    else:
+        assert got["p.txt"] == [first, headers, data]
