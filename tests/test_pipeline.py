@@ -130,3 +130,20 @@ def test_latest_snapshot_gold_beats_silver(spark, tmp_root):
                                     "d string, l string, s string")
     got = {r["dataset"]: (r["layer"], r["snapshot"]) for r in pick_latest(listing, "d", "l", "s", ["silver", "gold"]).collect()}
     assert got == {"x": ("gold", "1"), "y": ("silver", "3")}
+
+
+def test_sql_file_template_and_missing_template(spark, tmp_root):
+    from tidemark.plans.jobs import PA0008_SQL, Job, run_job
+    from tidemark.sources.snapshots import write_snapshot
+    audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
+    write_snapshot(fx.pa0008_bronze(spark, SF), tmp_root, "bronze", "pa0008", "20240101_000000_000000")
+    path = os.path.join(tmp_root, "pa0008.sql")
+    with open(path, "w") as fh:
+        fh.write(PA0008_SQL + ";\n")
+    ok = run_job(spark, Job("from_file", "silver", {"source_file": "pa0008"}, sql_file=path,
+                            filters="`PS group` = '1'"), tmp_root, audit)
+    assert ok.status == "success" and 0 < ok.output_rows < ok.input_rows
+    gone = run_job(spark, Job("nofile", "silver", {"source_file": "pa0008"},
+                              sql_file=os.path.join(tmp_root, "missing.sql")), tmp_root, audit)
+    assert gone.status == "missing_template"
+    assert [r["script_name"] for r in audit.read(RUNS).collect()] == ["silver_from_file"]

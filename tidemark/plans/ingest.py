@@ -23,7 +23,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans.audit import MANIFEST, AuditStore, file_hashes, unseen_files
@@ -89,9 +88,15 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
         manifest = []
         for sig, group in by_sig.items():
             g0 = group[0]
-            staged = spark.read.parquet(f"{stage}/_sig={sig}")
-            table = to_table(staged, g0["headers"], layout_by_name(g0["layout"], layouts), keep=["_sid"])
-            write_snapshots_by_column(table, root, "bronze", g0["table"], "_sid")
+            try:
+                staged = spark.read.parquet(f"{stage}/_sig={sig}")
+                table = to_table(staged, g0["headers"], layout_by_name(g0["layout"], layouts), keep=["_sid"])
+                write_snapshots_by_column(table, root, "bronze", g0["table"], "_sid")
+            except Exception as e:  # noqa: BLE001 -- AUD6: one failing table does not stop the others
+                res.status = "partial"
+                for g in group:
+                    res.files.append(dict(file=g["name"], status="error", error=f"{type(e).__name__}: {e}"))
+                continue
             for g in group:
                 out = f"{dataset_path(root, 'bronze', g['table'])}/{SNAPSHOT}={g['sid']}"
                 manifest.append(dict(filename=g["name"], file_hash=hash_of[g["file"]], row_count=g["rows"],
