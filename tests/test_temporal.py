@@ -4,7 +4,7 @@ import random
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators.temporal import DimSpec, clip_and_weigh, overlap_left_join, plan_buckets, BucketPlan
+from tidemark.operators.temporal import DimSpec, clip_and_weigh, overlap_left_join, plan_buckets
 
 D = dt.date
 
@@ -72,15 +72,17 @@ def test_edge_cases(spark):
     assert run(spark, facts, [dims, dims2], bucket_days=3) == brute_force(facts, [dims, dims2])
 
 
-def test_long_facts_take_the_key_bucket(spark):
+def test_long_facts_get_their_own_length_classes(spark):
     facts = [(i, "K", D(2020, 1, 1) + dt.timedelta(days=i), D(2020, 1, 5) + dt.timedelta(days=i * 40))
              for i in range(60)]
     dims = [("K", D(2019, 1, 1) + dt.timedelta(days=30 * j), D(2019, 1, 20) + dt.timedelta(days=30 * j), f"d{j}")
             for j in range(80)]
     fact = spark.createDataFrame(facts, FACT_SCHEMA)
     plan = plan_buckets(fact, "key", "f0", "f1", bucket_days=10)
-    assert plan.has_long
+    assert len(plan.classes) > 1 and plan.classes[0].short == 10
+    assert all(a.short < b.short for a, b in zip(plan.classes, plan.classes[1:]))
     assert run(spark, facts, [dims], bucket_days=10) == brute_force(facts, [dims])
+    assert run(spark, facts, [dims]) == brute_force(facts, [dims])
 
 
 def test_empty_fact(spark):

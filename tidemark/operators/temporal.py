@@ -14,14 +14,16 @@ every dimension row of that key; with one key holding a third of the rows that i
 in one task.  Instead both sides also carry a time bucket, and the join is an equi-join on
 ``(key, bucket)`` with the overlap as a residual:
 
-* buckets are B days wide; each fact row of length <= L days lives in exactly one bucket,
-  that of its start date;
-* each dimension row is copied into every bucket ``b`` with
-  ``bucket(d.from - L) <= b <= bucket(d.to)`` (clamped to the buckets facts start in).
-  If ``d`` overlaps a short fact ``f`` then ``d.from <= f.to <= f.from + L`` and
-  ``d.to >= f.from``, so a copy of ``d`` sits in ``f``'s bucket: every match is found, once;
-* the rare facts longer than L go to one extra bucket (``LONG_BUCKET``) where the
-  dimension has one more copy, i.e. a plain key join for them;
+* facts fall into length classes: class ``c`` holds facts of length <= L_c (L_0 ~ p99 of the
+  fact lengths, L_c = L_0 * 2^c for the rare longer ones; only classes that hold facts exist),
+  with buckets B_c = max(4 L_c, span / 256, 28) days wide.  A fact lives in exactly one bucket:
+  that of its start date, in its own class;
+* each dimension row is copied, per class, into every bucket ``b`` with
+  ``bucket_c(d.from - L_c) <= b <= bucket_c(d.to)`` (clamped to the buckets facts start in).
+  If ``d`` overlaps a fact ``f`` of class ``c`` then ``d.from <= f.to <= f.from + L_c`` and
+  ``d.to >= f.from``, so a copy of ``d`` sits in ``f``'s bucket: every match is found, once.
+  The candidates a fact meets are the dimension rows of its key within about 5 L_c + D days of
+  it -- a bound that holds for long facts too (no key-only fallback);
 * facts that can never match (blank key, NULL date) get a NULL join key and a hashed salt
   as bucket, so they spread over all partitions instead of piling into one and still come
   out of the *same* left join with NULL dimension columns -- one scan of the fact, no union.
@@ -47,7 +49,8 @@ from tidemark.functions._col import as_col, quote
 from tidemark.functions.dates import day_bucket, inclusive_days
 from tidemark.functions.numbers import round2, safe_daily_rate
 
-LONG_BUCKET = -(2 ** 62)       # bucket of facts longer than the bucket width
+_CLASS_SHIFT = 1 << 40         # bucket id = class * 2^40 + bucket index
+_MAX_LOG2 = 24                 # length classes up to 2^24 days (beyond any date range)
 _SALT_BUCKETS = 1 << 16        # spread of never-matching facts (negative, disjoint from real buckets)
 _MIN_WIDTH = 28                # days
 _MAX_COPIES = 256              # target bound on bucket copies of one dimension row
@@ -72,49 +75,60 @@ class DimSpec:
 
 
 @dataclass(frozen=True)
-class BucketPlan:
+class LengthClass:
+    short: int                  # L: facts of this class have to - from <= L
     width: int                  # B: bucket width in days
-    short: int                  # L: facts with to - from <= L are "short" (one bucket each)
-    lo: int | None              # first bucket a fact starts in (None: no matchable fact)
-    hi: int | None
-    has_long: bool              # some matchable fact is longer than L
+    lo: int                     # first / last bucket (of this width) a fact starts in
+    hi: int
+
+
+@dataclass(frozen=True)
+class BucketPlan:
+    classes: tuple[LengthClass, ...]     # ascending L; empty when no fact can match
 
     @property
     def max_copies(self) -> int:
         """Upper bound of bucket copies of one dimension row."""
-        return (0 if self.lo is None else self.hi - self.lo + 1) + (1 if self.has_long else 0)
+        return sum(c.hi - c.lo + 1 for c in self.classes)
+
+
+def _width(short: int, span: int) -> int:
+    return max(4 * short, math.ceil(span / _MAX_COPIES), _MIN_WIDTH)
 
 
 def plan_buckets(fact: DataFrame, key: str, valid_from: str, valid_to: str,
                  bucket_days: int | str = "auto") -> BucketPlan:
     """Choose the bucket geometry from one small aggregate over the fact's two date columns.
 
-    ``auto``: L = p99 of the fact length (so 99 % of facts are short), B = max(4 L, span/256,
-    28 days): a dimension row of length D gets about (D + L) / B + 1 copies, an open-ended one
-    at most ~256.  A given ``bucket_days`` sets B = L.  The aggregate reads only the two date
-    columns (column pruning) and returns one row.
+    The aggregate (start-day range, p99 length, and a count per power-of-two length) reads only
+    the two date columns and returns one row.  ``auto``: L_0 = p99 of the fact length rounded up
+    to a power of two; a given ``bucket_days`` sets L_0 = B_0 = ``bucket_days``.  Longer facts get
+    the classes L = 2^j that hold any of them.
     """
     k, f0, f1 = as_col(key), as_col(valid_from), as_col(valid_to)
-    matchable = _matchable(k, f0, f1)
     length = F.datediff(f1, f0)
     epoch_days = F.datediff(f0, F.lit(_dt.date(1970, 1, 1)))
-    aggs = [F.min(epoch_days).alias("lo"), F.max(epoch_days).alias("hi"), F.max(length).alias("mx")]
-    if bucket_days == "auto":
-        aggs.append(F.percentile_approx(length, 0.99, 1000).alias("p99"))
-    row = fact.where(matchable).agg(*aggs).first()
+    log2 = F.ceil(F.log2(F.greatest(length, F.lit(1)).cast("double")))
+    aggs = [F.min(epoch_days).alias("lo"), F.max(epoch_days).alias("hi"),
+            F.percentile_approx(length, 0.99, 1000).alias("p99")]
+    aggs += [F.count_if(log2 == F.lit(j)).alias(f"n{j}") for j in range(_MAX_LOG2 + 1)]
+    row = fact.where(_matchable(k, f0, f1)).agg(*aggs).first()
+    if row is None or row["lo"] is None:
+        return BucketPlan(())
+    lo, hi = row["lo"], row["hi"]
+    span = hi - lo + 1
     if bucket_days == "auto":
-        if row is None or row["lo"] is None:
-            return BucketPlan(_MIN_WIDTH, _MIN_WIDTH, None, None, False)
-        short = max(int(row["p99"] or 0), 0)
-        span = row["hi"] - row["lo"] + 1
-        width = max(4 * short, math.ceil(span / _MAX_COPIES), _MIN_WIDTH)
+        base = 1 << max(0, math.ceil(math.log2(max(int(row["p99"] or 0), 1))))
+        classes = [(base, _width(base, span))]
     else:
-        width = short = int(bucket_days)
-        if width < 1:
+        base = int(bucket_days)
+        if base < 1:
             raise ValueError("bucket_days must be >= 1")
-        if row is None or row["lo"] is None:
-            return BucketPlan(width, short, None, None, False)
-    return BucketPlan(width, short, row["lo"] // width, row["hi"] // width, (row["mx"] or 0) > short)
+        classes = [(base, base)]
+    for j in range(_MAX_LOG2 + 1):
+        if (1 << j) > base and row[f"n{j}"]:
+            classes.append((1 << j, _width(1 << j, span)))
+    return BucketPlan(tuple(LengthClass(L, B, lo // B, hi // B) for L, B in classes))
 
 
 def _matchable(k: Column, f0: Column, f1: Column) -> Column:
@@ -147,16 +161,13 @@ def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
     if plan is None:
         plan = plan_buckets(fact, key, valid_from, valid_to, bucket_days)
     matchable = _matchable(k, f0, f1)
-    short = F.datediff(f1, f0) <= F.lit(plan.short)
+    length = F.datediff(f1, f0)
     hashable = [F.col(quote(f.name)) for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
     salt = -1 - F.pmod(F.xxhash64(*hashable), F.lit(_SALT_BUCKETS))
-    left = fact.select(
-        "*",
-        F.when(matchable, k).alias("_tm_k"),
-        F.when(~matchable, salt)
-         .when(short, day_bucket(f0, plan.width))
-         .otherwise(F.lit(LONG_BUCKET)).alias("_tm_b"),
-    )
+    bucket = F.when(~matchable, salt)
+    for c, cls in enumerate(plan.classes):          # the first class whose L covers the fact
+        bucket = bucket.when(length <= F.lit(cls.short), F.lit(c * _CLASS_SHIFT) + day_bucket(f0, cls.width))
+    left = fact.select("*", F.when(matchable, k).alias("_tm_k"), bucket.alias("_tm_b"))
 
     if broadcast == "auto":
         limit = broadcast_threshold(fact.sparkSession)
@@ -171,7 +182,6 @@ def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
 
 
 def _bucket_array(d: DimSpec, i: int, plan: BucketPlan) -> tuple[DataFrame, Column]:
-    w, L = plan.width, plan.short
     p = f"_tm{i}_"
     dk = F.trim(as_col(d.key)) if d.trim_key else as_col(d.key)
     dim = d.df.select(
@@ -179,14 +189,13 @@ def _bucket_array(d: DimSpec, i: int, plan: BucketPlan) -> tuple[DataFrame, Colu
         *[as_col(src).alias(p + "a_" + str(j)) for j, src in enumerate(d.attributes.values())],
     ).where(F.col(p + "k").isNotNull() & F.col(p + "from").isNotNull() & F.col(p + "to").isNotNull())
     empty = F.array().cast("array<bigint>")
-    if plan.lo is None:
-        buckets = empty
-    else:
-        first = F.greatest(day_bucket(F.date_sub(F.col(p + "from"), L), w), F.lit(plan.lo))
-        last = F.least(day_bucket(F.col(p + "to"), w), F.lit(plan.hi))
-        buckets = F.when(first <= last, F.sequence(first, last)).otherwise(empty)
-    if plan.has_long:
-        buckets = F.array_union(buckets, F.array(F.lit(LONG_BUCKET)))
+    parts = []
+    for c, cls in enumerate(plan.classes):
+        off = F.lit(c * _CLASS_SHIFT)
+        first = F.greatest(day_bucket(F.date_sub(F.col(p + "from"), cls.short), cls.width), F.lit(cls.lo))
+        last = F.least(day_bucket(F.col(p + "to"), cls.width), F.lit(cls.hi))
+        parts.append(F.when(first <= last, F.sequence(first + off, last + off)).otherwise(empty))
+    buckets = empty if not parts else parts[0] if len(parts) == 1 else F.concat(*parts)
     return dim, buckets
 
 
