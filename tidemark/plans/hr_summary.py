@@ -48,13 +48,16 @@ OUT_START, OUT_END, OUT_DAYS = "Adj_Start_Date", "Adj_End_Date", "Days in Segmen
 
 def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
                measures: Sequence[str] = MEASURES, sort: bool = True,
-               bucket_days: int | str = "auto") -> DataFrame:
+               bucket_days: int | str = "auto", flat: dict[str, str] | None = None) -> DataFrame:
     """Gold segments: one row per (fact, PA0001 match, PA0008 match) with a non-empty overlap.
 
     ``zpost`` is the Silver position-cost table (``adj_valid_from/to`` DATE, amounts
     DECIMAL(18,2), ``Number of Days`` text); ``pa0001`` / ``pa0008`` are Silver
-    effective-dated tables with ``valid_from`` / ``valid_to``.
+    effective-dated tables with ``valid_from`` / ``valid_to``.  ``flat`` (SEG6) keeps measures
+    un-prorated for snapshot reporting: output name -> measure, as DECIMAL(18,2), placed after
+    the prorated amounts.
     """
+    flat = dict(flat or {})
     # zpost_clean: complete facts, trimmed key, daily rates; every other column passes through
     z = complete_interval(zpost, "adj_valid_from", "adj_valid_to")
     days = days_as_int(quote(FACT_DAYS))
@@ -66,6 +69,7 @@ def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
         F.col(quote(FACT_GROUP)).alias("zpost_ps_group"),
         "adj_valid_from", "adj_valid_to",
         *daily_rates(measures, days),
+        *[F.col(quote(m)).cast("decimal(18,2)").alias(out) for out, m in flat.items()],
         *[F.col(quote(c)) for c in rest],
     )
 
@@ -90,6 +94,7 @@ def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
         F.col("seg_end").alias(OUT_END),
         F.col("seg_days").alias(OUT_DAYS),
         *[prorate(F.col(quote("d_" + m)), F.col("seg_days")).alias(MEASURE_OUTPUT.get(m, m)) for m in measures],
+        *[F.col(quote(out)) for out in flat],
         *[F.col(quote(c)) for c in rest],
     )
     if sort:
