@@ -147,3 +147,24 @@ def test_sql_file_template_and_missing_template(spark, tmp_root):
                               sql_file=os.path.join(tmp_root, "missing.sql")), tmp_root, audit)
     assert gone.status == "missing_template"
     assert [r["script_name"] for r in audit.read(RUNS).collect()] == ["silver_from_file"]
+
+
+def test_unchanged_files_are_not_re_read(spark, tmp_root):
+    from tidemark.plans.audit import FILE_INDEX
+    from tidemark.plans.ingest import hash_files
+    import hashlib
+    raw = os.path.join(tmp_root, "raw")
+    os.makedirs(raw)
+    for name, text in [("a.txt", "t\n| x |\n| 1 |\n"), ("b.txt", "t\n| x |\n| 2 |\n")]:
+        with open(os.path.join(raw, name), "w") as fh:
+            fh.write(text)
+    audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
+    h1 = {os.path.basename(r["file"]): r["file_hash"] for r in hash_files(spark, raw, "*.txt", audit).collect()}
+    assert h1["a.txt"] == hashlib.md5(b"t\n| x |\n| 1 |\n").hexdigest()
+    assert audit.read(FILE_INDEX).count() == 2
+    h2 = {os.path.basename(r["file"]): r["file_hash"] for r in hash_files(spark, raw, "*.txt", audit).collect()}
+    assert h2 == h1 and audit.read(FILE_INDEX).count() == 2      # nothing re-hashed
+    with open(os.path.join(raw, "b.txt"), "a") as fh:               # changed content -> new hash
+        fh.write("| 3 |\n")
+    h3 = {os.path.basename(r["file"]): r["file_hash"] for r in hash_files(spark, raw, "*.txt", audit).collect()}
+    assert h3["a.txt"] == h1["a.txt"] and h3["b.txt"] != h1["b.txt"] and audit.read(FILE_INDEX).count() == 3

@@ -21,6 +21,7 @@ from tidemark.functions._col import as_col
 MANIFEST = "processed_files"
 RUNS = "pipeline_runs"
 TRANSFORMS = "transform_log"
+FILE_INDEX = "file_index"       # (path, size, modified) -> hash, so unchanged files are not re-read
 
 SCHEMAS = {
     MANIFEST: T.StructType([
@@ -39,6 +40,12 @@ SCHEMAS = {
         T.StructField("status", T.StringType()),
         T.StructField("run_at", T.TimestampType()),
     ]),
+    FILE_INDEX: T.StructType([
+        T.StructField("file", T.StringType()),
+        T.StructField("size", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+        T.StructField("file_hash", T.StringType()),
+    ]),
     TRANSFORMS: T.StructType([
         T.StructField("table_name", T.StringType()),
         T.StructField("layer", T.StringType()),
@@ -55,15 +62,40 @@ SCHEMAS = {
 # ---------------------------------------------------------------------------------------
 # AUD1 / AUD2: content hashes and dedup
 
-def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt") -> DataFrame:
-    """AUD1: MD5 of all bytes of each ``glob`` file directly in ``raw_dir`` -> (file, file_hash, size).
+def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
+                known: DataFrame | None = None) -> DataFrame:
+    """AUD1: MD5 of all bytes of each ``glob`` file directly in ``raw_dir``
+    -> ``(file, file_hash, size, modified)``.
 
-    ``binaryFile`` hands each file's bytes to one task (2 GB per file at most); the hash is
-    the JVM's ``md5``, identical to hashlib's hex digest.
+    The listing (path, length, modification time) is read without file contents.  Files found
+    in ``known`` with the same size and time keep their recorded hash; only the others are read
+    (``binaryFile``: one task per file, 2 GB per file at most) and hashed with the JVM's ``md5``,
+    which equals hashlib's hex digest.  So a run reads the bytes of new or changed files only.
     """
-    raw = spark.read.format("binaryFile").load(raw_dir.rstrip("/") + "/" + glob)
-    return raw.select(F.col("path").alias("file"), F.md5(F.col("content")).alias("file_hash"),
-                      F.col("length").alias("size"))
+    pattern = raw_dir.rstrip("/") + "/" + glob
+    listing = (spark.read.format("binaryFile").load(pattern)
+                    .select(F.col("path").alias("file"), F.col("length").alias("size"),
+                            F.col("modificationTime").alias("modified")))
+    keys = ["file", "size", "modified"]
+    if known is not None:
+        seen = listing.join(known.select(*keys, "file_hash"), keys)
+        todo = [r["file"] for r in listing.join(known.select(*keys), keys, "left_anti").select("file").collect()]
+    else:
+        seen = None
+        todo = [r["file"] for r in listing.select("file").collect()]
+    parts = [seen] if seen is not None else []
+    if todo:
+        fresh = (spark.read.format("binaryFile").load(todo)
+                      .select(F.col("path").alias("file"), F.md5(F.col("content")).alias("file_hash"),
+                              F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
+        parts.append(fresh)
+    if not parts:
+        return listing.select(*[F.col(c) for c in ("file",)], F.lit(None).cast("string").alias("file_hash"),
+                              "size", "modified").limit(0)
+    out = parts[0]
+    for q in parts[1:]:
+        out = out.unionByName(q)
+    return out.select("file", "file_hash", "size", "modified")
 
 
 def content_hash_dedup(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -85,6 +117,13 @@ def unseen_files(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
                  .select(F.col("f.file").alias("file"), "file_hash", F.col("f.size").alias("size")))
 
 
+def remember_hashes(store: "AuditStore", hashes: DataFrame) -> None:
+    """Record (file, size, modified) -> hash for files not yet in the index."""
+    known = store.read(FILE_INDEX).select("file", "size", "modified")
+    new = hashes.join(known, ["file", "size", "modified"], "left_anti")
+    store.append_df(FILE_INDEX, new)
+
+
 # ---------------------------------------------------------------------------------------
 # AUD3-AUD5: the audit store
 
