@@ -48,7 +48,8 @@ OUT_START, OUT_END, OUT_DAYS = "Adj_Start_Date", "Adj_End_Date", "Days in Segmen
 
 def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
                measures: Sequence[str] = MEASURES, sort: bool = True,
-               bucket_days: int | str = "auto", flat: dict[str, str] | None = None) -> DataFrame:
+               bucket_days: int | str = "auto", flat: dict[str, str] | None = None,
+               broadcast_dims: str | bool = "auto") -> DataFrame:
     """Gold segments: one row per (fact, PA0001 match, PA0008 match) with a non-empty overlap.
 
     ``zpost`` is the Silver position-cost table (``adj_valid_from/to`` DATE, amounts
@@ -77,7 +78,7 @@ def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
         z, "employee_id", "adj_valid_from", "adj_valid_to",
         [DimSpec(pa0001, DIM_KEY, attributes={"_pa_area": PA_AREA}, from_as="_pa1_from", to_as="_pa1_to"),
          DimSpec(pa0008, DIM_KEY, attributes={"_ps_group": PS_GROUP}, from_as="_pa8_from", to_as="_pa8_to")],
-        bucket_days=bucket_days,
+        bucket_days=bucket_days, broadcast=broadcast_dims,
     )
     seg = clip_and_weigh(joined, "adj_valid_from", "adj_valid_to",
                          ["_pa1_from", "_pa8_from"], ["_pa1_to", "_pa8_to"])
