@@ -51,7 +51,7 @@ from tidemark.functions.numbers import round2, safe_daily_rate
 
 _CLASS_SHIFT = 1 << 40         # bucket id = class * 2^40 + bucket index
 _MAX_LOG2 = 24                 # length classes up to 2^24 days (beyond any date range)
-_SALT_BUCKETS = 1 << 16        # spread of never-matching facts (negative, disjoint from real buckets)
+_SALT_BUCKETS = 1 << 16        # spread of never-matching facts (their key is NULL, so they never match)
 _MIN_WIDTH = 28                # days
 _MAX_COPIES = 256              # target bound on bucket copies of one dimension row
 
