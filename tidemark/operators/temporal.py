@@ -100,25 +100,33 @@ def plan_buckets(fact: DataFrame, key: str, valid_from: str, valid_to: str,
                  bucket_days: int | str = "auto") -> BucketPlan:
     """Choose the bucket geometry from one small aggregate over the fact's two date columns.
 
-    The aggregate (start-day range, p99 length, and a count per power-of-two length) reads only
-    the two date columns and returns one row.  ``auto``: L_0 = p99 of the fact length rounded up
-    to a power of two; a given ``bucket_days`` sets L_0 = B_0 = ``bucket_days``.  Longer facts get
-    the classes L = 2^j that hold any of them.
+    The aggregate (start-day range and a count per power-of-two length) reads only the two date
+    columns and returns one row.  ``auto``: L_0 = the smallest power of two covering 99 % of the
+    fact lengths; a given ``bucket_days`` sets L_0 = B_0 = ``bucket_days``.  Longer facts get the
+    classes L = 2^j that hold any of them.
     """
     k, f0, f1 = as_col(key), as_col(valid_from), as_col(valid_to)
     length = F.datediff(f1, f0)
     epoch_days = F.datediff(f0, F.lit(_dt.date(1970, 1, 1)))
     log2 = F.ceil(F.log2(F.greatest(length, F.lit(1)).cast("double")))
-    aggs = [F.min(epoch_days).alias("lo"), F.max(epoch_days).alias("hi"),
-            F.percentile_approx(length, 0.99, 1000).alias("p99")]
+    aggs = [F.min(epoch_days).alias("lo"), F.max(epoch_days).alias("hi")]
     aggs += [F.count_if(log2 == F.lit(j)).alias(f"n{j}") for j in range(_MAX_LOG2 + 1)]
-    row = fact.where(_matchable(k, f0, f1)).agg(*aggs).first()
+    row = fact.where(_matchable(k, f0, f1)).agg(*aggs).first()      # fixed-width hash aggregate
     if row is None or row["lo"] is None:
         return BucketPlan(())
     lo, hi = row["lo"], row["hi"]
     span = hi - lo + 1
+    counts = [int(row[f"n{j}"]) for j in range(_MAX_LOG2 + 1)]
     if bucket_days == "auto":
-        base = 1 << max(0, math.ceil(math.log2(max(int(row["p99"] or 0), 1))))
+        # p99 at power-of-two resolution, read off the histogram: the smallest 2^j that covers
+        # at least 99 % of the facts
+        total, acc, j99 = sum(counts), 0, 0
+        for j, n in enumerate(counts):
+            acc += n
+            if acc >= 0.99 * total:
+                j99 = j
+                break
+        base = 1 << j99
         classes = [(base, _width(base, span))]
     else:
         base = int(bucket_days)
@@ -126,7 +134,7 @@ def plan_buckets(fact: DataFrame, key: str, valid_from: str, valid_to: str,
             raise ValueError("bucket_days must be >= 1")
         classes = [(base, base)]
     for j in range(_MAX_LOG2 + 1):
-        if (1 << j) > base and row[f"n{j}"]:
+        if (1 << j) > base and counts[j]:
             classes.append((1 << j, _width(1 << j, span)))
     return BucketPlan(tuple(LengthClass(L, B, lo // B, hi // B) for L, B in classes))
 
