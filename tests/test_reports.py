@@ -151,3 +151,15 @@ def test_property_extraction_matches_python(spark, text):
         pass
     else:
         assert got["p.txt"] == [first, headers, data]
+
+
+def test_cp1252_needs_the_legacy_charset_switch(spark, tmp_root):
+    write(tmp_root, "w.txt", None, raw="t\r\n| a |\r\n| €5 |\r\n".encode("cp1252"))
+    with pytest.raises(ValueError):
+        read_report_lines(spark, tmp_root, encoding="cp1252")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:
+        rows, _ = extract_grid(read_report_lines(spark, tmp_root, encoding="cp1252"))
+        assert [list(r["cells"]) for r in rows.collect()] == [["€5"]]
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "false")

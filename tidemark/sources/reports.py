@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import PY_WHITESPACE, strip_ws
 
 DIVIDER = r"(?U)^\|[-\s]+\|$"
+# The charsets Spark's decode() accepts without the legacy Java-charset switch.
+_SPARK_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"}
 DIVIDER_MULTI = r"(?U)^\|[-\s|]*-[-\s|]*\|$"
 
 
@@ -48,8 +50,12 @@ def read_report_lines(spark: SparkSession, raw_dir: str | None = None, glob: str
                      F.monotonically_increasing_id().alias("row")).alias("pos"),
             F.make_valid_utf8(F.col("value")).alias("value"),
         )
-    charset = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1"}.get(
-        encoding.lower(), encoding)
+    charset = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1",
+               "cp1252": "windows-1252"}.get(encoding.lower(), encoding)
+    legacy = str(spark.conf.get("spark.sql.legacy.javaCharsets", "false")).lower() == "true"
+    if charset.upper() not in _SPARK_CHARSETS and not legacy:
+        raise ValueError(f"Spark decodes only {sorted(_SPARK_CHARSETS)} by default; set "
+                         f"spark.sql.legacy.javaCharsets=true to read {encoding!r}")
     raw = spark.read.format("binaryFile").load(sources)
     text = F.regexp_replace(F.decode(F.col("content"), charset), r"\r\n?", "\n")
     # universal newlines: \r\n, \r and \n all end a line; a final newline adds no line
