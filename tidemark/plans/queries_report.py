@@ -107,3 +107,20 @@ def ragged_files(spark: SparkSession, sf: str) -> DataFrame:
 def content_hash_dedup_query(spark: SparkSession, sf: str) -> DataFrame:
     """Keep the first (lowest id) document per MD5 of the whole text; count the copies."""
     return content_hash_dedup(table(spark, sf, "documents"), "text", "doc_id")
+
+
+# A nation list whose header row repeats a name in another case and leaves one name blank.
+_CLASHING_HEADERS = ["Key", "key", " "]
+
+
+@register("duplicate_headers", "EXT15 EXT16 EXT13", """
+SELECT CAST(n_nationkey AS VARCHAR) AS "Key", n_name AS "key_1", CAST(n_regionkey AS VARCHAR) AS "C2" FROM nation""")
+def duplicate_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """Header names made unique: case-insensitive repeats get ``_1``, blank names ``C<i>``."""
+    n = table(spark, sf, "nation")
+    key = F.col("n_nationkey")
+    lines = rf.render(n, F.lit("reports/clash.txt"), F.floor(key / 10), key % 10, "Nation list",
+                      _CLASHING_HEADERS, [key.cast("string"), F.col("n_name"), F.col("n_regionkey").cast("string")])
+    rows, files = extract_grid(rf.materialize(lines))
+    headers = [r["headers"] for r in files.select("headers").distinct().collect()]
+    return L.to_table(rows, list(headers[0]))
