@@ -168,3 +168,17 @@ def test_unchanged_files_are_not_re_read(spark, tmp_root):
         fh.write("| 3 |\n")
     h3 = {os.path.basename(r["file"]): r["file_hash"] for r in hash_files(spark, raw, "*.txt", audit).collect()}
     assert h3["a.txt"] == h1["a.txt"] and h3["b.txt"] != h1["b.txt"] and audit.read(FILE_INDEX).count() == 3
+
+
+def test_report_step(spark, tmp_root):
+    from tidemark.plans.reports import extract_mismatches
+    from tidemark.sources.snapshots import write_snapshot
+    from tidemark.operators.reconcile import area_mismatches
+    out_dir = os.path.join(tmp_root, "reports")
+    assert extract_mismatches(spark, tmp_root, out_dir).status == "no_gold"
+    g = hr_summary(fx.zpost(spark, SF), fx.pa0001(spark, SF), fx.pa0008(spark, SF), sort=False)
+    write_snapshot(g, tmp_root, "gold", "hr_summary", "20240101_000000_000000")
+    r = extract_mismatches(spark, tmp_root, out_dir, "pa", fmt="parquet")
+    assert r.status == "exported" and r.rows == area_mismatches(g).count() > 0
+    write_snapshot(g.where(F.lit(False)), tmp_root, "gold", "hr_summary", "20240102_000000_000000")
+    assert extract_mismatches(spark, tmp_root, out_dir, "psg").status == "no_mismatches"
