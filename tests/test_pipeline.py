@@ -182,3 +182,22 @@ def test_report_step(spark, tmp_root):
     assert r.status == "exported" and r.rows == area_mismatches(g).count() > 0
     write_snapshot(g.where(F.lit(False)), tmp_root, "gold", "hr_summary", "20240102_000000_000000")
     assert extract_mismatches(spark, tmp_root, out_dir, "psg").status == "no_mismatches"
+
+
+def test_command_line_layers(spark, tmp_root, capsys):
+    import json
+    from tidemark.__main__ import main
+    raw = os.path.join(tmp_root, "raw")
+    root = os.path.join(tmp_root, "lake")
+    os.makedirs(raw)
+    write_report(os.path.join(raw, "pa0001.txt"), "Table To Be Searched   PA0001", fx.pa0001_bronze(spark, SF))
+    write_report(os.path.join(raw, "pa0008.txt"), "Table To Be Searched   PA0008", fx.pa0008_bronze(spark, SF))
+    write_report(os.path.join(raw, "zpost.txt"), "Table To Be Searched   ZPOST",
+                 fx.zpost_bronze(spark, SF).withColumn("Position Pay Scale Group", F.lit("P")))
+    assert main(["bronze", raw, root], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out)["files_processed"] == 3
+    assert main(["silver", root], spark=spark) == 0
+    assert main(["gold", root], spark=spark) == 0
+    assert [j["status"] for j in json.loads(capsys.readouterr().out.strip().splitlines()[-1])] == ["success"] * 2
+    assert main(["report", root, os.path.join(tmp_root, "out"), "--kind", "psg"], spark=spark) == 0
+    assert json.loads(capsys.readouterr().out)["status"] in ("exported", "no_mismatches")
