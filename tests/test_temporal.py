@@ -127,3 +127,33 @@ def test_hot_key_plan_has_no_cartesian_product(spark):
     plan = j._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert run(spark, facts, [dims]) == brute_force(facts, [dims])
+
+
+def test_conf_bytes():
+    from tidemark.operators.temporal import conf_bytes
+    assert conf_bytes("10485760") == 10485760 and conf_bytes("10485760b") == 10485760
+    assert conf_bytes("10m") == 10 << 20 and conf_bytes("1g") == 1 << 30 and conf_bytes("-1") == -1
+
+
+def test_broadcast_follows_the_measured_size(spark):
+    from tidemark.operators.temporal import bucketed_dim, measure_bucketed
+    facts = [(i, "K%d" % (i % 7), D(2024, 1, 1) + dt.timedelta(days=i), D(2024, 1, 20) + dt.timedelta(days=i))
+             for i in range(50)]
+    dims = [("K%d" % (j % 7), D(2023, 12, 1) + dt.timedelta(days=5 * j), D(2024, 1, 1) + dt.timedelta(days=5 * j), "v")
+            for j in range(40)]
+    fact = spark.createDataFrame(facts, FACT_SCHEMA)
+    spec = DimSpec(spark.createDataFrame(dims, DIM_SCHEMA), "k", "d0", "d1", {"v": "val"}, "df", "dt")
+    plan = plan_buckets(fact, "key", "f0", "f1")
+    size = measure_bucketed([spec], plan)[0]
+    exploded = bucketed_dim(spec, 0, plan).count()
+    assert size >= exploded * 8 * 5            # at least 8 bytes per field of every exploded row
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size))
+        big = overlap_left_join(fact, "key", "f0", "f1", [spec])._jdf.queryExecution().executedPlan().toString()
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size - 1))
+        small = overlap_left_join(fact, "key", "f0", "f1", [spec])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in big
+    assert "SortMergeJoin" in small and "BroadcastHashJoin" not in small
