@@ -201,3 +201,17 @@ def test_command_line_layers(spark, tmp_root, capsys):
     assert [j["status"] for j in json.loads(capsys.readouterr().out.strip().splitlines()[-1])] == ["success"] * 2
     assert main(["report", root, os.path.join(tmp_root, "out"), "--kind", "psg"], spark=spark) == 0
     assert json.loads(capsys.readouterr().out)["status"] in ("exported", "no_mismatches")
+
+
+def test_ingest_latin1_report(spark, tmp_root):
+    raw = os.path.join(tmp_root, "raw")
+    root = os.path.join(tmp_root, "lake")
+    os.makedirs(raw)
+    text = "Table To Be Searched   T001\r\n| Name | City |\r\n|------|\r\n| José | Málaga |\r\n| Zoë | Köln |\r\n"
+    with open(os.path.join(raw, "t.txt"), "wb") as fh:
+        fh.write(text.encode("latin-1"))
+    audit = AuditStore(spark, os.path.join(root, "_audit"))
+    res = ingest_bronze(spark, raw, root, audit, encoding="latin-1")
+    assert res.status == "success" and res.files_processed == 1 and res.total_rows == 2
+    got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, "bronze", "t001")).select("Name", "City").collect())
+    assert got == [("José", "Málaga"), ("Zoë", "Köln")]
