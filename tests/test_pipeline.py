@@ -215,3 +215,12 @@ def test_ingest_latin1_report(spark, tmp_root):
     assert res.status == "success" and res.files_processed == 1 and res.total_rows == 2
     got = sorted(tuple(r) for r in spark.read.parquet(os.path.join(root, "bronze", "t001")).select("Name", "City").collect())
     assert got == [("José", "Málaga"), ("Zoë", "Köln")]
+
+
+def test_export_report_single_file(spark, tmp_root):
+    from tidemark.sources.snapshots import export_report
+    df = spark.range(0, 1000, 1, 8).selectExpr("id", "CAST(id AS STRING) AS s")
+    out = export_report(df, os.path.join(tmp_root, "one"), single_file=True)
+    parts = [f for f in os.listdir(out) if f.startswith("part-")]
+    assert len(parts) == 1
+    assert spark.read.option("header", True).csv(out).count() == 1000
