@@ -10,6 +10,14 @@ Layers (all DataFrame -> DataFrame, Catalyst-planned, no row-at-a-time Python):
 """
 
 from tidemark.session import get_spark, checkpoint_dir
+from tidemark.operators.clean import CleanSpec, clean
+from tidemark.operators.profile import blank_profile, blank_profile_rows
+from tidemark.operators.reconcile import mismatches
+from tidemark.operators.temporal import DimSpec, clip_and_weigh, overlap_left_join
+from tidemark.sources.reports import extract_grid, read_report_lines
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = [
+    "get_spark", "checkpoint_dir", "CleanSpec", "clean", "blank_profile", "blank_profile_rows",
+    "mismatches", "DimSpec", "clip_and_weigh", "overlap_left_join", "extract_grid", "read_report_lines",
+]
 __version__ = "0.1.0"
