@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import minhash
+from tidemark.llm import decontam, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op4_minhash_dedup")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_OP2_SQL = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark WHERE item_id IS NOT NULL),
+asked AS (SELECT DISTINCT item_id, size, array_to_string(w[pos:pos + size - 1], ' ') AS phrase
+  FROM (SELECT item_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos
+        FROM (SELECT item_id, w, least(len(w), 10) AS size FROM b WHERE len(w) > 0))),
+sizes AS (SELECT DISTINCT size FROM asked),
+runs AS (SELECT doc_id, size, pos, array_to_string(w[pos:pos + size - 1], ' ') AS phrase
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS pos FROM d CROSS JOIN sizes WHERE len(w) >= size)),
+hits AS (SELECT doc_id, item_id, pos, size FROM runs JOIN asked USING (size, phrase)),
+hit_words AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
+"""
+
+
+@query("op2_decontaminate", _OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("items", "spans")
