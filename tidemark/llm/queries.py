@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import decontam, minhash
+from tidemark.llm import compress_quality, decontam, minhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -77,3 +77,8 @@ FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("items", "spans")
+
+
+@query("op5_compression_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
