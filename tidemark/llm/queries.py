@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import compress_quality, decontam, minhash, quality_rules
+from tidemark.llm import compress_quality, decontam, langid, minhash, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -87,3 +87,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality_rules")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(langid.of_documents(table(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
+
+
+@query("language_id_pages")
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(langid.of_pages(table(spark, sf_dir, "pages"))).withColumnRenamed("id", "page_id")
