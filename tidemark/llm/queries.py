@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import compress_quality, decontam, langid, minhash, quality_rules
+from tidemark.llm import compress_quality, decontam, langid, minhash, quality_rules, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,13 @@ def ship(spark: SparkSession) -> None:
     sc._tidemark_shipped = True
 
 
+def tokenizer() -> str:
+    """The vocabulary file of the registered queries; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def query(name: str, oracle: str | None = None):
     def register(build: Callable[[SparkSession, str], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,3 +104,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("language_id_pages")
 def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(langid.of_pages(table(spark, sf_dir, "pages"))).withColumnRenamed("id", "page_id")
+
+
+@query("op10_token_files")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.read_token_files(simple8b.write_token_files(table(spark, sf_dir, "documents"), tokenizer()))

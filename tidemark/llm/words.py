@@ -109,7 +109,8 @@ class Scanner:
         self.inside = word_bytes(kind)
         self.values = _byte_values(lower)
 
-    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> Words:
+    def bounds(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each word."""
         inside = self.inside[data]
         cuts = bounds[(bounds > 0) & (bounds < len(data))]
         begins, finishes = inside.copy(), inside.copy()
@@ -117,11 +118,14 @@ class Scanner:
         begins[cuts] = inside[cuts]
         finishes[:-1] &= ~inside[1:]
         finishes[cuts - 1] = inside[cuts - 1]
-        starts, ends = np.flatnonzero(begins), np.flatnonzero(finishes) + 1
-        first = np.searchsorted(starts, bounds)
-        return Words(starts, ends, first, self._hash(data[inside], ends - starts))
+        return np.flatnonzero(begins), np.flatnonzero(finishes) + 1
+
+    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> Words:
+        starts, ends = self.bounds(data, bounds)
+        return Words(starts, ends, np.searchsorted(starts, bounds), self.hash_runs(data[self.inside[data]], ends - starts))
 
-    def _hash(self, letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    def hash_runs(self, letters: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Hashes of consecutive runs of bytes of these lengths."""
         if not len(lengths):
             return np.zeros(0, U64)
         at = np.cumsum(lengths) - lengths
@@ -144,4 +148,4 @@ def hash_of(words: list[bytes], scanner: Scanner) -> np.ndarray:
     """Hashes of given words, as the scanner would hash them in a text (each must consist of word bytes)."""
     if not words:
         return np.zeros(0, U64)
-    return scanner._hash(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words]))
+    return scanner.hash_runs(np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words]))
