@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import tidemark
-from tidemark.llm import compress_quality, decontam, langid, minhash, quality_rules, simple8b
+from tidemark.llm import compress_quality, decontam, langid, minhash, packing, quality_rules, simple8b
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -109,3 +109,8 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_files")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.read_token_files(simple8b.write_token_files(table(spark, sf_dir, "documents"), tokenizer()))
+
+
+@query("op8_pack")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
