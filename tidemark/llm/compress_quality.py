@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.labelled import fold, logistic, sample, sigmoid, verdicts
 from tidemark.llm.scratch import stage
@@ -74,7 +74,7 @@ def _features(dictionaries):
     return measure
 
 
-def _score(model):
+def _score(model, text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good, weights = model.value
         sizes = Sizes(bad, good) if weights is not None else None
@@ -82,9 +82,8 @@ def _score(model):
             if weights is None:
                 score = np.full(batch.num_rows, 0.5)
             else:
-                score = sigmoid(sizes(batch.column("__text")) @ weights[:-1] + weights[-1])
-            columns = batch.columns[:-1]
-            yield pa.record_batch([*columns, pa.array(score)], names=[*batch.schema.names[:-1], "score"])
+                score = sigmoid(sizes(batch.column(text)) @ weights[:-1] + weights[-1])
+            yield pa.record_batch([*batch.columns, pa.array(score)], names=[*batch.schema.names, name])
 
     return run
 
@@ -109,12 +108,11 @@ def train(docs: DataFrame, labels: DataFrame, training=None):
     return built[0], built[1], logistic(np.stack(fit.x), fit.y.to_numpy(float))
 
 
-def scored(docs: DataFrame, model, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` and then ``score``, which replaces a column of that name."""
-    kept = docs.drop("score")
+def scored(docs: DataFrame, model, text: str = "text", name: str = "score") -> DataFrame:
+    """All columns of ``docs`` and then the score, which replaces a column of its name; the text column comes out as a string."""
+    kept = docs.drop(name).withColumn(text, F.col(text).cast("string"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = kept.schema.add("score", "double")
-    return kept.withColumn("__text", F.col(text).cast("string")).mapInArrow(_score(shared), schema)
+    return kept.mapInArrow(_score(shared, text, name), T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:

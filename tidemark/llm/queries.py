@@ -6,30 +6,18 @@ that SQL can express.
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import tidemark
+import corpus_pipeline
 from tidemark.llm import compress_quality, decontam, langid, minhash, packing, quality_rules, simple8b
+from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per context, as ``--py-files`` would."""
-    sc = spark.sparkContext
-    if getattr(sc, "_tidemark_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(tidemark.__file__)))
-    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark"), "zip", root, "tidemark"))
-    sc._tidemark_shipped = True
-
-
 def tokenizer() -> str:
     """The vocabulary file of the registered queries; operators take the path as a parameter."""
     import public_tokenizers
@@ -114,3 +102,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_pack")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

@@ -6,10 +6,14 @@ executors can be lost at any time and every later read still finds whole Parquet
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+import tidemark
 from tidemark.session import checkpoint_dir
 
 
@@ -32,3 +36,13 @@ def drop(*tables: DataFrame) -> None:
     for t in tables:
         path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t._staged_at)
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per context, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(tidemark.__file__)))
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark"), "zip", root, "tidemark"))
+    sc._tidemark_shipped = True
