@@ -9,8 +9,8 @@
    confirmed on the full shingle sets, and confirmed links give first components.
 4. A star can miss a link between two members that are both unlike its centre.  So buckets whose
    other members still lie in different components are looked at again, in blocks of at most
-   ``BLOCK`` members; only pairs from different components whose sketches agree enough are
-   proposed and confirmed.  Pairs inside a component need no test.
+   ``BLOCK`` members.  Pairs from different components whose sketches agree enough are tested on
+   the full sets inside the task; only links leave it, never a bucket's pairs.
 
 With 32 bands of 4 bins a pair at similarity 0.75 shares no bucket with probability 5e-6; the
 sketch test (agreement of 0.57, 4.7 standard deviations below 0.75) loses fewer than that.
@@ -32,7 +32,7 @@ from tidemark.llm.words import U64, Scanner, chunks, mix, ngrams
 
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-BLOCK = 512
+BLOCK = 256
 AGREE = 0.57
 SHINGLE = 5
 SIMILAR = 75  # per cent of the union
@@ -125,21 +125,54 @@ def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series((left == right).mean(axis=1))
 
 
-def _block_pairs(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of one block pair of a bucket: different components, sketches that agree enough."""
-    rows = rows.drop_duplicates("rep").sort_values("rep")
-    low, high = key[1], key[2]
-    left, right = rows[rows.block == low], rows[rows.block == high]
-    sketches = np.frombuffer(b"".join(right.signature), np.uint32).reshape(-1, BINS)
-    a, b = [], []
-    for rep, label, signature in zip(left.rep, left.label, left.signature):
-        other = (right.label.to_numpy() != label) & ((right.rep.to_numpy() > rep) | (low != high))
-        hit = np.flatnonzero(other)
-        hit = hit[(sketches[hit] == np.frombuffer(signature, np.uint32)).mean(axis=1) >= AGREE]
-        partners = right.rep.to_numpy()[hit]
-        a.append(np.minimum(partners, rep))
-        b.append(np.maximum(partners, rep))
-    return pd.DataFrame({"a": np.concatenate(a or [np.zeros(0, np.int64)]), "b": np.concatenate(b or [np.zeros(0, np.int64)])})
+def _unlinked(rows: pd.DataFrame, low: int, high: int) -> Iterator[tuple[int, int]]:
+    """Pairs (places in ``rows``) of a block pair that need a test: other components, sketches that agree enough.
+
+    A pair that shares several buckets is taken up only in that of its first agreeing band.
+    """
+    sketches = np.frombuffer(b"".join(rows.signature), np.uint32).reshape(-1, BINS)
+    label, block, band = rows.label.to_numpy(), rows.block.to_numpy(), int(rows.band.iloc[0])
+    right = np.flatnonzero(block == high)
+    for k in np.flatnonzero(block == low).tolist():
+        other = right[(label[right] != label[k]) & ((right > k) | (low != high))]
+        same = sketches[other] == sketches[k]
+        hit = np.flatnonzero(same.mean(axis=1) >= AGREE)
+        first = same[hit].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1)
+        for other_k in other[hit[first == band]].tolist():
+            yield k, other_k
+
+
+def _to_test(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """The members of a block pair that have a pair to test."""
+    rows = rows.drop_duplicates("rep").sort_values("rep", ignore_index=True)
+    found = np.unique(np.array(list(_unlinked(rows, key[1], key[2])), np.int64))
+    part = rows.iloc[found]
+    return part[["key", "low", "high", "block", "band", "rep", "label", "signature"]]
+
+
+def _tested(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+    """Links of a block pair, confirmed on the full sets; none between members that others of them connect."""
+    rows = rows.drop_duplicates("rep").sort_values("rep", ignore_index=True)
+    sets = rows.shingles.to_list()
+    joined = {x: x for x in rows.label}
+
+    def root(x: int) -> int:
+        while joined[x] != x:
+            joined[x] = joined[joined[x]]
+            x = joined[x]
+        return x
+
+    links = []
+    for k, other in _unlinked(rows, key[1], key[2]):
+        a, b = root(rows.label[k]), root(rows.label[other])
+        left, right = sets[k], sets[other]
+        if a == b or 100 * min(len(left), len(right)) < SIMILAR * max(len(left), len(right)):
+            continue
+        shared = len(np.intersect1d(left, right, assume_unique=True))
+        if 100 * shared >= SIMILAR * (len(left) + len(right) - shared):
+            links.append((rows.rep[k], rows.rep[other]))
+            joined[max(a, b)] = min(a, b)
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -169,7 +202,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     member = sketches.join(copies, "set_id", "left").withColumn("rep", F.coalesce("first", "doc_id"))
     reps = member.filter("rep = doc_id and n_shingles > 0").select("rep", "bands", "signature")
 
-    keyed = reps.select("rep", F.explode("bands").alias("key"))
+    keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = stage(keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1"), "buckets")
     shared = stage(keyed.join(buckets, "key").filter("rep != centre"), "shared")  # centres left out: their pairs are the stars
 
@@ -184,14 +217,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     # second look: what stars cannot show
     labelled = shared.filter("n > 2").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    labelled = stage(labelled.select("key", "rep", "label", "n"), "labelled")
-    mixed = stage(labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "mixed")
+    labelled = stage(labelled.select("key", "band", "rep", "label", "n"), "labelled")
+    mixed = stage(labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("key"), "mixed")
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rest = labelled.join(mixed, "key").join(marks, "rep").withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "rep", "label", "signature")
-    pairs = stage(rest.groupBy("key", "low", "high").applyInPandas(_block_pairs, "a long, b long").distinct(), "pairs")
-    more = stage(_confirmed(pairs, sets), "links")
+    rest = rest.select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "band", "rep", "label", "signature")
+    asked = stage(rest.groupBy("key", "low", "high").applyInPandas(_to_test, rest.schema), "asked")
+    asked = asked.join(sets.select(F.col("doc_id").alias("rep"), "shingles"), "rep")
+    more = stage(asked.groupBy("key", "low", "high").applyInPandas(_tested, "a long, b long").distinct(), "links")
     final = stage(components(links.union(more)), "components")
     drop(sets, labelled, mixed, shared, buckets)
     out = member.select("doc_id", "n_shingles", "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")

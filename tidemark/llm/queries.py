@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, decontam, langid, minhash, packing, quality_rules, simple8b
+from tidemark.llm import compress_quality, decontam, langid, minhash, packing, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,6 +104,22 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer())
 
 
+_BITS = "array_to_string(list_transform(range(40), lambda j: substr('0000000100100011010001010110011110001001101010111100110111101111', (4 * instr('0123456789abcdef', substr(h, (j + 1)::INT, 1)) - 3)::INT, 4)), '')"
+_OP6_SQL = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h) AS head, {_BITS} AS bits FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (1 + list_sum(list_transform(range(5), lambda k: substr(bits, (5 * i + k + 1)::INT, 1)::INT * (2 ** (4 - k)))))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id < head THEN head END AS refers_to
+FROM b
+"""
+
+
+@query("op6_warc", _OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"))).drop("url")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
