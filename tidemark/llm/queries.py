@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, decontam, langid, minhash, packing, quality_rules, simple8b, warc
+from tidemark.llm import compress_quality, ctw, decontam, langid, minhash, packing, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.write_archives(table(spark, sf_dir, "pages"))).drop("url")
 
 
+@query("op9_context_tree")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.language_model(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
