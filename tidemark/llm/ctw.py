@@ -1,23 +1,24 @@
 """Language-model scores by context-tree weighting over the bits of bytes.
 
 A text is its lower-cased words, each closed by a space, and a line feed for its end.  Every byte
-is eight binary decisions, each with its own context tree: the context at depth d is the last d
-bytes of the word so far, filled up with spaces before its start.  A node keeps how often its
-decision was 0 and 1; its Krichevsky-Trofimov probability depends on these counts alone, so the
-weighted mixture over all depths follows from counts that Spark has summed over the corpus:
+is a few binary decisions, the branches of a Huffman code of all bytes, each with its own context
+tree: the context at depth d is the last d bytes, filled up with spaces before the text's start.  A node keeps how often its decision was 0
+and 1; its Krichevsky-Trofimov probability depends on these counts alone, so the weighted mixture
+over all depths follows from counts that Spark has summed over the corpus:
     P_w = 1/2 P_kt + 1/2 (product of the children's P_w).
 Scoring mixes the depths by the posterior weights that this gives, and ends at the deepest context
 that was seen.
 
-Words are counted once, over all documents; contexts are counted from the table of distinct words.
-Only the contexts with the most observations, at most ``MOST_GRAMS`` (context, byte) pairs, go into
-the model that is broadcast; what pruned contexts have seen is pooled at their parent.  In the pass
-over the documents the ``MOST_WORDS`` most frequent words are looked up in the task, and all others
-are joined to the word table by their hash.
+One pass counts words and (context, byte) pairs of all documents; both are summed by one shuffle.
+Of the contexts those with the most observations, at most ``MOST_GRAMS`` pairs, go into the model
+that is broadcast; what pruned contexts have seen is pooled at their parent.  In the pass that
+scores the documents the ``MOST_WORDS`` most frequent words are looked up in the task, and all
+others are joined to the word table by their hash.
 """
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,11 +31,11 @@ from tidemark.llm.labelled import fold
 from tidemark.llm.scratch import stage
 from tidemark.llm.words import U64, Scanner, chunks
 
-DEPTH = 6
-MOST_GRAMS = 1 << 19
+DEPTH = 5
+MOST_GRAMS = 1 << 20
 MOST_WORDS = 1 << 18
 SPACE, STOP = 0x20, 0x0A
-_RUN = 16 << 20
+_RUN = 6 << 20  # bytes of text that are counted or scored together
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -52,70 +53,99 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
 
 
-def word_codes(letters: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For words laid end to end: each byte, closing spaces included, with its ``DEPTH`` context bytes, and each word's first.
+def text_codes(letters: np.ndarray, lengths: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Codes of texts laid end to end, from the bytes of their words: a byte, closing bytes included, and its ``DEPTH`` context bytes.
 
-    The byte is the lowest of a code, its nearest predecessor the next.
+    The byte is the lowest of a code, its nearest predecessor the next.  A text of k words and n
+    letters has n + k + 1 codes.
     """
-    sizes = lengths + DEPTH + 1
-    at = np.cumsum(sizes) - sizes
-    stream = np.full(int(sizes.sum()), SPACE, np.uint8)
-    first = np.cumsum(lengths) - lengths
-    stream[np.repeat(at + DEPTH - first, lengths) + np.arange(len(letters))] = letters
+    docs = len(n_words)
+    own = np.bincount(np.repeat(np.arange(docs), n_words), lengths + 1, docs).astype(np.int64)
+    start = np.cumsum(own + DEPTH + 1) - own - 1  # of each text's first byte
+    place = np.cumsum(lengths + 1) - (lengths + 1)  # of each word, closing spaces counted
+    base = np.concatenate([[0], np.cumsum(own)])[:docs]
+    at = place + np.repeat(start - base, n_words)
+    stream = np.full(int((own + DEPTH + 1).sum()), SPACE, np.uint8)
+    stream[np.repeat(at - (np.cumsum(lengths) - lengths), lengths) + np.arange(len(letters))] = letters
+    stream[start + own] = STOP
     codes = np.zeros(max(0, len(stream) - DEPTH), U64)
     for k in range(DEPTH + 1):
         codes |= stream[DEPTH - k:len(stream) - k].astype(U64) << U64(8 * k)
-    own = lengths + 1
-    begin = np.cumsum(own) - own
-    return codes[np.repeat(at - begin, own) + np.arange(int(own.sum()))], begin
-
-
-#: The end of a text: a line feed where a word could start.
-STOP_CODE = U64(STOP | sum(SPACE << (8 * k) for k in range(1, DEPTH + 1)))
+    pads = np.zeros(len(codes), bool)
+    for k in range(1, DEPTH + 1):
+        pads[(start - DEPTH - k)[start - DEPTH - k >= 0]] = True
+    return codes[~pads]
+
+
+class Decisions:
+    """The binary decisions that make up each byte: the branches of a Huffman code of the bytes' counts."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        heap = [(float(n), k, (k,)) for k, n in enumerate(counts)]
+        heapq.heapify(heap)
+        paths: dict[int, list[tuple[int, int]]] = {k: [] for k in range(256)}
+        for node in range(255):
+            low, high = heapq.heappop(heap), heapq.heappop(heap)
+            for bit, (_, _, leaves) in enumerate((low, high)):
+                for byte in leaves:
+                    paths[byte].append((node, bit))
+            heapq.heappush(heap, (low[0] + high[0], 256 + node, low[2] + high[2]))
+        self.sizes = np.array([len(paths[k]) for k in range(256)])
+        self.first = np.cumsum(self.sizes) - self.sizes
+        flat = np.array([x for k in range(256) for x in paths[k]])
+        self.nodes, self.bits = flat[:, 0], flat[:, 1]
+
+    def of(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each decision of each byte: which byte it belongs to, its node and its outcome."""
+        sizes = self.sizes[byte]
+        row = np.repeat(np.arange(len(byte)), sizes)
+        at = np.repeat(self.first[byte] - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+        return row, self.nodes[at], self.bits[at]
 
 
 @dataclass
 class Model:
+    decisions: Decisions
     contexts: list[np.ndarray]   # by depth: sorted contexts
-    nodes: list[np.ndarray]      # by depth: sorted (rank of the context) * 256 + (bits so far with a leading 1)
-    ones: list[np.ndarray]       # by depth: probability that the next bit is 1 where this is the deepest node seen
+    nodes: list[np.ndarray]      # by depth: sorted (rank of the context) * 256 + decision
+    ones: list[np.ndarray]       # by depth: probability of outcome 1 where this is the deepest node seen
 
     def log2(self, codes: np.ndarray) -> np.ndarray:
         """log2 of the probability of each code's byte in its context."""
         distinct, which = np.unique(codes, return_inverse=True)
-        byte = (distinct & U64(255)).astype(np.int64)
-        p = np.full((len(distinct), 8), np.nan)
-        bits = np.stack([(byte >> (7 - k)) & 1 for k in range(8)], axis=1)
-        prefix = np.stack([(1 << k) | (byte >> (8 - k)) for k in range(8)], axis=1)
-        open_rows = np.arange(len(distinct))
-        for d in range(len(self.contexts) - 1, -1, -1):
+        row, node, bit = self.decisions.of((distinct & U64(255)).astype(np.int64))
+        p = np.full(len(row), 0.5)
+        todo = np.arange(len(row))
+        for d in range(DEPTH, -1, -1):
             held, keys = self.contexts[d], self.nodes[d]
-            if not len(held) or not len(open_rows):
+            if not len(held):
                 continue
-            context = (distinct[open_rows] >> U64(8)) & U64((1 << (8 * d)) - 1)
+            rows = np.unique(row[todo])
+            context = (distinct[rows] >> U64(8)) & U64((1 << (8 * d)) - 1)
             rank = np.minimum(np.searchsorted(held, context), len(held) - 1)
-            there = held[rank] == context
-            rows, rank = open_rows[there], rank[there]
-            want = rank[:, None] * 256 + prefix[rows]
+            place = np.full(len(distinct), -1)
+            place[rows] = np.where(held[rank] == context, rank, -1)
+            want = place[row[todo]] * 256 + node[todo]
             at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-            known = (keys[at] == want) & np.isnan(p[rows])
-            p[rows] = np.where(known, self.ones[d][at], p[rows])
-            open_rows = open_rows[np.isnan(p[open_rows]).any(axis=1)]
-        p = np.where(np.isnan(p), 0.5, p)
-        return np.log2(np.where(bits == 1, p, 1 - p)).sum(axis=1)[which]
+            known = keys[at] == want
+            p[todo[known]] = self.ones[d][at[known]]
+            todo = todo[~known]
+            if not len(todo):
+                break
+        return np.bincount(row, np.log2(np.where(bit == 1, p, 1 - p)), len(distinct))[which]
 
 
 def fit(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Model:
     """The weighted tree from (depth, context, byte, count); with a context all its parents must be there."""
+    root = depth == 0
+    decisions = Decisions(np.bincount(byte[root], n[root], 256))
     contexts, nodes, zeros, ones, parent = [], [], [], [], []
     for d in range(DEPTH + 1):
         own = depth == d
         held, rank = np.unique(context[own], return_inverse=True)
-        symbol, count = byte[own].astype(np.int64), n[own].astype(float)
-        keys = np.concatenate([rank * 256 + ((1 << k) | (symbol >> (8 - k))) for k in range(8)]) if len(held) else np.zeros(0, np.int64)
-        bit = np.concatenate([(symbol >> (7 - k)) & 1 for k in range(8)]) if len(held) else keys
-        keys, at = np.unique(keys, return_inverse=True)
-        counts = np.tile(count, 8)
+        row, node, bit = decisions.of(byte[own].astype(np.int64))
+        keys, at = np.unique(rank[row] * 256 + node, return_inverse=True)
+        counts = n[own].astype(float)[row]
         contexts.append(held)
         nodes.append(keys)
         zeros.append(np.bincount(at, counts * (bit == 0), len(keys)))
@@ -145,105 +175,114 @@ def fit(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray)
         if d < DEPTH:
             up = parent[d]
             acc, rest = (acc + rest * weight[d] * kt)[up], (rest * (1 - weight[d]))[up]
-    return Model(contexts, nodes, mixed)
+    return Model(decisions, contexts, nodes, mixed)
+
 
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[0x41:0x5B] += 0x20
 
-def _scan(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, object, np.ndarray]]:
-    """(first row, end row, bytes lower-cased, words) by parts of a megabyte."""
+
+def _scan(column: pa.Array) -> Iterator[tuple[int, int, object, np.ndarray]]:
+    """(first row, end row, words, codes) by parts of a megabyte."""
     scan = Scanner("spaced", lower=True)
-    fold_case = np.arange(256, dtype=np.uint8)
-    fold_case[0x41:0x5B] += 0x20
     for row, end, data, bounds in chunks(column, 1 << 20):
-        yield row, end, fold_case[data], scan(data, bounds)
+        words = scan(data, bounds)
+        yield row, end, words, text_codes(_FOLD[data[scan.inside[data]]], words.ends - words.starts, words.per_doc())
+
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hashes, learnt, codes, size = [], [], [], 0
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple] = []
-    size = 0
+    def flush() -> Iterator[pa.RecordBatch]:
+        distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
+        yield rows(0, distinct, np.bincount(which, minlength=len(distinct)), np.bincount(which, np.concatenate(learnt), len(distinct)))
+        distinct, n = np.unique(np.concatenate(codes), return_counts=True)
+        yield rows(1, distinct, n, n)
 
-    def flush() -> pa.RecordBatch:
-        hashes, learnt, raw, starts, ends = (np.concatenate(x) for x in zip(*held))
-        distinct, lead, which = np.unique(hashes, return_index=True, return_inverse=True)
-        text = raw.tobytes()
-        words = [text[a:b] for a, b in zip(starts[lead].tolist(), ends[lead].tolist())]
-        return pa.record_batch([pa.array(distinct.view(np.int64)), pa.array(words, pa.binary()), pa.array(np.bincount(which, minlength=len(distinct))), pa.array(np.bincount(which, learnt, len(distinct)).astype(np.int64))], names=["hash", "word", "n", "c"])
+    def rows(kind: int, keys: np.ndarray, n: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(c.astype(np.int64))], names=["kind", "key", "n", "c"])
 
     for batch in batches:
         learn = np.array(batch.column("learn").to_pylist(), bool)
-        for row, end, data, words in _scan(batch.column("text")):
-            held.append((words.hashes, np.repeat(learn[row:end], words.per_doc()), data, words.starts + size, words.ends + size))
-            size += len(data)
+        for row, end, words, own in _scan(batch.column("text")):
+            n_words = words.per_doc()
+            n_codes = np.bincount(np.repeat(np.arange(end - row), n_words), words.ends - words.starts + 1, end - row).astype(np.int64) + 1
+            hashes.append(words.hashes)
+            learnt.append(np.repeat(learn[row:end], n_words))
+            codes.append(own[np.repeat(learn[row:end], n_codes)])
+            size += len(own)
             if size > _RUN:
-                yield flush()
-                held, size = [], 0
-    if held:
-        yield flush()
+                yield from flush()
+                hashes, learnt, codes, size = [], [], [], 0
+    if hashes:
+        yield from flush()
 
 
-def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        words = batch.column("word")
-        lengths = np.array(words.to_pylist() and [len(w.as_buffer()) for w in words], np.int64)
-        codes, begin = word_codes(np.frombuffer(b"".join(words.to_pylist()), np.uint8), lengths)
-        counts = np.repeat(np.array(batch.column("c").to_pylist(), np.int64), lengths + 1)
-        distinct, which = np.unique(codes, return_inverse=True)
-        yield pa.record_batch([pa.array(distinct.view(np.int64)), pa.array(np.bincount(which, counts, len(distinct)).astype(np.int64))], names=["code", "n"])
-
-
-def _train(words: DataFrame, texts_learnt: int) -> Model:
-    """Count contexts of all depths from the distinct words and fit the tree on those with the most observations."""
-    spark = words.sparkSession
-    codes = words.filter("c > 0").select("word", "c").mapInArrow(_grams, "code long, n long")
-    if texts_learnt:
-        codes = codes.union(spark.range(1).select(F.lit(int(STOP_CODE)).alias("code"), F.lit(texts_learnt).cast("long").alias("n")))
-    codes = codes.groupBy("code").agg(F.sum("n").alias("n"))
-    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.shiftrightunsigned("code", 8).bitwiseAND((1 << (8 * d)) - 1).alias("context")) for d in range(DEPTH + 1)))).alias("at")
-    grams = codes.select(depths, F.col("code").bitwiseAND(255).cast("int").alias("byte"), "n").groupBy("at.depth", "at.context", "byte").agg(F.sum("n").alias("n"))
+def _train(codes: DataFrame) -> Model:
+    """Sum contexts of all depths and fit the tree on those with the most observations."""
+    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.shiftrightunsigned("key", 8).bitwiseAND((1 << (8 * d)) - 1).alias("context")) for d in range(DEPTH + 1)))).alias("at")
+    grams = codes.select(depths, F.col("key").bitwiseAND(255).cast("int").alias("byte"), "c").groupBy("at.depth", "at.context", "byte").agg(F.sum("c").alias("n"))
     held = stage(grams.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("byte", "n")).alias("bytes")), "contexts")  # at most 256 bytes each
-    sizes = held.groupBy(F.floor(F.log2("total")).cast("int").alias("power")).agg(F.sum(F.size("bytes")).alias("grams")).collect()  # at most 64 rows
-    least, room = 64, MOST_GRAMS
-    for row in sorted(sizes, key=lambda r: -r.power):
-        room -= row.grams
-        if room < 0:
-            break
-        least = row.power
+    least = _least(held, "total", F.sum(F.size("bytes")), MOST_GRAMS)
     kept = held.filter(F.floor(F.log2("total")) >= least).select("depth", "context", F.explode("bytes").alias("g")).select("depth", "context", "g.byte", "g.n").toPandas()
     return fit(kept.depth.to_numpy(), kept.context.to_numpy(np.int64).view(U64), kept.byte.to_numpy(), kept.n.to_numpy())
 
 
-def _score_words(shared):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = shared.value
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            lengths = np.array([len(w) for w in words], np.int64)
-            codes, begin = word_codes(np.frombuffer(b"".join(words), np.uint8), lengths)
-            bits = np.add.reduceat(model.log2(codes), begin) if len(words) else np.zeros(0)
-            yield pa.record_batch([batch.column("hash"), batch.column("n"), batch.column("c"), pa.array(bits)], names=["hash", "n", "c", "bits"])
-
-    return run
+def _least(table: DataFrame, column: str, size, most: int) -> int:
+    """The smallest power of two such that rows with at least that value in ``column`` add up to at most ``most``."""
+    sizes = table.groupBy(F.floor(F.log2(column)).cast("int").alias("power")).agg(size.alias("size")).collect()  # at most 64 rows
+    least = 64
+    for row in sorted(sizes, key=lambda r: -r.power):
+        most -= row["size"]
+        if most < 0:
+            break
+        least = row.power
+    return least
 
 
-def _known_words(shared):
+def _score_texts(tree, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts, bits, total = shared.value
-        logs = np.log10((counts + 1.0) / total) if len(counts) else np.zeros(0)
+        model: Model = tree.value
+        hashes, counts, total = common.value
+        logs = np.log10((counts + 1.0) / total)
         slot = TaskContext.get().partitionId() << 40
+        waiting, size = [], 0
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            bits = np.cumsum(np.concatenate([[0.0], model.log2(np.concatenate([own for *_, own in waiting]))]))
+            begin = 0
+            for first, ids, words, own in waiting:
+                end = begin + len(own)
+                yield part(first, ids, words, bits[begin:end + 1])
+                begin = end
+
+        def part(first: int, ids: pa.Array, words, bits: np.ndarray) -> pa.RecordBatch:
+            docs, n_words = len(ids), words.per_doc()
+            sums = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[words.first])
+            n_codes = sums(words.ends - words.starts + 1) + 1
+            bounds = np.concatenate([[0], np.cumsum(n_codes)])
+            if len(hashes):
+                at = np.minimum(np.searchsorted(hashes, words.hashes), len(hashes) - 1)
+                frequent = hashes[at] == words.hashes
+                base, known = np.where(frequent, logs[at], 0.0), frequent & (counts[at] > 0)
+            else:
+                frequent = known = np.zeros(len(words.hashes), bool)
+                base = np.zeros(len(words.hashes))
+            rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(~frequent))]), pa.int32()), pa.array(words.hashes[~frequent].view(np.int64)))
+            return pa.record_batch(
+                [pa.array(np.arange(first, first + docs)), ids, pa.array(n_words), pa.array(n_codes), pa.array(sums(known).astype(np.int64)), pa.array(sums(base).astype(float)), pa.array(np.diff(bits[bounds])), rare],
+                names=["slot", "doc_id", "n_words", "n_bytes", "known", "base", "bits", "rare"])
+
         for batch in batches:
-            for row, end, data, words in _scan(batch.column("text")):
-                at = np.minimum(np.searchsorted(hashes, words.hashes), max(0, len(hashes) - 1))
-                common = hashes[at] == words.hashes if len(hashes) else np.zeros(len(words.hashes), bool)
-                part = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[words.first])
-                picked = np.where(common, at, 0)
-                zero = np.zeros(len(at))
-                base, own = (np.where(common, x[picked], 0.0) if len(hashes) else zero for x in (logs, bits))
-                known = common & (counts[picked] > 0) if len(hashes) else common
-                rare = words.hashes[~common].view(np.int64)
-                offsets = np.concatenate([[0], np.cumsum(part(~common))])
-                yield pa.record_batch(
-                    [pa.array(np.arange(slot + row, slot + end)), batch.column("doc_id").slice(row, end - row), pa.array(words.per_doc()), pa.array(part(words.ends - words.starts)), pa.array(part(known)), pa.array(part(base)), pa.array(part(own)), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(rare))],
-                    names=["slot", "doc_id", "n_words", "letters", "known", "base", "bits", "rare"])
+            for row, end, words, own in _scan(batch.column("text")):
+                waiting.append((slot + row, batch.column("doc_id").slice(row, end - row), words, own))
+                size += len(own)
+                if size > _RUN:
+                    yield from flush()
+                    waiting, size = [], 0
             slot += batch.num_rows
+        if waiting:
+            yield from flush()
 
     return run
 
@@ -261,37 +300,28 @@ def score(docs: DataFrame, learn=None) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     learnt = F.lit(True) if learn is None else F.coalesce(learn, F.lit(False))
     n_learnt = texts.filter(learnt).count()
-    counted = texts.select(learnt.alias("learn"), "text").mapInArrow(_count_words, "hash long, word binary, n long, c long")
-    words = stage(counted.groupBy("hash").agg(F.first("word").alias("word"), F.sum("n").alias("n"), F.sum("c").alias("c")), "words")
-    model = _train(words, n_learnt)
-    shared = spark.sparkContext.broadcast(model)
-    table = stage(words.mapInArrow(_score_words(shared), "hash long, n long, c long, bits double"), "word-scores")
-
-    sums = table.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()[0]
-    tokens, distinct = (sums.c or 0) + n_learnt, (sums.v or 0) + (n_learnt > 0)
+    counted = texts.select(learnt.alias("learn"), "text").mapInArrow(_count, "kind int, key long, n long, c long")
+    counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "counts")
+    words = counted.filter("kind = 0").select(F.col("key").alias("hash"), "n", "c")
+    tree = spark.sparkContext.broadcast(_train(counted.filter("kind = 1")))
+
+    sums = words.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()[0]
+    tokens, distinct = (sums.c or 0) + n_learnt, (sums.v or 0) + int(n_learnt > 0)
     total = float(tokens + distinct + 1)
-    powers = sorted(((r.power, r.words) for r in table.groupBy(F.floor(F.log2("n")).cast("int").alias("power")).agg(F.count("*").alias("words")).collect()), reverse=True)  # at most 64 rows
-    least, room = 64, MOST_WORDS
-    for power, many in powers:
-        room -= many
-        if room < 0:
-            break
-        least = power
-    frequent = table.filter(F.floor(F.log2("n")) >= least).select("hash", "c", "bits").toPandas()
-    hashes = frequent["hash"].to_numpy(np.int64).view(U64)
+    least = _least(words, "n", F.count("*"), MOST_WORDS)
+    frequent = words.filter(F.floor(F.log2("n")) >= least).select("hash", "c").toPandas().sort_values("hash")
+    hashes, counts = frequent["hash"].to_numpy(np.int64).view(U64), frequent.c.to_numpy()
     order = np.argsort(hashes)
-    common = spark.sparkContext.broadcast((hashes[order], frequent.c.to_numpy()[order], frequent.bits.to_numpy(float)[order], total))
-    parts = stage(texts.mapInArrow(_known_words(common), "slot long, doc_id long, n_words long, letters long, known long, base double, bits double, rare array<long>"), "scored")
-
-    rare = parts.select("slot", F.explode("rare").alias("hash")).join(table.filter(F.floor(F.log2("n")) < least).select("hash", "c", "bits"), "hash")
-    logs = F.log10((F.col("c") + 1.0) / total)
-    rare = rare.groupBy("slot").agg(F.sum((F.col("c") > 0).cast("long")).alias("rare_known"), F.sum(logs).alias("rare_base"), F.sum("bits").alias("rare_bits"))
-    out = parts.drop("rare").join(rare, "slot", "left").fillna(0, ["rare_known", "rare_base", "rare_bits"])
-    stop_bits = float(model.log2(np.array([STOP_CODE]))[0])
-    bits = F.col("bits") + F.col("rare_bits") + stop_bits
+    common = spark.sparkContext.broadcast((hashes[order], counts[order], total))
+    parts = stage(texts.mapInArrow(_score_texts(tree, common), "slot long, doc_id long, n_words long, n_bytes long, known long, base double, bits double, rare array<long>"), "scored")
+
+    # no word here is more frequent than 2^least, so none gathers in one task
+    rare = parts.select("slot", F.explode("rare").alias("hash")).join(words.filter(F.floor(F.log2("n")) < least).select("hash", "c"), "hash")
+    rare = rare.groupBy("slot").agg(F.sum((F.col("c") > 0).cast("long")).alias("rare_known"), F.sum(F.log10((F.col("c") + 1.0) / total)).alias("rare_base"))
+    out = parts.drop("rare").join(rare, "slot", "left").fillna(0, ["rare_known", "rare_base"])
     return out.select(
         "doc_id", (F.col("n_words") + 1).alias("n_tokens"), (F.col("known") + F.col("rare_known") + int(n_learnt > 0)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rare_base") + float(np.log10((n_learnt + 1.0) / total))).alias("base_score"), (bits * float(np.log10(2))).alias("score"), (-bits / (F.col("letters") + F.col("n_words") + 1)).alias("bits_per_byte"),
+        (F.col("base") + F.col("rare_base") + float(np.log10((n_learnt + 1.0) / total))).alias("base_score"), (F.col("bits") * float(np.log10(2))).alias("score"), (-F.col("bits") / F.col("n_bytes")).alias("bits_per_byte"),
     )
 
 
