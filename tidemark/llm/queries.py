@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, ctw, decontam, langid, minhash, packing, quality_rules, simple8b, warc
+from tidemark.llm import compress_quality, ctw, decontam, langid, licenses, minhash, packing, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.language_model(table(spark, sf_dir, "documents"))
 
 
+@query("op7_license_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.of_documents(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
