@@ -83,7 +83,7 @@ class Phrases:
         if not len(self.terms) or not len(terms):
             return none
         at = np.minimum(np.searchsorted(terms, self.terms), len(terms) - 1)
-        length = np.where(terms[at] == self.terms, counts[at], 0)
+        length = np.where(terms[at] == self.terms, counts[at], 0).astype(np.int64)
         phrase = np.flatnonzero((np.where(self.table >= 0, length[self.table], 1) > 0).all(axis=1))
         if not len(phrase):
             return none
