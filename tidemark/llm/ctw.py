@@ -41,7 +41,7 @@ _RUN = 6 << 20  # bytes of text that are counted or scored together
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """log Γ(x) for x > 0, by Stirling's series at x + 8."""
     y = x + 8.0
-    series = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5)
+    series = (y - 0.5) * np.log(y) - y + 0.9189385332046727 + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7)
     shift = np.zeros_like(y)
     for k in range(8):
         shift += np.log(x + k)

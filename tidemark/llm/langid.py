@@ -172,7 +172,7 @@ def of_documents(docs: DataFrame) -> DataFrame:
 def of_pages(pages: DataFrame) -> DataFrame:
     """Web pages as rows to identify: the html tag's lang, the host's last label, the host, and the text outside of tags."""
     html = F.col("html").cast("string")
-    host = F.lower(F.parse_url(F.col("url").cast("string"), F.lit("HOST")))
+    host = F.lower(F.try_parse_url(F.col("url").cast("string"), F.lit("HOST")))
     text = F.regexp_replace(F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", " "), "<[^>]*>", " ")
     declared = F.regexp_extract(html, r"""(?i)<html[^>]*?\slang\s*=\s*["']?([A-Za-z-]+)""", 1)
     return pages.select(F.col("page_id").alias("id"), text.alias("text"), F.when(declared != "", declared).alias("declared"), F.regexp_extract(host, r"\.([a-z]+)$", 1).alias("suffix"), host.alias("host"))
