@@ -14,6 +14,14 @@ from tidemark.sources.snapshots import export_report, list_snapshots, read_lates
 
 SF = "/root/testdata/sf0.001"
 
+# A template as a user would write it: the dates parsed leniently, blanks and zero dates to NULL.
+TEMPLATE = """
+WITH typed AS (
+  SELECT *, CAST(try_to_timestamp(nullif(replace(trim(`Start Date`), '00.00.0000', ''), ''), 'd.M.y') AS DATE) AS a,
+         CAST(try_to_timestamp(nullif(replace(trim(`End Date`), '00.00.0000', ''), ''), 'd.M.y') AS DATE) AS b
+  FROM {source_file} {filters})
+SELECT a AS valid_from, b AS valid_to, * EXCEPT (`Start Date`, `End Date`, a, b) FROM typed"""
+
 
 def write_report(path, title, df, per_page=40):
     headers = df.columns
@@ -62,14 +70,14 @@ def test_raw_to_report(spark, tmp_root):
     silver = run_jobs(spark, SILVER_JOBS, root, audit)
     assert [s.status for s in silver] == ["success"] * 3
     bal = {r["table_name"]: r for r in audit.read(TRANSFORMS).collect()}
-    expected_out = C.clean(pa1, C.PA0001, where=C.ORG_ASSIGNMENT_FILTER).count()
+    expected_out = C.clean(pa1, C.PA0001, where=C.org_assignment_filter).count()
     assert bal["pa0001"]["output_row_count"] == expected_out
     assert bal["pa0001"]["input_row_count"] - expected_out == bal["pa0001"]["rows_filtered"]
 
     gold = run_jobs(spark, GOLD_JOBS, root, audit)
     assert [g.status for g in gold] == ["success", "success"]
     g, _ = read_latest(spark, root, "hr_summary", ("silver", "gold"))
-    direct = hr_summary(C.clean(zp, C.ZPOST), C.clean(pa1, C.PA0001, where=C.ORG_ASSIGNMENT_FILTER),
+    direct = hr_summary(C.clean(zp, C.ZPOST), C.clean(pa1, C.PA0001, where=C.org_assignment_filter),
                         C.clean(pa8, C.PA0008))
     assert g.count() == direct.count() > 0
     assert g.exceptAll(direct).count() == 0
@@ -105,11 +113,11 @@ def test_missing_dependency_and_failing_job(spark, tmp_root):
 
 
 def test_sql_template_job_equals_dataframe_job(spark, tmp_root):
-    from tidemark.plans.jobs import PA0008_SQL, Job, run_job
+    from tidemark.plans.jobs import Job, run_job
     from tidemark.sources.snapshots import write_snapshot
     audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
     write_snapshot(fx.pa0008_bronze(spark, SF), tmp_root, "bronze", "pa0008", "20240101_000000_000000")
-    a = run_job(spark, Job("sql_pa0008", "silver", {"source_file": "pa0008"}, sql=PA0008_SQL), tmp_root, audit)
+    a = run_job(spark, Job("sql_pa0008", "silver", {"source_file": "pa0008"}, sql=TEMPLATE), tmp_root, audit)
     b = run_job(spark, SILVER_JOBS[1], tmp_root, audit)
     x, y = spark.read.parquet(a.output), spark.read.parquet(b.output)
     assert x.columns == y.columns and x.count() == y.count() > 0
@@ -133,13 +141,13 @@ def test_latest_snapshot_gold_beats_silver(spark, tmp_root):
 
 
 def test_sql_file_template_and_missing_template(spark, tmp_root):
-    from tidemark.plans.jobs import PA0008_SQL, Job, run_job
+    from tidemark.plans.jobs import Job, run_job
     from tidemark.sources.snapshots import write_snapshot
     audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
     write_snapshot(fx.pa0008_bronze(spark, SF), tmp_root, "bronze", "pa0008", "20240101_000000_000000")
     path = os.path.join(tmp_root, "pa0008.sql")
     with open(path, "w") as fh:
-        fh.write(PA0008_SQL + ";\n")
+        fh.write(TEMPLATE + ";\n")
     ok = run_job(spark, Job("from_file", "silver", {"source_file": "pa0008"}, sql_file=path,
                             filters="`PS group` = '1'"), tmp_root, audit)
     assert ok.status == "success" and 0 < ok.output_rows < ok.input_rows
@@ -224,3 +232,74 @@ def test_export_report_single_file(spark, tmp_root):
     parts = [f for f in os.listdir(out) if f.startswith("part-")]
     assert len(parts) == 1
     assert spark.read.option("header", True).csv(out).count() == 1000
+
+
+def test_file_names_sizes_and_unreadable_files(spark, tmp_root):
+    """Spaces, escapes and glob characters in names; hashing in pieces; a file that cannot be read fails alone."""
+    import hashlib
+    from tidemark.plans import audit as A
+    raw, root = os.path.join(tmp_root, "raw"), os.path.join(tmp_root, "lake")
+    os.makedirs(raw)
+    names = ["cost report 2024.txt", "50%25 + [a]{b}*.txt", "plain.txt"]
+    for k, name in enumerate(names):
+        with open(os.path.join(raw, name), "w") as fh:
+            fh.write(f"t{k}\n| a | b |\n| {k} | 2 |\n" + "| x | y |\n" * (200_000 if k == 2 else 1))
+    assert os.path.getsize(os.path.join(raw, names[2])) > A.PIECE
+    hashes = {r["file"].rsplit("/", 1)[1]: r["file_hash"] for r in A.file_hashes(spark, raw).collect()}
+    assert hashes == {n: hashlib.md5(open(os.path.join(raw, n), "rb").read()).hexdigest() for n in names}
+    audit = AuditStore(spark, os.path.join(root, "_audit"))
+    res = ingest_bronze(spark, raw, root, audit)
+    assert (res.status, res.files_processed) == ("success", 3)
+    assert {f["file"]: f["rows"] for f in res.files} == {names[0]: 2, names[1]: 2, names[2]: 200_001}
+
+    os.symlink(os.path.join(tmp_root, "gone"), os.path.join(raw, "later.txt"))  # listed by some stores, readable by none
+    with open(os.path.join(raw, "good.txt"), "w") as fh:
+        fh.write("t\n| a |\n| 1 |\n")
+    odd = spark.createDataFrame([(os.path.join(raw, "later.txt"), 1)], "file string, size long").withColumn("modified", F.current_timestamp())
+    assert [r["file_hash"] for r in odd.mapInPandas(A._hash_pieces, "file string, file_hash string, size long, modified timestamp").collect()] == [None]
+    os.unlink(os.path.join(raw, "later.txt"))
+    assert ingest_bronze(spark, raw, root, audit).files_processed == 1
+
+
+def test_counts_beyond_two_billion(spark, tmp_root):
+    audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
+    audit.log_run("job", "out", 3_000_000_000, 1, "success")
+    audit.log_transform("t", "silver", ["a"], "b", 5_000_000_000, 3_000_000_000)
+    assert audit.read(RUNS).first()["total_rows"] == 3_000_000_000
+    assert audit.read(TRANSFORMS).first()["rows_filtered"] == 2_000_000_000
+
+
+def test_a_failed_write_is_never_the_latest(spark, tmp_root):
+    """What a failed or running write leaves has no commit marker: the next layer reads the snapshot before it."""
+    from tidemark.plans.jobs import Job, run_jobs as run
+    from tidemark.sources.snapshots import latest_snapshot, write_snapshot
+    audit = AuditStore(spark, os.path.join(tmp_root, "_audit"))
+    good = write_snapshot(spark.range(3).selectExpr("cast(id as string) v"), tmp_root, "bronze", "t", "20240101_000000_000000")
+    to_int = Job("u", "silver", {"t": "t"}, lambda t: t.selectExpr("cast(v as int) v"))
+    assert run(spark, [to_int], tmp_root, audit)[0].status == "success"
+    first = latest_snapshot(spark, tmp_root, "u")
+    write_snapshot(spark.createDataFrame([("bad",)], "v string"), tmp_root, "bronze", "t", "20240102_000000_000000")
+    assert run(spark, [to_int], tmp_root, audit)[0].status == "failed"
+    os.makedirs(os.path.join(tmp_root, "silver", "u", "snapshot=99999999_000000_000000"), exist_ok=True)  # a write under way
+    assert latest_snapshot(spark, tmp_root, "u") == first
+    last = run(spark, [Job("w", "gold", {"u": "u"}, lambda u: u, source_layers=("silver",))], tmp_root, audit)[0]
+    assert (last.status, last.output_rows) == ("success", 3)
+    assert good.endswith("000000")
+
+
+def test_position_cost_export_goes_through_silver(spark, tmp_root):
+    """The layout that the shipped export has: recognised by its keywords, cleaned by its own template."""
+    from tidemark.sources.layouts import POSITION_COST_HEADERS, POSITION_COST_SIGNATURE
+    raw, root = os.path.join(tmp_root, "raw"), os.path.join(tmp_root, "lake")
+    os.makedirs(raw)
+    headers = POSITION_COST_SIGNATURE + [f"h{k}" for k in range(len(POSITION_COST_HEADERS) - len(POSITION_COST_SIGNATURE))]
+    values = ["01.02.2024" if "date" in h.lower() else "1,234.50" for h in POSITION_COST_HEADERS]
+    with open(os.path.join(raw, "x.txt"), "w") as fh:
+        fh.write("report\n| " + " | ".join(headers) + " |\n| " + " | ".join(values) + " |\n")
+    audit = AuditStore(spark, os.path.join(root, "_audit"))
+    res = ingest_bronze(spark, raw, root, audit)
+    assert [f["table"].lower() for f in res.files] == ["zpost"], res.files
+    silver = {r.job: r for r in run_jobs(spark, SILVER_JOBS, root, audit)}["zpost"]
+    assert (silver.status, silver.output_rows) == ("success", 1), silver.error
+    row = spark.read.parquet(silver.output).first()
+    assert str(row["valid_from"]) == "2024-02-01" and str(row["Total"]) == "1234.50"

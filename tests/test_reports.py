@@ -153,13 +153,12 @@ def test_property_extraction_matches_python(spark, text):
         assert got["p.txt"] == [first, headers, data]
 
 
-def test_cp1252_needs_the_legacy_charset_switch(spark, tmp_root):
-    write(tmp_root, "w.txt", None, raw="t\r\n| a |\r\n| €5 |\r\n".encode("cp1252"))
+def test_cp1252_and_latin1_by_the_splittable_source(spark, tmp_root):
+    raw = "t\r\n| a |\r\n| €5 \u2019é |\r\n"
+    write(tmp_root, "w.txt", None, raw=raw.encode("cp1252"))
+    rows, _ = extract_grid(read_report_lines(spark, tmp_root, encoding="cp1252"))
+    assert [list(r["cells"]) for r in rows.collect()] == [["€5 \u2019é"]]
+    rows, _ = extract_grid(read_report_lines(spark, tmp_root, encoding="latin-1"))
+    assert [list(r["cells"]) for r in rows.collect()] == [[raw.split("|")[3].strip().encode("cp1252").decode("latin-1")]]
     with pytest.raises(ValueError):
-        read_report_lines(spark, tmp_root, encoding="cp1252")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    try:
-        rows, _ = extract_grid(read_report_lines(spark, tmp_root, encoding="cp1252"))
-        assert [list(r["cells"]) for r in rows.collect()] == [["€5"]]
-    finally:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+        read_report_lines(spark, tmp_root, encoding="ebcdic")

@@ -6,7 +6,6 @@ Layers (all DataFrame -> DataFrame, Catalyst-planned, no row-at-a-time Python):
 * ``tidemark.sources``    report-text extraction, layout registry, snapshots, sinks
 * ``tidemark.operators``  cleaning, overlap (interval) joins and proration, reconciliation, profiling
 * ``tidemark.plans``      job configuration and runners, audit tables, the built-in job templates
-* ``tidemark.streaming``  notes on incremental runs (the batch jobs are incremental by content hash)
 """
 
 from tidemark.session import get_spark, checkpoint_dir

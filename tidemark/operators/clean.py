@@ -8,7 +8,7 @@ projection (+ optional filter) -- whole-stage codegen, no shuffle.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -32,14 +32,16 @@ class CleanSpec:
     exclude: Sequence[str] = ()       # further source columns dropped from the pass-through
 
 
-def source_filter(df: DataFrame, predicate: str | Column | None) -> DataFrame:
+def source_filter(df: DataFrame, predicate: str | Column | Callable[[DataFrame], DataFrame] | None) -> DataFrame:
     """FLT2: optional config filter on the *source* columns (``''`` / None = no filter).
 
-    A leading ``WHERE`` is accepted.  The predicate is applied to the frame before the
-    projection, never spliced into SQL text.
+    A condition as text (a leading ``WHERE`` is accepted) or Column, or a function of the frame.  It
+    is applied to the frame before the projection, never spliced into SQL text.
     """
     if predicate is None:
         return df
+    if callable(predicate) and not isinstance(predicate, Column):
+        return predicate(df)
     if isinstance(predicate, Column):
         return df.where(predicate)
     text = predicate.strip()
@@ -51,7 +53,7 @@ def source_filter(df: DataFrame, predicate: str | Column | None) -> DataFrame:
 
 
 def clean(df: DataFrame, spec: CleanSpec, *, open_end: _dt.date | None = None,
-          on_error: str = "fail", where: str | Column | None = None) -> DataFrame:
+          on_error: str = "fail", where: str | Column | Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Apply a cleaning template (optionally after the config filter ``where``)."""
     df = source_filter(df, where)
     lead: list[Column] = []
@@ -88,7 +90,7 @@ ZPOST = CleanSpec(
         "Local Service Cost2 (Optional)", "Total Non Post Cost", "Total",
     ),
 )
-# The anonymised example layout: two dates, twelve amounts.  (Its published SQL also
+# The layout of the shipped position-cost export: two dates, twelve amounts.  (Its published SQL also
 # excludes the two adjusted dates, which that layout does not have; that would be a bind
 # error, so the example template here leaves them out.)
 ZPOST_EXAMPLE = CleanSpec(
@@ -100,13 +102,23 @@ ZPOST_EXAMPLE = CleanSpec(
     ),
 )
 
-# The org-assignment validity filter (FLT1) of the PA0001 Silver job.
-ORG_ASSIGNMENT_FILTER = (
-    "TRIM(`Pers.No.`) != '' AND TRIM(`Position`) NOT IN ('', '99999999') AND TRIM(`Cost Ctr`) != 'DUMMY'"
-)
+def zpost_layout(df: DataFrame) -> CleanSpec:
+    """The template of a position-cost table by its columns: only one layout has adjusted dates."""
+    return ZPOST if ZPOST.dates["adj_valid_from"] in df.columns else ZPOST_EXAMPLE
+
+
+# What marks an org assignment that is none (FLT1).
+NO_POSITION = "99999999"
+DUMMY_COST_CENTRE = "DUMMY"
+
+
+def is_org_assignment(df: DataFrame) -> Column:
+    """FLT1 as a condition: key not blank, real position, not the dummy cost centre."""
+    key, position, centre = (blank_to_null(resolve(df, c)) for c in ("Pers.No.", "Position", "Cost Ctr"))
+    dummy = F.trim(as_col(resolve(df, "Cost Ctr"))) == F.lit(DUMMY_COST_CENTRE)
+    return key.isNotNull() & position.isNotNull() & (position != F.lit(NO_POSITION)) & ~dummy
 
 
 def org_assignment_filter(df: DataFrame) -> DataFrame:
-    """FLT1 as Column logic: key not blank, real position, not the dummy cost centre (NULL drops)."""
-    k, pos, cc = (F.trim(as_col(resolve(df, c))) for c in ("Pers.No.", "Position", "Cost Ctr"))
-    return df.where((k != F.lit("")) & ~pos.isin("", "99999999") & (cc != F.lit("DUMMY")))
+    """FLT1: the filter of the PA0001 Silver job (a NULL condition drops the row)."""
+    return df.where(is_org_assignment(df))

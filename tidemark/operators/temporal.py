@@ -24,14 +24,17 @@ in one task.  Instead both sides also carry a time bucket, and the join is an eq
   ``d.to >= f.from``, so a copy of ``d`` sits in ``f``'s bucket: every match is found, once.
   The candidates a fact meets are the dimension rows of its key within about 5 L_c + D days of
   it -- a bound that holds for long facts too (no key-only fallback);
-* facts that can never match (blank key, NULL date) get a NULL join key and a hashed salt
-  as bucket, so they spread over all partitions instead of piling into one and still come
-  out of the *same* left join with NULL dimension columns -- one scan of the fact, no union.
+* facts that can never match (blank key, NULL date) get a NULL join key and a salt hashed from
+  their dates and the ``salt_by`` columns as bucket, so they spread over partitions instead of
+  piling into one and still come out of the *same* left join with NULL dimension columns -- one
+  scan of the fact, no union.  No other fact column is read for it, so later pruning works.
 
 All dimensions join on the same ``(key, bucket)`` columns of the fact, so the fact side is
 shuffled once for the whole chain.  A bucketed dimension is broadcast only when an exact
 measurement of it (one aggregate) is under the broadcast threshold, else the join is a
-sort-merge join; AQE splits any (key, bucket) partition that is still skewed.
+sort-merge join.  AQE splits a (key, bucket) partition that is still skewed in the last join of a
+chain only: it leaves a join alone whose partitioning the next one reuses.  With ``clip_early`` a
+chain at least never carries rows on whose segment is already empty.
 """
 
 from __future__ import annotations
@@ -43,7 +46,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StructType, VariantType
 
 from tidemark.functions._col import as_col, quote
 from tidemark.functions.dates import day_bucket, inclusive_days
@@ -145,7 +148,8 @@ def _matchable(k: Column, f0: Column, f1: Column) -> Column:
 
 def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
                       dims: Sequence[DimSpec], bucket_days: int | str = "auto",
-                      plan: BucketPlan | None = None, broadcast: str | bool = "auto") -> DataFrame:
+                      plan: BucketPlan | None = None, broadcast: str | bool = "auto",
+                      salt_by: Sequence[str] = (), clip_early: bool = False) -> DataFrame:
     """JN1 / JN2 / JN3: left outer overlap join of ``fact`` with each of ``dims``.
 
     Output: all fact columns, then per dimension ``from_as``, ``to_as`` and its attributes.
@@ -154,7 +158,13 @@ def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
     aggregate over the dimension's join columns) and broadcasts it only when that size is under
     ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is a shuffle sort-merge join
     (the explode makes Catalyst's file-size estimate an under-estimate, so it is not trusted).
-    ``True`` / ``False`` force either way.
+    ``True`` / ``False`` force either way.  A dimension attribute whose size cannot be measured
+    (anything but text and fixed-width types) keeps ``"auto"`` from broadcasting.
+
+    ``salt_by`` names fact columns (a row id, say) that spread the facts that match nothing.
+    ``clip_early`` drops, after each dimension, the rows whose common interval is empty; use it
+    where segments are clipped afterwards (FLT4), which would drop them in the end.  A ``plan`` that
+    does not cover a fact's length makes the query fail instead of losing its matches.
     """
     if not dims:
         return fact
@@ -170,22 +180,25 @@ def overlap_left_join(fact: DataFrame, key: str, valid_from: str, valid_to: str,
         plan = plan_buckets(fact, key, valid_from, valid_to, bucket_days)
     matchable = _matchable(k, f0, f1)
     length = F.datediff(f1, f0)
-    hashable = [F.col(quote(f.name)) for f in fact.schema.fields if not isinstance(f.dataType, MapType)]
-    salt = -1 - F.pmod(F.xxhash64(*hashable), F.lit(_SALT_BUCKETS))
+    salt = -1 - F.pmod(F.xxhash64(f0, f1, *[F.col(quote(c)) for c in salt_by]), F.lit(_SALT_BUCKETS))
     bucket = F.when(~matchable, salt)
     for c, cls in enumerate(plan.classes):          # the first class whose L covers the fact
         bucket = bucket.when(length <= F.lit(cls.short), F.lit(c * _CLASS_SHIFT) + day_bucket(f0, cls.width))
+    bucket = bucket.otherwise(F.raise_error(F.lit("the bucket plan does not cover a fact's length")).cast("bigint"))
     left = fact.select("*", F.when(matchable, k).alias("_tm_k"), bucket.alias("_tm_b"))
 
     if broadcast == "auto":
         limit = broadcast_threshold(fact.sparkSession)
         sizes = measure_bucketed(dims, plan) if limit >= 0 else [limit + 1] * len(dims)
-        small = [0 <= sz <= limit for sz in sizes]
+        small = [0 <= sz <= limit and _measurable(d) for sz, d in zip(sizes, dims)]
     else:
         small = [bool(broadcast)] * len(dims)
     out = left
     for i, d in enumerate(dims):
         out = _join_one(out, d, i, plan, valid_from, valid_to, small[i])
+        if clip_early and i + 1 < len(dims):
+            start, end = segment_bounds(f0, f1, [quote(x.from_as) for x in dims[:i + 1]], [quote(x.to_as) for x in dims[:i + 1]])
+            out = out.where(start.isNull() | end.isNull() | (start <= end))
     return out.drop("_tm_k", "_tm_b")
 
 
@@ -224,7 +237,7 @@ def measure_bucketed(dims: Sequence[DimSpec], plan: BucketPlan) -> list[int]:
     for i, d in enumerate(dims):
         dim, buckets = _bucket_array(d, i, plan)
         n = F.size(buckets).cast("bigint")
-        strings = [F.coalesce(F.length(F.col(quote(f.name))), F.lit(0)) for f in dim.schema.fields
+        strings = [F.coalesce(F.octet_length(F.col(quote(f.name))), F.lit(0)) for f in dim.schema.fields
                    if f.dataType.simpleString() == "string"]
         text = sum(strings[1:], strings[0]) if strings else F.lit(0)
         width = 8 * (len(dim.columns) + 2)
@@ -236,6 +249,12 @@ def measure_bucketed(dims: Sequence[DimSpec], plan: BucketPlan) -> list[int]:
     return [got[i] for i in range(len(dims))]
 
 
+def _measurable(d: DimSpec) -> bool:
+    """Whether every attribute is text or of a fixed width."""
+    kinds = [d.df.schema[c].dataType for c in d.attributes.values()]
+    return not any(isinstance(k, (ArrayType, BinaryType, MapType, StructType, VariantType)) for k in kinds)
+
+
 def conf_bytes(value: str) -> int:
     """Parse a Spark size setting (``10485760``, ``10485760b``, ``10m``, ``1g``, ``-1``)."""
     v = str(value).strip().lower()

@@ -9,9 +9,13 @@ new id).  One writer at a time.
 from __future__ import annotations
 
 import datetime as _dt
+import hashlib
 import os
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,15 +32,15 @@ SCHEMAS = {
         T.StructField("filename", T.StringType()),
         T.StructField("file_hash", T.StringType()),
         T.StructField("processed_at", T.TimestampType()),
-        T.StructField("row_count", T.IntegerType()),
+        T.StructField("row_count", T.LongType()),
         T.StructField("output_file", T.StringType()),
     ]),
     RUNS: T.StructType([
         T.StructField("run_id", T.IntegerType()),
         T.StructField("script_name", T.StringType()),
         T.StructField("output_dir", T.StringType()),
-        T.StructField("total_rows", T.IntegerType()),
-        T.StructField("files_processed", T.IntegerType()),
+        T.StructField("total_rows", T.LongType()),
+        T.StructField("files_processed", T.LongType()),
         T.StructField("status", T.StringType()),
         T.StructField("run_at", T.TimestampType()),
     ]),
@@ -51,9 +55,9 @@ SCHEMAS = {
         T.StructField("layer", T.StringType()),
         T.StructField("source_file", T.StringType()),
         T.StructField("output_file", T.StringType()),
-        T.StructField("input_row_count", T.IntegerType()),
-        T.StructField("output_row_count", T.IntegerType()),
-        T.StructField("rows_filtered", T.IntegerType()),
+        T.StructField("input_row_count", T.LongType()),
+        T.StructField("output_row_count", T.LongType()),
+        T.StructField("rows_filtered", T.LongType()),
         T.StructField("processed_at", T.TimestampType()),
     ]),
 }
@@ -68,9 +72,10 @@ def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
     -> ``(file, file_hash, size, modified)``.
 
     The listing (path, length, modification time) is read without file contents.  Files found
-    in ``known`` with the same size and time keep their recorded hash; only the others are read
-    (``binaryFile``: one task per file, 2 GB per file at most) and hashed with the JVM's ``md5``,
-    which equals hashlib's hex digest.  So a run reads the bytes of new or changed files only.
+    in ``known`` with the same size and time keep their recorded hash; only the others are read,
+    so a run reads the bytes of new or changed files only.  Each is streamed by one task in
+    pieces of ``PIECE`` bytes, so its size does not matter; the files are spread over all tasks.
+    A file that cannot be opened or read has a NULL hash.
     """
     pattern = raw_dir.rstrip("/") + "/" + glob
     listing = (spark.read.format("binaryFile").load(pattern)
@@ -79,23 +84,48 @@ def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
     keys = ["file", "size", "modified"]
     if known is not None:
         seen = listing.join(known.select(*keys, "file_hash"), keys)
-        todo = [r["file"] for r in listing.join(known.select(*keys), keys, "left_anti").select("file").collect()]
+        todo = listing.join(known.select(*keys), keys, "left_anti")
     else:
-        seen = None
-        todo = [r["file"] for r in listing.select("file").collect()]
-    parts = [seen] if seen is not None else []
-    if todo:
-        fresh = (spark.read.format("binaryFile").load(todo)
-                      .select(F.col("path").alias("file"), F.md5(F.col("content")).alias("file_hash"),
-                              F.col("length").alias("size"), F.col("modificationTime").alias("modified")))
-        parts.append(fresh)
-    if not parts:
-        return listing.select(*[F.col(c) for c in ("file",)], F.lit(None).cast("string").alias("file_hash"),
-                              "size", "modified").limit(0)
-    out = parts[0]
-    for q in parts[1:]:
-        out = out.unionByName(q)
-    return out.select("file", "file_hash", "size", "modified")
+        seen, todo = None, listing
+    # a row is a whole file of work: give every task slot its share
+    spread = todo.repartition(spark.sparkContext.defaultParallelism)
+    fresh = spread.mapInPandas(_hash_pieces, "file string, file_hash string, size long, modified timestamp")
+    return fresh if seen is None else seen.select(*fresh.columns).unionByName(fresh)
+
+
+PIECE = 1 << 20
+
+
+def _hash_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """MD5 of files, read in pieces; a file system that Arrow cannot reach counts as unreadable."""
+    for files in batches:
+        hashes = []
+        for path in files["file"]:
+            digest = hashlib.md5()
+            try:
+                system, local = filesystem(path)
+                with system.open_input_stream(local) as source:
+                    while piece := source.read(PIECE):
+                        digest.update(piece)
+                hashes.append(digest.hexdigest())
+            except (OSError, pa.ArrowException):
+                hashes.append(None)
+        yield files.assign(file_hash=hashes)[["file", "file_hash", "size", "modified"]]
+
+
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+    """The Arrow file system of a Hadoop path and the path in it; characters stay as they are."""
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return pafs.LocalFileSystem(), "/" + (rest if colon else path).lstrip("/")
+    host, _, inside = rest.lstrip("/").partition("/")
+    system, base = pafs.FileSystem.from_uri(f"{scheme}://{host}/")
+    return system, f"{base.rstrip('/')}/{inside}" if base.strip("/") else ("/" + inside if scheme == "hdfs" else inside)
+
+
+def unhashed(hashes: DataFrame) -> DataFrame:
+    """AUD6: files without a hash, that is those that could not be read."""
+    return hashes.where(F.col("file_hash").isNull())
 
 
 def content_hash_dedup(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
@@ -111,7 +141,8 @@ def content_hash_dedup(df: DataFrame, text_col: str, id_col: str) -> DataFrame:
 def unseen_files(hashes: DataFrame, manifest: DataFrame) -> DataFrame:
     """AUD2: files whose content was never processed; of identical files in one run only the
     first by path is kept.  Anti-join on the hash, then one row per hash."""
-    fresh = hashes.join(manifest.select("file_hash").distinct(), "file_hash", "left_anti")
+    known = manifest.select("file_hash").distinct()
+    fresh = hashes.where(F.col("file_hash").isNotNull()).join(known, "file_hash", "left_anti")
     return (fresh.groupBy("file_hash")
                  .agg(F.min_by(F.struct("file", "size"), F.col("file")).alias("f"))
                  .select(F.col("f.file").alias("file"), "file_hash", F.col("f.size").alias("size")))

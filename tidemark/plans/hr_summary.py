@@ -13,28 +13,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions._col import quote
 from tidemark.functions.numbers import days_as_int
+from tidemark.operators.clean import ZPOST
 from tidemark.operators.projection import rest_columns
 from tidemark.operators.temporal import (
     DimSpec, actual_attribute, clip_and_weigh, complete_interval, daily_rates, keyed_value,
     overlap_left_join, prorate, sort_nulls_last,
 )
 
-# The twelve amount columns of the position-cost layout, in report order,
-# and the output names of their prorated values (the last one loses its suffix).
-MEASURES = [
-    "Standard Cost",
-    "Transfer to Ashi Reserves",
-    "Transfer to Separation Fund",
-    "Transfer to MIP Reserve",
-    "Total Post Cost",
-    "Central Cost Attribution",
-    "GSSC Chargeback",
-    "Local Hosting Office Cost",
-    "Local Service Cost1",
-    "Local Service Cost2 (Optional)",
-    "Total Non Post Cost",
-    "Total",
-]
+# The amount columns of the position-cost layout, in report order, and (fixed values) the output
+# names of their prorated values: one loses its suffix.
+MEASURES = list(ZPOST.decimals)
 MEASURE_OUTPUT = {m: m for m in MEASURES} | {"Local Service Cost2 (Optional)": "Local Service Cost2"}
 
 # Source column names of the three inputs and the output names of the report.
@@ -78,7 +66,7 @@ def hr_summary(zpost: DataFrame, pa0001: DataFrame, pa0008: DataFrame, *,
         z, "employee_id", "adj_valid_from", "adj_valid_to",
         [DimSpec(pa0001, DIM_KEY, attributes={"_pa_area": PA_AREA}, from_as="_pa1_from", to_as="_pa1_to"),
          DimSpec(pa0008, DIM_KEY, attributes={"_ps_group": PS_GROUP}, from_as="_pa8_from", to_as="_pa8_to")],
-        bucket_days=bucket_days, broadcast=broadcast_dims,
+        bucket_days=bucket_days, broadcast=broadcast_dims, salt_by=["position_id"], clip_early=True,
     )
     seg = clip_and_weigh(joined, "adj_valid_from", "adj_valid_to",
                          ["_pa1_from", "_pa8_from"], ["_pa1_to", "_pa8_to"])

@@ -3,8 +3,9 @@
 SRC1-SRC3, AUD1-AUD4, AUD6, EXT1-EXT16, SNK1.  One Spark job extracts all new files at once:
 
 1. MD5 of every ``*.txt`` file -- read only for files that are new or changed since they were
-   last hashed (path, size, modification time); files whose content is in the manifest are
-   skipped, and of identical files in this run only the first by path is taken (AUD1, AUD2).
+   last hashed (path, size, modification time), in pieces and whatever their size; files whose
+   content is in the manifest are skipped, and of identical files in this run only the first by
+   path is taken (AUD1, AUD2).  A file that cannot be read fails alone (AUD6).
 2. The lines of the new files are extracted in one pass (``extract_grid``); the per-file facts
    (first line, headers, row count, widest row) are collected -- one small row per file.
 3. Files without data rows are skipped and not recorded (EXT7); files whose widest row does not
@@ -27,23 +28,24 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.audit import FILE_INDEX, MANIFEST, AuditStore, file_hashes, remember_hashes, unseen_files
+from tidemark.plans.audit import FILE_INDEX, MANIFEST, AuditStore, file_hashes, remember_hashes, unhashed, unseen_files
 from tidemark.session import checkpoint_dir
 from tidemark.sources.layouts import DEFAULT_LAYOUTS, Layout, layout_by_name, match_layouts, to_table
 from tidemark.sources.reports import extract_grid, file_stats, read_report_lines
-from tidemark.sources.snapshots import SNAPSHOT, dataset_path, snapshot_id, write_snapshots_by_column
+from tidemark.sources.snapshots import SNAPSHOT, commit_snapshot, dataset_path, snapshot_id, write_snapshots_by_column
 
 
 def hash_files(spark: SparkSession, raw_dir: str, glob: str, audit: AuditStore):
     """AUD1 with an index: hash only new or changed files (their bytes are read once, by the
     job that appends them to the shared file index), then resolve every listed file's hash from
     the index with a content-free listing."""
-    remember_hashes(audit, file_hashes(spark, raw_dir, glob, known=audit.read(FILE_INDEX)))
+    fresh = file_hashes(spark, raw_dir, glob, known=audit.read(FILE_INDEX))
+    remember_hashes(audit, fresh.where(F.col("file_hash").isNotNull()))
     listing = (spark.read.format("binaryFile").load(raw_dir.rstrip("/") + "/" + glob)
                     .select(F.col("path").alias("file"), F.col("length").alias("size"),
                             F.col("modificationTime").alias("modified")))
     index = audit.read(FILE_INDEX).dropDuplicates(["file", "size", "modified"])
-    return listing.join(index, ["file", "size", "modified"]).select("file", "file_hash", "size", "modified")
+    return listing.join(index, ["file", "size", "modified"], "left").select("file", "file_hash", "size", "modified")
 
 
 @dataclass
@@ -62,6 +64,9 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
     res = IngestResult()
     try:
         hashes = hash_files(spark, raw_dir, glob, audit)
+        for r in unhashed(hashes).collect():    # AUD6: a file that cannot be read fails alone
+            res.status = "partial"
+            res.files.append(dict(file=os.path.basename(r["file"]), status="error", error="the file could not be read"))
         todo = sorted(unseen_files(hashes, audit.seen_hashes()).select("file", "file_hash").collect())
         if not todo:
             return res
@@ -113,6 +118,7 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
                 continue
             for g in group:
                 out = f"{dataset_path(root, 'bronze', g['table'])}/{SNAPSHOT}={g['sid']}"
+                commit_snapshot(spark, out)
                 manifest.append(dict(filename=g["name"], file_hash=hash_of[g["file"]], row_count=g["rows"],
                                      output_file=out))
                 res.files.append(dict(file=g["name"], status="ingested", table=g["table"], rows=g["rows"],

@@ -79,7 +79,7 @@ WHERE TRIM("Pers.No.") <> '' AND TRIM("Position") NOT IN ('', '99999999') AND TR
                            b=fx.PA0001_BRONZE_SQL))
 def org_filter(spark: SparkSession, sf: str) -> DataFrame:
     """The PA0001 Silver job: config filter on the source, then the template."""
-    return C.clean(fx.pa0001_bronze(spark, sf), C.PA0001, where=C.ORG_ASSIGNMENT_FILTER)
+    return C.clean(fx.pa0001_bronze(spark, sf), C.PA0001, where=C.org_assignment_filter)
 
 
 @register("silver_pa0008", "CFG5 FN1",

@@ -54,7 +54,7 @@ def run_balance(spark: SparkSession, sf: str) -> DataFrame:
     """Rows in / out / filtered of the PA0001 Silver job in one pass over its input."""
     b = fx.pa0001_bronze(spark, sf)
     # the job's filter predicate, evaluated as a counter instead of a filter (NULL = dropped)
-    pred = F.coalesce(F.expr(C.ORG_ASSIGNMENT_FILTER), F.lit(False))
+    pred = F.coalesce(C.is_org_assignment(b), F.lit(False))
     out = b.agg(F.count(F.lit(1)).alias("input_row_count"), F.count_if(pred).alias("output_row_count"))
     return out.select(F.lit("pa0001").alias("table_name"), F.lit("silver").alias("layer"),
                       "input_row_count", "output_row_count",

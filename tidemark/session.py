@@ -14,6 +14,8 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
+    # bad text fails a strict cast instead of becoming NULL
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # post-shuffle partitions are coalesced / split toward this size, so a cluster sets

@@ -20,14 +20,19 @@ file, so a huge file never lands in one task.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import PY_WHITESPACE, strip_ws
 
 DIVIDER = r"(?U)^\|[-\s]+\|$"
-# The charsets Spark's decode() accepts without the legacy Java-charset switch.
-_SPARK_CHARSETS = {"US-ASCII", "ISO-8859-1", "UTF-8", "UTF-16BE", "UTF-16LE", "UTF-16", "UTF-32"}
+_CHARSETS = {"utf-8": "utf-8", "utf8": "utf-8", "latin-1": "latin-1", "latin1": "latin-1",
+             "iso-8859-1": "latin-1", "cp1252": "cp1252", "windows-1252": "cp1252"}
+# cp1252 is latin-1 but for 0x80-0x9F, where the codec itself gives the characters it defines
+_CP1252 = "".join(bytes([b]).decode("cp1252", "replace") for b in range(0x80, 0xA0))
+_C1 = "".join(map(chr, range(0x80, 0xA0)))
 DIVIDER_MULTI = r"(?U)^\|[-\s|]*-[-\s|]*\|$"
 
 
@@ -38,32 +43,27 @@ def read_report_lines(spark: SparkSession, raw_dir: str | None = None, glob: str
 
     UTF-8 input is read by the splittable text source; invalid bytes become U+FFFD.  ``pos`` =
     (split start, row id) orders lines inside a file even when the file is split across tasks;
-    the id is taken right above the scan, before any shuffle.  Other encodings (``latin-1``)
-    go through ``binaryFile`` (one task per file, 2 GB per file at most).
+    the id is taken right above the scan, before any shuffle.  ``latin-1`` and ``cp1252`` are read
+    by the same source and decoded from its bytes, so they split as well; line ends are the same
+    bytes in all three.
     """
-    sources = list(paths) if paths is not None else [raw_dir.rstrip("/") + "/" + glob]
-    if encoding.lower().replace("_", "-") in ("utf-8", "utf8"):
-        df = spark.read.format("text").load(sources)
-        return df.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.struct(F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("row")).alias("pos"),
-            F.make_valid_utf8(F.col("value")).alias("value"),
-        )
-    charset = {"latin-1": "ISO-8859-1", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1",
-               "cp1252": "windows-1252"}.get(encoding.lower(), encoding)
-    legacy = str(spark.conf.get("spark.sql.legacy.javaCharsets", "false")).lower() == "true"
-    if charset.upper() not in _SPARK_CHARSETS and not legacy:
-        raise ValueError(f"Spark decodes only {sorted(_SPARK_CHARSETS)} by default; set "
-                         f"spark.sql.legacy.javaCharsets=true to read {encoding!r}")
-    raw = spark.read.format("binaryFile").load(sources)
-    text = F.regexp_replace(F.decode(F.col("content"), charset), r"\r\n?", "\n")
-    # universal newlines: \r\n, \r and \n all end a line; a final newline adds no line
-    lines = F.split(F.col("_t"), "\n", -1)
-    lines = F.when(F.col("_t").endswith("\n"), F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
-    return (raw.select(F.col("path").alias("file"), text.alias("_t"))
-               .where(F.length("_t") > 0)
-               .select("file", F.posexplode(lines).alias("pos", "value")))
+    sources = [_literal(p) for p in paths] if paths is not None else [raw_dir.rstrip("/") + "/" + glob]
+    charset = _CHARSETS.get(encoding.lower().replace("_", "-"))
+    if charset is None:
+        raise ValueError(f"unknown encoding {encoding!r}; known: {sorted(_CHARSETS)}")
+    raw = F.col("value")
+    if charset == "utf-8":
+        value = F.make_valid_utf8(raw)
+    else:
+        value = F.decode(raw.cast("binary"), "ISO-8859-1")
+        if charset == "cp1252":
+            value = F.translate(value, _C1, _CP1252)
+    return spark.read.format("text").load(sources).select(
+        unescaped(F.col("_metadata.file_path")).alias("file"),
+        F.struct(F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("row")).alias("pos"),
+        value.alias("value"),
+    )
 
 
 # A cell delimiter that swallows the whitespace around each '|': splitting a stripped line on
@@ -122,6 +122,16 @@ def file_stats(rows: DataFrame, files: DataFrame) -> DataFrame:
                           & (F.col("max_width") != F.size("headers"))).alias("ragged")))
 
 
+def unescaped(path: Column) -> Column:
+    """A path as the file system has it: ``_metadata`` gives it with URL escapes, other sources do not."""
+    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+
+
+def _literal(path: str) -> str:
+    """A path whose glob characters stand for themselves."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def file_stem(path: Column) -> Column:
     """``Path(p).stem``: the file name without its last suffix."""
     name = F.regexp_extract(path, r"([^/]*)$", 1)

@@ -2,8 +2,10 @@
 
 Every run writes a new snapshot directory; readers take the lexicographically largest id.  Ids
 start with the run timestamp, so "largest" is "newest"; a per-file sequence number and a hash
-prefix make two outputs of one second distinct.  Listing uses the Hadoop FileSystem API (names
-only), so it costs one directory listing whatever the data size.
+prefix make two outputs of one second distinct.  A snapshot counts only with a ``_COMMITTED``
+marker, which is written last: what a failed or still running write leaves is never read.  Listing
+uses the Hadoop FileSystem API (names only), so it costs one directory listing whatever the data
+size.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 from tidemark.functions._col import as_col
 
 SNAPSHOT = "snapshot"
+COMMITTED = "_COMMITTED"    # Spark's readers ignore names that start with an underscore
 
 
 class MissingDependency(LookupError):
@@ -39,19 +42,30 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def list_snapshots(spark: SparkSession, root: str, layer: str, dataset: str) -> list[str]:
-    """Sorted snapshot ids of one dataset in one layer (empty if none)."""
+def commit_snapshot(spark: SparkSession, path: str) -> None:
+    """Mark a snapshot as whole; the last step of every write."""
+    p, fs = _fs(spark, f"{path}/{COMMITTED}")
+    fs.create(p, True).close()
+
+
+def _is_committed(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs(spark, f"{path}/{COMMITTED}")
+    return fs.exists(p)
+
+
+def _written_snapshots(spark: SparkSession, root: str, layer: str, dataset: str) -> list[str]:
+    """Sorted ids of all snapshot folders, committed or not (empty if none)."""
     p, fs = _fs(spark, dataset_path(root, layer, dataset))
     if not fs.exists(p):
         return []
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        # Spark's commit protocol moves task output into place at job commit, so a snapshot
-        # directory only appears once its write job has committed.
-        if st.isDirectory() and name.startswith(SNAPSHOT + "="):
-            out.append(name.split("=", 1)[1])
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(SNAPSHOT + "="))
+
+
+def list_snapshots(spark: SparkSession, root: str, layer: str, dataset: str) -> list[str]:
+    """Sorted ids of the committed snapshots of one dataset in one layer (empty if none)."""
+    base = dataset_path(root, layer, dataset)
+    return [i for i in _written_snapshots(spark, root, layer, dataset) if _is_committed(spark, f"{base}/{SNAPSHOT}={i}")]
 
 
 def latest_snapshot(spark: SparkSession, root: str, dataset: str,
@@ -63,9 +77,11 @@ def latest_snapshot(spark: SparkSession, root: str, dataset: str,
     """
     chosen = None
     for layer in layers:
-        ids = list_snapshots(spark, root, layer, dataset)
-        if ids:
-            chosen = f"{dataset_path(root, layer, dataset)}/{SNAPSHOT}={ids[-1]}"
+        for i in reversed(_written_snapshots(spark, root, layer, dataset)):
+            path = f"{dataset_path(root, layer, dataset)}/{SNAPSHOT}={i}"
+            if _is_committed(spark, path):
+                chosen = path
+                break
     return chosen
 
 
@@ -96,11 +112,14 @@ def write_snapshot(df: DataFrame, root: str, layer: str, dataset: str, sid: str)
     executors only cause task retries."""
     path = f"{dataset_path(root, layer, dataset)}/{SNAPSHOT}={sid}"
     df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    commit_snapshot(df.sparkSession, path)
     return path
 
 
 def write_snapshots_by_column(df: DataFrame, root: str, layer: str, dataset: str, sid_col: str) -> str:
-    """Several snapshots of one dataset in one write job: ``partitionBy(snapshot)``, append."""
+    """Several snapshots of one dataset in one write job: ``partitionBy(snapshot)``, append.
+
+    The caller commits each snapshot (``commit_snapshot``) after the job has ended."""
     path = dataset_path(root, layer, dataset)
     (df.withColumnRenamed(sid_col, SNAPSHOT).write.mode("append").option("compression", "zstd")
        .partitionBy(SNAPSHOT).parquet(path))
