@@ -32,9 +32,9 @@ in one task.  Instead both sides also carry a time bucket, and the join is an eq
 All dimensions join on the same ``(key, bucket)`` columns of the fact, so the fact side is
 shuffled once for the whole chain.  A bucketed dimension is broadcast only when an exact
 measurement of it (one aggregate) is under the broadcast threshold, else the join is a
-sort-merge join.  AQE splits a (key, bucket) partition that is still skewed in the last join of a
-chain only: it leaves a join alone whose partitioning the next one reuses.  With ``clip_early`` a
-chain at least never carries rows on whose segment is already empty.
+sort-merge join.  AQE splits a (key, bucket) partition that is still skewed; in a chain it does so
+only with ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (a session default here), since the next
+join reuses the partitioning.  With ``clip_early`` a chain carries no rows whose segment is empty.
 """
 
 from __future__ import annotations

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # also where the next join would reuse the partitioning: a shuffle more, but no task with a hot key
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # post-shuffle partitions are coalesced / split toward this size, so a cluster sets
     # spark.sql.shuffle.partitions generously (about shuffle bytes / 128 MB) and AQE trims it
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
