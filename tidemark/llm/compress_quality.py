@@ -1,8 +1,8 @@
 """Quality by compression: two Zstandard dictionaries, one of good and one of bad labelled text.
 
 A text that the bad dictionary compresses better than the good one looks like bad text.  The size
-differences, normalised by the text's length and by the compressed sizes, and the compression
-ratio itself go through a logistic calibration fitted on labelled rows that neither dictionary has
+differences, normalised by the text's length and by the compressed sizes, the compression ratio
+and, as short texts say less, the length go through a logistic calibration fitted on labelled rows that neither dictionary has
 seen.  Labels are used from the training fold only; nothing but the text enters a score.
 """
 
@@ -55,14 +55,17 @@ class Sizes:
         return zstandard.ZstdCompressor(level=LEVEL, dict_data=held, write_content_size=False, write_checksum=False, write_dict_id=False)
 
     def __call__(self, column: pa.Array) -> np.ndarray:
-        out = np.zeros((len(column), 5))
+        sizes = np.ones((len(column), 3))
         for k, text in enumerate(column.cast(pa.binary())):
             raw = text.as_buffer() if text.is_valid else b""
-            bad, good = (len(c.compress(raw)) for c in self.both)
-            n = max(1, len(raw))
-            per_byte, relative, ratio = (bad - good) / n, (bad - good) / (bad + good), min(2.0, (bad + good) / (2 * n))
-            out[k] = 20 * per_byte, 5 * relative, 4 * ratio, 20 * per_byte * ratio, 4 * ratio * ratio
-        return out
+            sizes[k] = *(len(c.compress(raw)) for c in self.both), max(1, len(raw))
+        bad, good, n = sizes.T
+        per_byte, relative, ratio = 20 * (bad - good) / n, 5 * (bad - good) / (bad + good), np.minimum(2.0, (bad + good) / (2 * n))
+        short = np.exp(-n / 300)  # of a short text the differences say less
+        return np.column_stack([
+            per_byte, relative, 4 * ratio, per_byte * ratio, 4 * ratio ** 2, per_byte ** 2, relative ** 2,
+            short, short * per_byte, short * relative, 4 * short * ratio, np.log(n) / 5,
+        ])
 
 
 def _features(dictionaries):

@@ -28,17 +28,25 @@ def sample(labelled: DataFrame, per_class: int) -> DataFrame:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weights (the last is the intercept) of a dense logistic regression by Newton's method, both classes weighing the same as their rows."""
+    """Weights (the last is the intercept) of a dense logistic regression by Newton's method with step halving."""
     x = np.column_stack([x, np.ones(len(x))])
     w = np.zeros(x.shape[1])
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - y * z).mean() + 0.5 * ridge * w @ w)
+
+    now = loss(w)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = sigmoid(x @ w)
         slope = x.T @ (p - y) / len(y) + ridge * w
         curve = (x.T * np.maximum(p * (1 - p), 1e-6)) @ x / len(y) + ridge * np.eye(len(w))
         step = np.linalg.solve(curve, slope)
-        w -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+        while (then := loss(w - step)) > now and np.abs(step).max() > 1e-10:
+            step = step / 2
+        if then > now or np.abs(step).max() < 1e-8:
             break
+        w, now = w - step, then
     return w
 
 
