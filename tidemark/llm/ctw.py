@@ -10,8 +10,9 @@ Scoring mixes the depths by the posterior weights that this gives, and ends at t
 that was seen.
 
 One pass counts words and (context, byte) pairs of all documents; both are summed by one shuffle.
-Of the contexts those with the most observations, at most ``MOST_GRAMS`` pairs, go into the model
-that is broadcast; what pruned contexts have seen is pooled at their parent.  In the pass that
+Of the contexts those with the most observations, at most ``MOST_GRAMS`` pairs, go into the model,
+which one task fits and writes to the shared folder, where every worker reads it once; what pruned
+contexts have seen is pooled at their parent.  In the pass that
 scores the documents the ``MOST_WORDS`` most frequent words are looked up in the task, and all
 others are joined to the word table by their hash.
 """
@@ -19,20 +20,23 @@ others are joined to the word table by their hash.
 from __future__ import annotations
 
 import heapq
+import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm import files
 from tidemark.llm.labelled import fold
-from tidemark.llm.scratch import stage
+from tidemark.llm.scratch import folder, stage
 from tidemark.llm.words import U64, Scanner, chunks
 
 DEPTH = 5
-MOST_GRAMS = 1 << 20
+MOST_GRAMS = 1 << 19
 MOST_WORDS = 1 << 18
 SPACE, STOP = 0x20, 0x0A
 _RUN = 6 << 20  # bytes of text that are counted or scored together
@@ -105,6 +109,7 @@ class Decisions:
 
 @dataclass
 class Model:
+    counts: np.ndarray           # of each byte, from which the decisions follow
     decisions: Decisions
     contexts: list[np.ndarray]   # by depth: sorted contexts
     nodes: list[np.ndarray]      # by depth: sorted (rank of the context) * 256 + decision
@@ -138,7 +143,8 @@ class Model:
 def fit(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Model:
     """The weighted tree from (depth, context, byte, count); with a context all its parents must be there."""
     root = depth == 0
-    decisions = Decisions(np.bincount(byte[root], n[root], 256))
+    totals = np.bincount(byte[root], n[root], 256)
+    decisions = Decisions(totals)
     contexts, nodes, zeros, ones, parent = [], [], [], [], []
     for d in range(DEPTH + 1):
         own = depth == d
@@ -175,7 +181,33 @@ def fit(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray)
         if d < DEPTH:
             up = parent[d]
             acc, rest = (acc + rest * weight[d] * kt)[up], (rest * (1 - weight[d]))[up]
-    return Model(decisions, contexts, nodes, mixed)
+    return Model(totals, decisions, contexts, nodes, mixed)
+
+
+def _save(model: Model, folder_: str) -> str:
+    raw = io.BytesIO()
+    np.savez(raw, counts=model.counts, **{f"{name}{d}": x for name in ("contexts", "nodes", "ones") for d, x in enumerate(getattr(model, name))})
+    with files.writing(folder_, "tree.npz") as out:
+        out.write(raw.getvalue())
+    return f"{folder_}/tree.npz"
+
+
+_LOADED: dict[str, Model] = {}
+
+
+def _load(path: str | None) -> Model:
+    """The model of a file, read once by each Python worker, which keeps one; without a file, one that has seen nothing."""
+    if path not in _LOADED:
+        _LOADED.clear()
+        if path is None:
+            none = np.zeros(0, np.int64)
+            _LOADED[path] = fit(none, none.view(U64), none, none)
+        else:
+            with files.opened(path) as source:
+                held = np.load(io.BytesIO(source.read()))
+            layers = [[held[f"{name}{d}"] for d in range(DEPTH + 1)] for name in ("contexts", "nodes", "ones")]
+            _LOADED[path] = Model(held["counts"], Decisions(held["counts"]), *layers)
+    return _LOADED[path]
 
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -218,14 +250,20 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _train(codes: DataFrame) -> Model:
-    """Sum contexts of all depths and fit the tree on those with the most observations."""
+def _train(codes: DataFrame) -> str | None:
+    """Sum contexts of all depths and fit the tree on those with the most observations; its file, if there is anything to learn from."""
     depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.shiftrightunsigned("key", 8).bitwiseAND((1 << (8 * d)) - 1).alias("context")) for d in range(DEPTH + 1)))).alias("at")
     grams = codes.select(depths, F.col("key").bitwiseAND(255).cast("int").alias("byte"), "c").groupBy("at.depth", "at.context", "byte").agg(F.sum("c").alias("n"))
     held = stage(grams.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("byte", "n")).alias("bytes")), "contexts")  # at most 256 bytes each
     least = _least(held, "total", F.sum(F.size("bytes")), MOST_GRAMS)
-    kept = held.filter(F.floor(F.log2("total")) >= least).select("depth", "context", F.explode("bytes").alias("g")).select("depth", "context", "g.byte", "g.n").toPandas()
-    return fit(kept.depth.to_numpy(), kept.context.to_numpy(np.int64).view(U64), kept.byte.to_numpy(), kept.n.to_numpy())
+    kept = held.filter(F.floor(F.log2("total")) >= least).select("depth", "context", F.explode("bytes").alias("g")).select("depth", "context", "g.byte", "g.n")
+    where = folder(codes.sparkSession, "tree")
+
+    def fit_all(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"file": [_save(fit(rows.depth.to_numpy(), rows.context.to_numpy(np.int64).view(U64), rows.byte.to_numpy(), rows.n.to_numpy()), where)]})
+
+    found = kept.groupBy(F.lit(0).alias("one")).applyInPandas(fit_all, "file string").collect()
+    return found[0].file if found else None
 
 
 def _least(table: DataFrame, column: str, size, most: int) -> int:
@@ -240,9 +278,9 @@ def _least(table: DataFrame, column: str, size, most: int) -> int:
     return least
 
 
-def _score_texts(tree, common):
+def _score_texts(tree: str | None, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model: Model = tree.value
+        model = _load(tree)
         hashes, counts, total = common.value
         logs = np.log10((counts + 1.0) / total)
         slot = TaskContext.get().partitionId() << 40
@@ -303,7 +341,7 @@ def score(docs: DataFrame, learn=None) -> DataFrame:
     counted = texts.select(learnt.alias("learn"), "text").mapInArrow(_count, "kind int, key long, n long, c long")
     counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "counts")
     words = counted.filter("kind = 0").select(F.col("key").alias("hash"), "n", "c")
-    tree = spark.sparkContext.broadcast(_train(counted.filter("kind = 1")))
+    tree = _train(counted.filter("kind = 1"))
 
     sums = words.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()[0]
     tokens, distinct = (sums.c or 0) + n_learnt, (sums.v or 0) + int(n_learnt > 0)
