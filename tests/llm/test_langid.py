@@ -19,7 +19,6 @@ def test_text_overrules_a_wrong_declaration_and_evidence_fills_gaps(spark):
 
 
 def test_text_evidence_is_the_sum_over_its_grams(spark):
-    import numpy as np
     import pyarrow as pa
     from tidemark.llm.words import chunks
 
