@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import compress_quality, decontam, langid, minhash, packing
 from tidemark.llm.labelled import fold
-from tidemark.llm.scratch import ship, stage
+from tidemark.llm.scratch import ship, small, stage
 
 #: The stages learn models and follow links, which SQL cannot express; tests hold them against brute force.
 ORACLE_SQL = None
@@ -22,11 +22,11 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     """Documents whose doc_id is not among the rejected.
 
     A null doc_id matches nothing and stays; rows that share an id are one document and go
-    together.  The rejected ids are written first, so that Spark sees their size: few are
-    broadcast, many are joined by a shuffle.
+    together.  The rejected ids are written first and counted: up to a million are broadcast, more
+    are joined by a shuffle.
     """
     ids = stage(rejected.select(F.col("doc_id").alias("__rejected")).filter("__rejected is not null").distinct(), "rejected")
-    return docs.join(ids, F.col("doc_id").cast("long") == F.col("__rejected"), "left_anti")
+    return docs.join(small(ids), F.col("doc_id").cast("long") == F.col("__rejected"), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.scratch import drop, stage
+from tidemark.llm.scratch import drop, small, stage
 from tidemark.llm.words import U64, Scanner, chunks, mix, ngrams
 
 BINS, ROWS = 128, 4
@@ -211,7 +211,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = stars.join(marks.toDF("b", "of_b"), "b").join(marks.toDF("a", "of_a"), "a")
     stars = stage(stars.filter(_agreement("of_a", "of_b") >= AGREE).select("a", "b"), "stars")
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).union(shared.filter("n > 2").select("rep")).distinct()
-    sets = stage(texts.join(stage(wanted, "wanted"), "doc_id", "left_semi").mapInArrow(_full_sets, _SETS).dropDuplicates(["doc_id"]), "sets")
+    sets = stage(texts.join(small(stage(wanted, "wanted")), "doc_id", "left_semi").mapInArrow(_full_sets, _SETS).dropDuplicates(["doc_id"]), "sets")
     links = stage(_confirmed(stars, sets), "links")
     found = components(links)
 

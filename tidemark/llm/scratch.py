@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidemark
 from tidemark.session import checkpoint_dir
@@ -31,6 +31,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+#: Ids (8 bytes each) up to which a table of them is broadcast.
+BROADCAST_IDS = 1_000_000
+
+
+def small(ids: DataFrame) -> DataFrame:
+    """A staged table of ids, marked for broadcast if it has at most ``BROADCAST_IDS`` rows; else Spark joins it by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete staged tables that no later plan reads."""
     for t in tables:
