@@ -31,12 +31,14 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Language ID: a document goes if no known language has a posterior of 0.6 or more, or it has no letters."""
+    ship(spark)
     found = langid.identify(langid.of_documents(docs))
     return _without(docs, found.filter("not accepted").select(F.col("id").alias("doc_id")))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality classifier: a document goes if its score, trained on the labels of its fold, is under 0.3."""
+    ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = compress_quality.train(docs, labels, fold(F.col("doc_id"), 5) != 0)
     scored = compress_quality.scored(docs, model, name=_SCORE)
@@ -45,17 +47,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """MinHash near-dedup: of each component the smallest doc_id stays."""
+    ship(spark)
     return _without(docs, minhash.near_duplicates(docs).filter("not kept"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: a document with a window of a benchmark item goes."""
+    ship(spark)
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return _without(docs, decontam.contamination(docs, benchmark).filter("contaminated"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing: the pieces of all documents in sequences of at most 2048 ids."""
+    ship(spark)
     import public_tokenizers
 
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -66,7 +71,6 @@ STAGES = [("language ID", language), ("quality classifier", quality), ("MinHash
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, apply in STAGES[:-1]:
         docs = stage(apply(spark, docs, sf_dir), name.replace(" ", "-"))

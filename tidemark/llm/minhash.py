@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.scratch import drop, small, stage
@@ -117,12 +117,12 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(held, pa.list_(pa.int64()))], schema=schema)
 
 
-@F.pandas_udf(T.DoubleType())
-def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Share of bins in which two sketches agree."""
-    left = np.frombuffer(b"".join(a), np.uint32).reshape(-1, BINS)
-    right = np.frombuffer(b"".join(b), np.uint32).reshape(-1, BINS)
-    return pd.Series((left == right).mean(axis=1))
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sketches agree in a share of at least ``AGREE`` of their bins."""
+    for batch in batches:
+        left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, BINS) for c in ("of_a", "of_b"))
+        near = pa.array((left == right).mean(axis=1) >= AGREE)
+        yield batch.select(["a", "b"]).filter(near)
 
 
 def _unlinked(rows: pd.DataFrame, low: int, high: int) -> Iterator[tuple[int, int]]:
@@ -209,7 +209,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     marks = reps.select("rep", "signature")
     stars = shared.select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct()
     stars = stars.join(marks.toDF("b", "of_b"), "b").join(marks.toDF("a", "of_a"), "a")
-    stars = stage(stars.filter(_agreement("of_a", "of_b") >= AGREE).select("a", "b"), "stars")
+    stars = stage(stars.select("a", "b", "of_a", "of_b").mapInArrow(_agreeing, "a long, b long"), "stars")
     wanted = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).union(shared.filter("n > 2").select("rep")).distinct()
     sets = stage(texts.join(small(stage(wanted, "wanted")), "doc_id", "left_semi").mapInArrow(_full_sets, _SETS).dropDuplicates(["doc_id"]), "sets")
     links = stage(_confirmed(stars, sets), "links")

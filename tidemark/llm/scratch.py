@@ -47,8 +47,13 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of an Arrow batch: whole texts go to Python, and a task holds several copies of a batch.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per context, as ``--py-files`` would."""
+    """Send this package to the executors once per context, as ``--py-files`` would, and bound the batches of texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_tidemark_shipped", False):
         return

@@ -81,7 +81,7 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
-def chunks(column: pa.Array, most: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def chunks(column: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, bounds) of runs of rows of about ``most`` bytes; a longer text is a run of its own."""
     data, bounds = text_buffers(column)
     row, n = 0, len(bounds) - 1
