@@ -158,6 +158,7 @@ def _packer(tokenizer: str, window: int, with_ids: bool):
                 columns = list(zip(*rows))
                 kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
                 yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES[:len(kinds)])
+        encode_texts.forget()
 
     return run
 

@@ -217,6 +217,7 @@ def _write_files(where: str, tokenizer: str):
                 writer.close()
             yield pa.record_batch({"file": [f"{where}/{name}"], "part": pa.array([part], pa.int64()), "number": pa.array([number], pa.int64()), "n_docs": pa.array([len(writer.docs)], pa.int64()), "n_ids": pa.array([writer.n_ids], pa.int64())})
             number += 1
+        encode_texts.forget()
 
     return run
 

@@ -68,6 +68,10 @@ class Encoder:
         """Ids by the library alone."""
         return self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
+    def forget(self) -> None:
+        """Empty the cache; a task does so at its end, as its worker goes on to other work."""
+        self.plain, self.odd = {}, {}
+
     def _learn(self, plain: list[bytes], odd: list[bytes]) -> None:
         """Add pieces to the cache."""
         for raw in odd:
