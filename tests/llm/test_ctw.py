@@ -86,6 +86,17 @@ def test_scores_against_brute_force(spark, monkeypatch):
             assert math.isclose(r.score, bits[k] * math.log10(2), rel_tol=1e-6)
 
 
+def test_scores_do_not_depend_on_what_is_looked_up(spark, monkeypatch):
+    texts = _texts()
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    learnt = [k for k in range(len(texts)) if zlib.crc32(str(k).encode()) % 7 != 2]
+    bits = _brute(texts, learnt)
+    for most in (0, 300):  # all codes joined, and all but the most frequent
+        monkeypatch.setattr(ctw, "MOST_GRAMS", most)
+        got = {r.doc_id: r.score for r in ctw.language_model(docs).collect()}
+        assert all(math.isclose(got[k], bits[k] * math.log10(2), rel_tol=1e-6) for k in range(len(texts)))
+
+
 def test_probabilities_sum_to_one_also_when_pruned():
     rng = np.random.default_rng(0)
     text = b" " * ctw.DEPTH + bytes(rng.choice(list(b"abcd \n"), 3000).tolist())

@@ -9,36 +9,36 @@ over all depths follows from counts that Spark has summed over the corpus:
 Scoring mixes the depths by the posterior weights that this gives, and ends at the deepest context
 that was seen.
 
-One pass counts words and (context, byte) pairs of all documents; both are summed by one shuffle.
-Of the contexts those with the most observations, at most ``MOST_GRAMS`` pairs, go into the model,
-which one task fits and writes to the shared folder, where every worker reads it once; what pruned
-contexts have seen is pooled at their parent.  In the pass that
-scores the documents the ``MOST_WORDS`` most frequent words are looked up in the task, and all
-others are joined to the word table by their hash.
+One pass counts words and (context, byte) codes of all documents; both are summed by one shuffle.
+The tree holds every context that was seen.  It is summed and weighted depth by depth, from the
+deepest to the root, by group-bys of (context, decision), then mixed from the root to the deepest
+by joins to the parents; a parent has at most 256 children in either.  The codes of documents that
+are not learnt from are in it with counts of 0, which change no weight, and so every code that
+occurs gets its probability there.  In the pass that scores the documents the most frequent words
+and codes, up to ``MOST_WORDS`` and ``MOST_GRAMS``, are looked up in the task, and all others are
+joined to their tables; these two constants change the way, not the scores.
 """
 
 from __future__ import annotations
 
 import heapq
-import io
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm import files
 from tidemark.llm.labelled import fold
-from tidemark.llm.scratch import folder, stage
+from tidemark.llm.scratch import drop, stage
 from tidemark.llm.words import U64, Scanner, chunks
 
 DEPTH = 5
 MOST_GRAMS = 1 << 19
 MOST_WORDS = 1 << 18
 SPACE, STOP = 0x20, 0x0A
+_LEARNT = U64(1 << (8 * DEPTH + 8))  # above the bytes of a code
 _RUN = 6 << 20  # bytes of text that are counted or scored together
 
 
@@ -109,6 +109,8 @@ class Decisions:
 
 @dataclass
 class Model:
+    """A tree in memory, of any contexts; ``score`` keeps its tree in tables."""
+
     counts: np.ndarray           # of each byte, from which the decisions follow
     decisions: Decisions
     contexts: list[np.ndarray]   # by depth: sorted contexts
@@ -184,32 +186,6 @@ def fit(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray)
     return Model(totals, decisions, contexts, nodes, mixed)
 
 
-def _save(model: Model, folder_: str) -> str:
-    raw = io.BytesIO()
-    np.savez(raw, counts=model.counts, **{f"{name}{d}": x for name in ("contexts", "nodes", "ones") for d, x in enumerate(getattr(model, name))})
-    with files.writing(folder_, "tree.npz") as out:
-        out.write(raw.getvalue())
-    return f"{folder_}/tree.npz"
-
-
-_LOADED: dict[str, Model] = {}
-
-
-def _load(path: str | None) -> Model:
-    """The model of a file, read once by each Python worker, which keeps one; without a file, one that has seen nothing."""
-    if path not in _LOADED:
-        _LOADED.clear()
-        if path is None:
-            none = np.zeros(0, np.int64)
-            _LOADED[path] = fit(none, none.view(U64), none, none)
-        else:
-            with files.opened(path) as source:
-                held = np.load(io.BytesIO(source.read()))
-            layers = [[held[f"{name}{d}"] for d in range(DEPTH + 1)] for name in ("contexts", "nodes", "ones")]
-            _LOADED[path] = Model(held["counts"], Decisions(held["counts"]), *layers)
-    return _LOADED[path]
-
-
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 0x20
 
@@ -229,7 +205,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
         yield rows(0, distinct, np.bincount(which, minlength=len(distinct)), np.bincount(which, np.concatenate(learnt), len(distinct)))
         distinct, n = np.unique(np.concatenate(codes), return_counts=True)
-        yield rows(1, distinct, n, n)
+        yield rows(1, distinct & (_LEARNT - U64(1)), n, np.where(distinct & _LEARNT, n, 0))
 
     def rows(kind: int, keys: np.ndarray, n: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
         return pa.record_batch([pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64)), pa.array(c.astype(np.int64))], names=["kind", "key", "n", "c"])
@@ -241,7 +217,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n_codes = np.bincount(np.repeat(np.arange(end - row), n_words), words.ends - words.starts + 1, end - row).astype(np.int64) + 1
             hashes.append(words.hashes)
             learnt.append(np.repeat(learn[row:end], n_words))
-            codes.append(own[np.repeat(learn[row:end], n_codes)])
+            codes.append(own | np.repeat(np.where(learn[row:end], _LEARNT, U64(0)), n_codes))
             size += len(own)
             if size > _RUN:
                 yield from flush()
@@ -250,20 +226,55 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush()
 
 
-def _train(codes: DataFrame) -> str | None:
-    """Sum contexts of all depths and fit the tree on those with the most observations; its file, if there is anything to learn from."""
-    depths = F.explode(F.array(*(F.struct(F.lit(d).alias("depth"), F.shiftrightunsigned("key", 8).bitwiseAND((1 << (8 * d)) - 1).alias("context")) for d in range(DEPTH + 1)))).alias("at")
-    grams = codes.select(depths, F.col("key").bitwiseAND(255).cast("int").alias("byte"), "c").groupBy("at.depth", "at.context", "byte").agg(F.sum("c").alias("n"))
-    held = stage(grams.groupBy("depth", "context").agg(F.sum("n").alias("total"), F.collect_list(F.struct("byte", "n")).alias("bytes")), "contexts")  # at most 256 bytes each
-    least = _least(held, "total", F.sum(F.size("bytes")), MOST_GRAMS)
-    kept = held.filter(F.floor(F.log2("total")) >= least).select("depth", "context", F.explode("bytes").alias("g")).select("depth", "context", "g.byte", "g.n")
-    where = folder(codes.sparkSession, "tree")
+def _weigh(inner: bool):
+    """Of nodes (at, zeros, ones, below: the log of the product of their children's weighted probabilities) the log of their own and the weight of stopping there."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, zeros, ones, below = (batch.column(k) for k in range(4))
+            own = log_kt(zeros.to_numpy().astype(float), ones.to_numpy().astype(float))
+            log_w = np.logaddexp(own, below.to_numpy()) - np.log(2) if inner else own
+            stop = np.exp(own - np.log(2) - log_w) if inner else np.ones(len(own))
+            yield pa.record_batch([at, zeros, ones, pa.array(log_w), pa.array(stop)], names=["at", "zeros", "ones", "log_w", "stop"])
+
+    return run
+
+
+def _tree(codes: DataFrame) -> DataFrame:
+    """log2 of the probability of every code's byte in its context: (key, log).  ``codes`` has each code once (key) and how often it was learnt (c).
+
+    A node's key is its context and, as the lowest byte, its decision; its parent's has one byte less.
+    """
+    spark = codes.sparkSession
+    totals = np.zeros(256)
+    for r in codes.groupBy(F.col("key").bitwiseAND(255).alias("byte")).agg(F.sum("c").alias("c")).collect():  # at most 256 rows
+        totals[r.byte] = r.c
+    row, node, bit = Decisions(totals).of(np.arange(256))
+    paths = F.broadcast(spark.createDataFrame(list(zip(row.tolist(), node.tolist(), bit.tolist())), "byte long, node long, bit int"))
+    parts = codes.withColumn("byte", F.col("key").bitwiseAND(255)).join(paths, "byte").select("key", ((F.col("key") - F.col("byte")) + F.col("node")).alias("at"), "bit", "c")
+
+    sums = parts.groupBy("at").agg(F.sum(F.when(F.col("bit") == 0, F.col("c")).otherwise(0)).alias("zeros"), F.sum(F.when(F.col("bit") == 1, F.col("c")).otherwise(0)).alias("ones"))
+    kind = "at long, zeros long, ones long, log_w double, stop double"
+    levels = [stage(sums.withColumn("below", F.lit(0.0)).mapInArrow(_weigh(False), kind), "nodes")]
+    for d in range(DEPTH - 1, -1, -1):
+        sums = levels[0].groupBy(_up(d).alias("at")).agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("log_w").alias("below"))
+        levels.insert(0, stage(sums.mapInArrow(_weigh(True), kind), "nodes"))
+
+    kt = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
+    mixed = F.when(F.col("zeros") + F.col("ones") > 0, F.col("acc") + F.col("rest") * kt).otherwise(F.col("p"))  # else that of the deepest node seen
+    above = F.broadcast(spark.createDataFrame([(k, 0.0, 1.0, 0.5) for k in range(256)], "up long, acc double, rest double, p double"))
+    for d in range(DEPTH + 1):
+        nodes = levels[d].join(above, _up(max(0, d - 1)) == F.col("up"))
+        acc, rest = F.col("acc") + F.col("rest") * F.col("stop") * kt, F.col("rest") * (1 - F.col("stop"))
+        above = nodes.select(F.col("at").alias("up"), acc.alias("acc"), rest.alias("rest"), mixed.alias("p"))
+    found = parts.select("key", "bit", "at").join(above.select(F.col("up").alias("at"), "p"), "at")
+    out = stage(found.groupBy("key").agg(F.sum(F.log2(F.when(F.col("bit") == 1, F.col("p")).otherwise(1 - F.col("p")))).alias("log")), "logs")
+    drop(*levels)
+    return out
 
-    def fit_all(_: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"file": [_save(fit(rows.depth.to_numpy(), rows.context.to_numpy(np.int64).view(U64), rows.byte.to_numpy(), rows.n.to_numpy()), where)]})
 
-    found = kept.groupBy(F.lit(0).alias("one")).applyInPandas(fit_all, "file string").collect()
-    return found[0].file if found else None
+def _up(d: int) -> Column:
+    """The key at depth ``d`` of a node at or below it."""
+    return F.col("at").bitwiseAND((1 << (8 * d + 8)) - 1)
 
 
 def _least(table: DataFrame, column: str, size, most: int) -> int:
@@ -278,23 +289,26 @@ def _least(table: DataFrame, column: str, size, most: int) -> int:
     return least
 
 
-def _score_texts(tree: str | None, common):
+def _score_texts(common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = _load(tree)
-        hashes, counts, total = common.value
+        hashes, counts, total, held, held_logs = common.value
         logs = np.log10((counts + 1.0) / total)
         slot = TaskContext.get().partitionId() << 40
         waiting, size = [], 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            bits = np.cumsum(np.concatenate([[0.0], model.log2(np.concatenate([own for *_, own in waiting]))]))
+            distinct, which = np.unique(np.concatenate([own for *_, own in waiting]), return_inverse=True)
+            at = np.minimum(np.searchsorted(held, distinct), max(0, len(held) - 1))
+            looked = held[at] == distinct if len(held) else np.zeros(len(distinct), bool)
+            bits = np.cumsum(np.concatenate([[0.0], (np.where(looked, held_logs[at], 0.0) if len(held) else np.zeros(len(distinct)))[which]]))
+            others = ~looked[which]
             begin = 0
             for first, ids, words, own in waiting:
                 end = begin + len(own)
-                yield part(first, ids, words, bits[begin:end + 1])
+                yield part(first, ids, words, bits[begin:end + 1], own, others[begin:end])
                 begin = end
 
-        def part(first: int, ids: pa.Array, words, bits: np.ndarray) -> pa.RecordBatch:
+        def part(first: int, ids: pa.Array, words, bits: np.ndarray, own: np.ndarray, others: np.ndarray) -> pa.RecordBatch:
             docs, n_words = len(ids), words.per_doc()
             sums = lambda v: np.diff(np.concatenate([[0], np.cumsum(v)])[words.first])
             n_codes = sums(words.ends - words.starts + 1) + 1
@@ -306,10 +320,11 @@ def _score_texts(tree: str | None, common):
             else:
                 frequent = known = np.zeros(len(words.hashes), bool)
                 base = np.zeros(len(words.hashes))
-            rare = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sums(~frequent))]), pa.int32()), pa.array(words.hashes[~frequent].view(np.int64)))
+            lists = lambda n, keys: pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32()), pa.array(keys.view(np.int64)))
+            rare_codes = lists(np.diff(np.concatenate([[0], np.cumsum(others)])[bounds]), own[others])
             return pa.record_batch(
-                [pa.array(np.arange(first, first + docs)), ids, pa.array(n_words), pa.array(n_codes), pa.array(sums(known).astype(np.int64)), pa.array(sums(base).astype(float)), pa.array(np.diff(bits[bounds])), rare],
-                names=["slot", "doc_id", "n_words", "n_bytes", "known", "base", "bits", "rare"])
+                [pa.array(np.arange(first, first + docs)), ids, pa.array(n_words), pa.array(n_codes), pa.array(sums(known).astype(np.int64)), pa.array(sums(base).astype(float)), pa.array(np.diff(bits[bounds])), lists(sums(~frequent), words.hashes[~frequent]), rare_codes],
+                names=["slot", "doc_id", "n_words", "n_bytes", "known", "base", "bits", "rare", "rare_codes"])
 
         for batch in batches:
             for row, end, words, own in _scan(batch.column("text")):
@@ -341,7 +356,8 @@ def score(docs: DataFrame, learn=None) -> DataFrame:
     counted = texts.select(learnt.alias("learn"), "text").mapInArrow(_count, "kind int, key long, n long, c long")
     counted = stage(counted.groupBy("kind", "key").agg(F.sum("n").alias("n"), F.sum("c").alias("c")), "counts")
     words = counted.filter("kind = 0").select(F.col("key").alias("hash"), "n", "c")
-    tree = _train(counted.filter("kind = 1"))
+    codes = counted.filter("kind = 1").select("key", "n", "c")
+    logs = _tree(codes)
 
     sums = words.agg(F.sum("c").alias("c"), F.sum((F.col("c") > 0).cast("long")).alias("v")).collect()[0]
     tokens, distinct = (sums.c or 0) + n_learnt, (sums.v or 0) + int(n_learnt > 0)
@@ -349,14 +365,19 @@ def score(docs: DataFrame, learn=None) -> DataFrame:
     least = _least(words, "n", F.count("*"), MOST_WORDS)
     frequent = words.filter(F.floor(F.log2("n")) >= least).select("hash", "c").toPandas().sort_values("hash")
     hashes, counts = frequent["hash"].to_numpy(np.int64).view(U64), frequent.c.to_numpy()
+    least_code = _least(codes, "n", F.count("*"), MOST_GRAMS)
+    held = codes.filter(F.floor(F.log2("n")) >= least_code).select("key").join(logs, "key").toPandas().sort_values("key")
     order = np.argsort(hashes)
-    common = spark.sparkContext.broadcast((hashes[order], counts[order], total))
-    parts = stage(texts.mapInArrow(_score_texts(tree, common), "slot long, doc_id long, n_words long, n_bytes long, known long, base double, bits double, rare array<long>"), "scored")
+    common = spark.sparkContext.broadcast((hashes[order], counts[order], total, held["key"].to_numpy(np.int64).view(U64), held["log"].to_numpy()))
+    parts = stage(texts.mapInArrow(_score_texts(common), "slot long, doc_id long, n_words long, n_bytes long, known long, base double, bits double, rare array<long>, rare_codes array<long>"), "scored")
 
-    # no word here is more frequent than 2^least, so none gathers in one task
+    # no word or code here is more frequent than 2^least, so none gathers in one task
     rare = parts.select("slot", F.explode("rare").alias("hash")).join(words.filter(F.floor(F.log2("n")) < least).select("hash", "c"), "hash")
     rare = rare.groupBy("slot").agg(F.sum((F.col("c") > 0).cast("long")).alias("rare_known"), F.sum(F.log10((F.col("c") + 1.0) / total)).alias("rare_base"))
-    out = parts.drop("rare").join(rare, "slot", "left").fillna(0, ["rare_known", "rare_base"])
+    spelt = parts.select("slot", F.explode("rare_codes").alias("key")).join(logs.join(codes.filter(F.floor(F.log2("n")) < least_code).select("key"), "key"), "key")
+    spelt = spelt.groupBy("slot").agg(F.sum("log").alias("rare_bits"))
+    out = parts.drop("rare", "rare_codes").join(rare, "slot", "left").join(spelt, "slot", "left").fillna(0, ["rare_known", "rare_base", "rare_bits"])
+    out = out.withColumn("bits", F.col("bits") + F.col("rare_bits"))
     return out.select(
         "doc_id", (F.col("n_words") + 1).alias("n_tokens"), (F.col("known") + F.col("rare_known") + int(n_learnt > 0)).alias("n_known"), F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.col("rare_base") + float(np.log10((n_learnt + 1.0) / total))).alias("base_score"), (F.col("bits") * float(np.log10(2))).alias("score"), (-F.col("bits") / F.col("n_bytes")).alias("bits_per_byte"),
