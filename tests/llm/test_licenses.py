@@ -52,3 +52,26 @@ def test_documents_as_files(documents, no_documents):
     got = licenses.scan(licenses.of_documents(documents)).collect()
     assert len(got) == documents.count() and [r.path for r in got if r.file_id is None] == [None]
     assert licenses.scan(licenses.of_documents(no_documents)).collect() == []
+
+
+def test_wrapped_headers_and_full_licence_files(spark):
+    gpl = ["This program is free software: you can redistribute it and/or modify", "it under the terms of the GNU General Public License as published by", "the Free Software Foundation, either version 3 of the License, or", "(at your option) any later version."]
+    bsd = ["Copyright 2019 The Chess Authors. All rights reserved.", "Use of this source code is governed by a BSD-style license that can be", "found in the LICENSE file."]
+    code = "\n".join(f"def knight_{k}(board, square{k}):\n    return board.moves[square{k}] ^ mask_{k}\n" for k in range(60))
+    comment = lambda lines, sign: "\n".join(f"{sign} {x}" for x in lines)
+    mit = licenses._text("MIT").replace("<year> <copyright holders>", "2021 Ada Jones")
+    rows = [
+        (1, "a/x.py", "#!/usr/bin/env python\n#\n" + comment(gpl, "#") + "\n\n" + code),
+        (2, "a/y.go", comment(bsd, "//") + "\n\n" + code),
+        (3, "b/LICENSE", mit),
+        (4, "b/z.py", code),
+        (5, "c/COPYING", licenses._text("GPL-3.0")),
+        (6, "c/z.py", code),
+        (7, "d/z.py", code),
+        (8, "e/head.py", code + "// Use of this source code is governed by a BSD-style"),
+        (9, "f/tail.py", "// license that can be found in the LICENSE file.\n" + code),  # not joined to the file before it
+    ]
+    got = {r.file_id: r for r in licenses.scan(spark.createDataFrame(rows, "file_id long, path string, text string").coalesce(1)).collect()}
+    want = {1: ("GPL-3.0", "header"), 2: ("BSD-3-Clause", "header"), 3: ("MIT", "header"), 4: ("MIT", "inherited"), 5: ("GPL-3.0", "file"), 6: ("GPL-3.0", "inherited"), 7: (None, "none"), 8: (None, "none"), 9: (None, "none")}  # 3: without its copyright line
+    assert {k: (got[k].license, got[k].evidence) for k in want} == want
+    assert got[1].line == 2 and got[2].line == 1

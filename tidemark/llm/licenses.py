@@ -2,14 +2,18 @@
 
 A vector space of the templates' words and of one more dimension for each other word: words that no
 template has are far from all, and weigh as the rarest.  Word weights come from the number of lines
-that have the word, counted over all files.  Each line of a file is a header candidate, and the
-file as a whole is one more; the best cosine of either kind decides.  A file that states no licence
+that have the word, counted over all files.  Each run of 1 to ``WINDOW`` consecutive lines that
+have words is a header candidate, and the file as a whole is one more; the best cosine of either
+kind decides.  A run's products with the templates are sums over its lines, and its length is at
+least that of its lines taken as unlike each other; only runs whose cosine so bounded can decide
+are computed in full.  A file that states no licence
 of its own takes that of the nearest directory above it with a licence file, found by joining each
 directory's ancestors to the directories that have one.
 """
 
 from __future__ import annotations
 
+import pkgutil
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +23,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.llm.scratch import stage
 from tidemark.llm.words import Scanner, chunks
 
-#: Notices by which licences are stated, with their usual identifiers.
+
+def _text(name: str) -> str:
+    return pkgutil.get_data("tidemark.llm", f"license_texts/{name}.txt").decode()
+
+
+#: Notices by which licences are stated, with their usual identifiers, and the full licence texts.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction."),
@@ -38,7 +47,11 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated all copyright to the public domain worldwide under CC0 1.0."),
     ("LicenseRef-All-Rights-Reserved", "All rights reserved."),
+    *((name, _text(name)) for name in ("MIT", "Apache-2.0", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
+    ("AGPL-3.0", _text("GPL-3.0").replace("GNU General Public", "GNU Affero General Public").replace("GNU GENERAL PUBLIC", "GNU AFFERO GENERAL PUBLIC")),  # nearer to it than GPL-3.0 is
 )
+WINDOW = 20
+_LINES, _WORDS = 1 << 15, 1 << 21  # lines whose runs are bounded together, words of runs computed together
 LEAST_COSINE = 0.75
 LICENCE_FILE = r"(?i)(^|/)(licen[sc]e|copying|notice)[^/]*$"
 
@@ -71,6 +84,12 @@ class Space:
 
     def best(self, place: np.ndarray, segment: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For each of n segments its nearest template (the first of equals) and the cosine."""
+        products, norm = self.products(place, segment, n)
+        nearest = products.argmax(axis=1)
+        return nearest, np.minimum(1.0, products[np.arange(n), nearest] / np.sqrt(np.maximum(norm, 1e-300)))
+
+    def products(self, place: np.ndarray, segment: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each of n segments its scalar products with the templates and its squared length."""
         size = len(self.words)
         known = place >= 0
         pair, tf = np.unique(segment[known] * size + place[known], return_counts=True)
@@ -80,8 +99,38 @@ class Space:
         if len(pair):
             lead = np.flatnonzero(np.diff(of, prepend=-1))
             cosines[of[lead]] = np.add.reduceat(weight[:, None] * self.vectors[pair % size], lead)
-        nearest = cosines.argmax(axis=1)
-        return nearest, np.minimum(1.0, cosines[np.arange(n), nearest] / np.sqrt(np.maximum(norm, 1e-300)))
+        return cosines, norm
+
+    def runs(self, place: np.ndarray, first: np.ndarray, of: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of 2 to ``WINDOW`` lines of one file whose cosine can be above the line's ``floor``: their first line, nearest template and cosine.
+
+        ``first`` has each line's first word and the number of words at the end, ``of`` its file.
+        """
+        lines, found = len(of), []
+        for begin in range(0, lines, _LINES):
+            end = min(lines, begin + _LINES + WINDOW - 1)
+            words = place[first[begin]:first[end]]
+            products, norm = self.products(words, np.repeat(np.arange(end - begin), np.diff(first[begin:end + 1])), end - begin)
+            total, length = products.copy(), norm.copy()
+            for size in range(2, WINDOW + 1):
+                starts = min(begin + _LINES, end - size + 1) - begin
+                if starts <= 0:
+                    break
+                total, length = total[:end - begin - size + 1] + products[size - 1:], length[:end - begin - size + 1] + norm[size - 1:]
+                bound = total[:starts].max(axis=1) / np.sqrt(np.maximum(length[:starts], 1e-300))
+                at = begin + np.flatnonzero(bound > floor[begin:begin + starts] + 1e-9)
+                at = at[of[at] == of[at + size - 1]]
+                found.append((at, np.full(len(at), size)))
+        start, size = (np.concatenate([x[k] for x in found] or [np.zeros(0, np.int64)]) for k in range(2))
+        n_words = first[start + size] - first[start]
+        nearest, cosine = np.zeros(len(start), np.int64), np.zeros(len(start))
+        slab = np.cumsum(n_words) // _WORDS
+        for k in np.unique(slab):
+            own = np.flatnonzero(slab == k)
+            n = n_words[own]
+            which = np.repeat(first[start[own]] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+            nearest[own], cosine[own] = self.best(place[which], np.repeat(np.arange(len(own)), n), len(own))
+        return start, nearest, cosine
 
 
 def _lines(data: np.ndarray, bounds: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +158,7 @@ def _count_lines(space: Space):
     return run
 
 
-def _scan(shared):
+def _scan(shared, least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space: Space = shared.value
         scan = Scanner("alnum", lower=True)
@@ -123,11 +172,15 @@ def _scan(shared):
                 lines, at = np.unique(line, return_inverse=True)
                 nearest, cosine = space.best(place, at, len(lines))
                 of = np.repeat(np.arange(n), words.per_doc())[np.searchsorted(line, lines)]
+                whole, whole_cosine = space.best(place, np.repeat(np.arange(n), words.per_doc()), n)
+                floor = np.maximum(least, np.where(whole_cosine >= least, whole_cosine, 0.0))
+                np.maximum.at(floor, of, cosine)
+                begin, run_nearest, run_cosine = space.runs(place, np.append(np.searchsorted(line, lines), len(line)), of, floor[of])
+                nearest, cosine, of, lines = (np.concatenate(x) for x in ((nearest, run_nearest), (cosine, run_cosine), (of, of[begin]), (lines, lines[begin])))
                 order = np.lexsort((lines, -cosine, of))
                 lead = order[np.flatnonzero(np.diff(of[order], prepend=-1))]
                 header, header_cosine, header_line = np.full(n, -1), np.zeros(n), np.full(n, -1)
                 header[of[lead]], header_cosine[of[lead]], header_line[of[lead]] = nearest[lead], cosine[lead], lines[lead] - first[of[lead]]
-                whole, whole_cosine = space.best(place, np.repeat(np.arange(n), words.per_doc()), n)
                 part = batch.slice(row, n)
                 yield pa.record_batch(
                     [part.column("file_id"), part.column("path"), pa.array(names[header], pa.string(), mask=header < 0), pa.array(header_cosine), pa.array(header_line, mask=header < 0), pa.array(names[whole], pa.string()), pa.array(whole_cosine)],
@@ -143,11 +196,11 @@ def _parent(path: Column) -> Column:
 def scan(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
     """Licence of every file of (file_id, path, text): file_id, path, license, evidence, cosine, line, from_directory.
 
-    evidence is ``header`` (a line of the file), ``file`` (its text as a whole), ``inherited`` (from
+    evidence is ``header`` (one or more lines of the file; ``line`` is the first), ``file`` (its text as a whole), ``inherited`` (from
     the licence file of ``from_directory``, the nearest one at or above the file's own) or ``none``.
     A licence file is one whose name says so, or whose whole text is near a template.  Of several in
     a directory the one with the highest cosine counts, then the smallest path and id.  Of equal
-    lines the first counts, of equal templates the first listed.  Null and empty texts state
+    headers the first counts, of equal templates the first listed.  Null and empty texts state
     nothing but can inherit; a null path is a directory of its own without ancestors.  Repeated rows
     each get a row, an empty table none; other columns are ignored.
     """
@@ -156,7 +209,7 @@ def scan(files: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPLATES, l
     space = Space(templates)
     counted = {r.place: r.n for r in rows.select("text").mapInArrow(_count_lines(space), "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}  # a row for each template word
     space.weigh(np.array([counted.get(k, 0) for k in range(len(space.words))], float), counted.get(len(space.words), 0))
-    scanned = stage(rows.mapInArrow(_scan(spark.sparkContext.broadcast(space)), "file_id long, path string, line_license string, line_cosine double, line long, text_license string, text_cosine double"), "licences")
+    scanned = stage(rows.mapInArrow(_scan(spark.sparkContext.broadcast(space), least), "file_id long, path string, line_license string, line_cosine double, line long, text_license string, text_cosine double"), "licences")
     scanned = scanned.withColumn("directory", _parent(F.col("path"))).withColumn("by_text", (F.col("text_cosine") >= least) & (F.col("text_cosine") >= F.col("line_cosine"))).withColumn("by_line", F.col("line_cosine") >= least)
     own = F.when(F.col("by_text"), F.col("text_license")).when(F.col("by_line"), F.col("line_license"))
     scanned = scanned.withColumn("own", own).withColumn("own_cosine", F.round(F.when(F.col("by_text"), F.col("text_cosine")).when(F.col("by_line"), F.col("line_cosine")), 6))
