@@ -82,15 +82,15 @@ def test_registered(spark):
 
 
 def test_the_rest_does_without(monkeypatch):
-    """Without the subpackage or the pipeline the entry point has the other queries; other import errors are not hidden."""
+    """Without the subpackage, the pipeline or a library of theirs the entry point has the other queries."""
     import sys
 
     import __spark_entry__ as entry
 
     rest = {n for n in entry.queries() if not n.startswith(("op", "pipeline", "language_id"))}
-    for gone in ("tidemark.llm", "corpus_pipeline"):
+    for gone in ("tidemark.llm", "corpus_pipeline", "zstandard"):
         with monkeypatch.context() as m:
-            for name in [n for n in sys.modules if n.startswith(("tidemark.llm", "corpus_pipeline"))]:
+            for name in [n for n in sys.modules if n.startswith(("tidemark.llm", "corpus_pipeline", "zstandard"))]:
                 m.delitem(sys.modules, name)
             m.setattr(sys, "meta_path", [_Gone(gone), *sys.meta_path])
             import tidemark

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from tokenizers import Tokenizer
 
 from tidemark.llm import packing, simple8b
 from tidemark.llm.tokens import Encoder
@@ -17,11 +18,14 @@ def _ids(encode, texts):
 
 def test_cached_ids_are_the_librarys(tokenizer, odd_texts):
     encode = Encoder(tokenizer)
+    library = Tokenizer.from_file(tokenizer)
     assert encode.fast
     rnd = random.Random(5)
-    signs = [chr(c) for c in range(256)] + list("ΣσςİıǅŁłēë́̈ 　 ​'''stredvml") + ["'s", "'re", "<|endoftext|>", "</w>"]
+    signs = [chr(c) for c in range(256)] + list("ΣσςİıǅŁłēë́̈ 　 ​'''stredvml") + ["'s", "'re", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "</w>"]
     texts = [t for t in odd_texts] + ["".join(rnd.choice(signs) for _ in range(rnd.randrange(1, 60))) for _ in range(2000)]
-    expected = [encode.whole_text(t) if t else [] for t in texts]
+    texts += ["hello <|endoftext|> world <|startoftext|>", "<|endoftext|>", "<|endof"]
+    expected = [library.encode(t, add_special_tokens=False).ids if t else [] for t in texts]
+    assert any(49407 in ids for ids in expected)
     assert _ids(encode, texts) == expected
     assert _ids(encode, texts[::-1]) == expected[::-1]  # from the cache
     encode.fast = False
@@ -56,7 +60,7 @@ def test_small_ids_share_words_and_ranges_read_alone(tmp_path):
 
 
 def _library(tokenizer, text):
-    return Encoder(tokenizer).whole_text(text or "") + [1]
+    return Tokenizer.from_file(tokenizer).encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_token_files_round_trip(documents, no_documents, tokenizer, odd_texts):

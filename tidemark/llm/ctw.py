@@ -363,12 +363,14 @@ def score(docs: DataFrame, learn=None) -> DataFrame:
     tokens, distinct = (sums.c or 0) + n_learnt, (sums.v or 0) + int(n_learnt > 0)
     total = float(tokens + distinct + 1)
     least = _least(words, "n", F.count("*"), MOST_WORDS)
-    frequent = words.filter(F.floor(F.log2("n")) >= least).select("hash", "c").toPandas().sort_values("hash")
-    hashes, counts = frequent["hash"].to_numpy(np.int64).view(U64), frequent.c.to_numpy()
+    frequent = words.filter(F.floor(F.log2("n")) >= least).select("hash", "c").toArrow()  # two numbers a row
+    hashes, counts = frequent["hash"].to_numpy().view(U64), frequent["c"].to_numpy()
     least_code = _least(codes, "n", F.count("*"), MOST_GRAMS)
-    held = codes.filter(F.floor(F.log2("n")) >= least_code).select("key").join(logs, "key").toPandas().sort_values("key")
-    order = np.argsort(hashes)
-    common = spark.sparkContext.broadcast((hashes[order], counts[order], total, held["key"].to_numpy(np.int64).view(U64), held["log"].to_numpy()))
+    held = codes.filter(F.floor(F.log2("n")) >= least_code).select("key").join(logs, "key").select("key", "log").toArrow()
+    held_keys, held_logs = held["key"].to_numpy().view(U64), held["log"].to_numpy()
+    order, held_order = np.argsort(hashes), np.argsort(held_keys)
+    common = spark.sparkContext.broadcast((hashes[order], counts[order], total, held_keys[held_order], held_logs[held_order]))
+    del frequent, hashes, counts, held, held_keys, held_logs
     parts = stage(texts.mapInArrow(_score_texts(common), "slot long, doc_id long, n_words long, n_bytes long, known long, base double, bits double, rare array<long>, rare_codes array<long>"), "scored")
 
     # no word or code here is more frequent than 2^least, so none gathers in one task

@@ -6,11 +6,14 @@ executors can be lost at any time and every later read still finds whole Parquet
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import tidemark
@@ -47,13 +50,25 @@ def drop(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return memory that this process no longer uses to the machine, as far as its allocators can."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 #: Bytes of an Arrow batch: whole texts go to Python, and a task holds several copies of a batch.
 BATCH_BYTES = 8 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per context, as ``--py-files`` would, and bound the batches of texts."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    """Send this package to the executors once per context, as ``--py-files`` would, and bound the batches of texts.
+
+    The bound is a default: a session that has set its own keeps it.
+    """
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not spark._jsparkSession.sessionState().conf().contains(bound):
+        spark.conf.set(bound, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_tidemark_shipped", False):
         return

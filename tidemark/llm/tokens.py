@@ -5,7 +5,8 @@ of word suffix) never merges across its pieces (letters, single digits, other ch
 piece ends in a token with that suffix.  So numpy cuts a run of texts into pieces and tells them
 apart by 64-bit hashes; pieces seen before are looked up, and all new ones go through the library
 as one text, whose ids are cut at the suffix.  Words with an apostrophe or with characters outside
-ASCII and the accented Latin-1 letters, and texts of other tokenizers, go through it as they are.
+ASCII and the accented Latin-1 letters, texts that spell out one of the vocabulary's added tokens and
+texts of other tokenizers go through it as they are.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
+from tidemark.llm.scratch import give_back
 from tidemark.llm.words import Scanner, chunks, mix, word_bytes
 
 #: Fixed value: the pattern by which the tokenizer file cuts pieces.
@@ -46,18 +48,18 @@ class Encoder:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             held = json.load(f)
+        self.added = [x["content"].encode() for x in held.get("added_tokens") or []]
+        literal = not any(x["normalized"] for x in held.get("added_tokens") or [])
         suffix = held["model"].get("end_of_word_suffix")
         pattern = re.search(r'"Regex": "(\'s.*?)"\}', json.dumps(held["pre_tokenizer"]))
-        self.fast = bool(suffix) and held["model"].get("dropout") is None and pattern is not None and json.loads(f'"{pattern[1]}"') == _FILE_PATTERN and [x["type"] for x in held["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
+        self.fast = literal and bool(suffix) and held["model"].get("dropout") is None and pattern is not None and json.loads(f'"{pattern[1]}"') == _FILE_PATTERN and [x["type"] for x in held["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
         self.scan = Scanner("spaced", lower=False)
         self.plain: dict[bytes, tuple[int, ...]] = {}
         self.odd: dict[bytes, tuple[int, ...]] = {}
         if self.fast:
             self.parts = Tokenizer.from_file(path)
-            self.parts.encode_special_tokens = True
             self.parts.normalizer = None
             self.parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             vocabulary = held["model"]["vocab"]
@@ -69,8 +71,9 @@ class Encoder:
         return self.whole.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def forget(self) -> None:
-        """Empty the cache; a task does so at its end, as its worker goes on to other work."""
+        """Empty the cache and give its memory back; a task does so at its end, as its worker goes on to other work."""
         self.plain, self.odd = {}, {}
+        give_back()
 
     def _learn(self, plain: list[bytes], odd: list[bytes]) -> None:
         """Add pieces to the cache."""
@@ -88,14 +91,40 @@ class Encoder:
             at = stop
 
     def __call__(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first row, end row, ids, bounds) of runs of texts; a null text has no ids and none has special tokens."""
+        """(first row, end row, ids, bounds) of runs of texts; a null text has no ids.
+
+        A text that spells out a token added to the vocabulary (such as its end of text) goes
+        through the library whole, which cuts the text there.
+        """
         for row, end, data, bounds in chunks(column, _RUN):
-            if self.fast:
+            raw = data.tobytes()
+            whole = self._spelt(raw, bounds) if self.fast else np.ones(end - row, bool)
+            lengths = np.diff(bounds)
+            if not whole.any():
                 yield row, end, *self._by_pieces(data, bounds)
+                continue
+            own = {k: self.whole_text(raw[bounds[k]:bounds[k + 1]].decode()) for k in np.flatnonzero(whole).tolist()}
+            if not whole.all():
+                ids, ends = self._by_pieces(data[np.repeat(~whole, lengths)], np.concatenate([[0], np.cumsum(np.where(whole, 0, lengths))]))
             else:
-                raw = data.tobytes()
-                ids = [self.whole_text(raw[a:b].decode()) for a, b in zip(bounds[:-1], bounds[1:])]
-                yield row, end, np.fromiter(chain.from_iterable(ids), np.uint32), np.cumsum([0, *map(len, ids)])
+                ids, ends = np.zeros(0, np.uint32), np.zeros(end - row + 1, np.int64)
+            counts, parts, at = np.diff(ends), [], 0
+            for k, found in own.items():
+                counts[k] = len(found)
+                parts += [ids[ends[at]:ends[k]], np.array(found, np.uint32)]
+                at = k
+            yield row, end, np.concatenate([*parts, ids[ends[at]:]]), np.concatenate([[0], np.cumsum(counts)])
+
+    def _spelt(self, raw: bytes, bounds: np.ndarray) -> np.ndarray:
+        """Which texts of a run hold an added token."""
+        hit = np.zeros(len(bounds) - 1, bool)
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                k = int(np.searchsorted(bounds, at, "right")) - 1
+                hit[k] |= at + len(token) <= bounds[k + 1]
+                at = raw.find(token, at + 1)
+        return hit
 
     def _pieces(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         """Hash, oddness, start and length of each piece in the folded bytes, those bytes, and each text's first piece."""
