@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, ctw, decontam, langid, licenses, minhash, packing, quality_rules, simple8b, warc
+from tidemark.llm import compress_quality, credentials, ctw, decontam, langid, licenses, minhash, packing, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,41 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.of_documents(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
 
 
+def _op13_sql() -> str:
+    """Every match by its place between the pieces around it, and every pair of parts of a scope compared."""
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    kinds = [*enumerate(credentials.KINDS), (-1, ("scope", credentials.SCOPE, 0, 1, ""))]
+    spans = " UNION ALL ".join(f"""
+  SELECT r, {n} AS kind, {quoted(role)} AS role, start, start + length(m) AS stop FROM (
+    SELECT r, m, v, coalesce(sum(length(p) + length(m)) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(p) AS start FROM (
+      SELECT r, i, f[i] AS m, g[i] AS v, p[i] AS p FROM (
+        SELECT r, f, g, p, unnest(range(1, len(f) + 1)) AS i FROM (
+          SELECT r, regexp_extract_all(t, {quoted(pattern)}) AS f, regexp_extract_all(t, {quoted(pattern)}, {group}) AS g, string_split_regex(t, {quoted(pattern)}) AS p FROM d WHERE regexp_matches(t, {quoted(pattern)}))))
+  ) WHERE length(v) >= {least}""" for n, (_, pattern, group, least, role) in kinds)
+    names = " ".join(f"WHEN {n} THEN {quoted(k[0])}" for n, k in enumerate(credentials.KINDS))
+    listed = f"string_agg(CASE kind {names} END || ':' || start || ':' || stop, ',' ORDER BY start, kind)"
+    strong, reach = credentials.STRONG, credentials.REACH
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+every AS ({spans}),
+parts AS (SELECT *, (SELECT count(*) FROM every AS b WHERE b.kind < 0 AND b.r = e.r AND b.start < e.start) AS scope FROM every AS e WHERE kind >= 0),
+weak AS (SELECT r, kind, start, stop FROM parts AS w WHERE kind >= {strong}
+  AND EXISTS (SELECT 1 FROM parts AS o WHERE o.r = w.r AND o.scope = w.scope AND o.start <= w.stop + {reach} AND o.stop >= w.start - {reach}
+    AND (o.start >= w.stop OR o.stop <= w.start) AND (w.role = 'secret') <> (o.role = 'secret'))
+  AND NOT EXISTS (SELECT 1 FROM parts AS o WHERE o.r = w.r AND o.kind < {strong} AND o.start < w.stop AND o.stop > w.start)),
+shown AS (SELECT r, kind, start, stop FROM parts WHERE kind < {strong} UNION ALL SELECT * FROM weak),
+strong AS (SELECT r, count(*) FILTER (kind = 0) AS a, count(*) FILTER (kind = 1) AS b, count(*) FILTER (kind = 2) AS c, {listed} AS l FROM parts WHERE kind < {strong} GROUP BY r),
+full_list AS (SELECT r, {listed} AS l FROM shown GROUP BY r)
+SELECT doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(b, 0)::BIGINT AS n_access, coalesce(c, 0)::BIGINT AS n_hex, sha256(coalesce(strong.l, '')) AS base_sha256, coalesce(full_list.l, '') AS spans
+FROM d LEFT JOIN strong USING (r) LEFT JOIN full_list USING (r)
+"""
+
+
+@query("op13_credential_links", _op13_sql())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secrets(table(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
