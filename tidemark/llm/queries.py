@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, credentials, ctw, decontam, langid, licenses, minhash, packing, quality_rules, simple8b, warc
+from tidemark.llm import compress_quality, credentials, ctw, decontam, infill, langid, licenses, minhash, packing, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.of_documents(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
 
 
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
+h AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || s[1:8])::UINTEGER % (len(u) + 1) AS x, ('0x' || s[9:16])::UINTEGER % (len(u) + 1) AS y, ('0x' || s[17:24])::UINTEGER % 100 AS z, ('0x' || s[25:32])::UINTEGER % 100 AS w FROM d),
+f AS (SELECT doc_id, t, n, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR z >= 50 THEN 'plain' WHEN w < 80 THEN 'spm' ELSE 'psm' END AS form,
+  array_to_string(u[1:least(x, y)], '') AS p, array_to_string(u[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(u[greatest(x, y) + 1:], '') AS q FROM h)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || q || '<M>' || m ELSE '<S>' || q || '<P>' || p || '<M>' || m END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+"""
+
+
+@query("op12_infill", _OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digests(infill.infill(infill.frame_store(table(spark, sf_dir, "documents"))))
+
+
 def _op13_sql() -> str:
     """Every match by its place between the pieces around it, and every pair of parts of a scope compared."""
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
