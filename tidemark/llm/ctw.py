@@ -39,7 +39,8 @@ MOST_GRAMS = 1 << 19
 MOST_WORDS = 1 << 18
 SPACE, STOP = 0x20, 0x0A
 _LEARNT = U64(1 << (8 * DEPTH + 8))  # above the bytes of a code
-_RUN = 6 << 20  # bytes of text that are counted or scored together
+_RUN = 6 << 20  # bytes of text that are counted together: each of their distinct codes is shuffled once
+_SCORED = 2 << 20  # bytes of text that are scored together
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -330,7 +331,7 @@ def _score_texts(common):
             for row, end, words, own in _scan(batch.column("text")):
                 waiting.append((slot + row, batch.column("doc_id").slice(row, end - row), words, own))
                 size += len(own)
-                if size > _RUN:
+                if size > _SCORED:
                     yield from flush()
                     waiting, size = [], 0
             slot += batch.num_rows
