@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import compress_quality, credentials, ctw, decontam, infill, langid, licenses, minhash, packing, quality_rules, simple8b, warc
+from tidemark.llm import compress_quality, credentials, ctw, decontam, infill, langid, licenses, minhash, packing, prefix_trie, quality_rules, simple8b, warc
 from tidemark.llm.scratch import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,6 +130,32 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(licenses.of_documents(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
 
 
+_OP11_SQL = r"""
+WITH t AS (SELECT conv_id, x, sha256(length(r) || ':' || r || x) AS digest, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, substr(sha256(length(r) || ':' || r || x), 1, 30)) AS n
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)),
+c AS (SELECT conv_id, conv_id - conv_id % 20 AS lender, xor(crc, 4294967295) % 4 AS h FROM (
+  SELECT conv_id, list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+    lambda acc, b: list_reduce(range(8), lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END, xor(acc, b)), 4294967295::BIGINT) AS crc
+  FROM (SELECT DISTINCT conv_id FROM t))),
+lent AS (SELECT c.conv_id, t.n AS d, t.digest, t.x FROM c JOIN t ON t.conv_id = c.lender WHERE t.n <= c.h),
+rebuilt AS (SELECT * FROM lent UNION ALL
+  SELECT c.conv_id, t.n - c.h + (SELECT count(*) FROM lent WHERE lent.conv_id = c.conv_id) AS d, t.digest, t.x FROM c JOIN t USING (conv_id) WHERE t.n > c.h),
+p AS (SELECT conv_id, 0 AS d, '' AS path, '' AS x FROM c UNION ALL SELECT conv_id, d, string_agg(digest, '') OVER (PARTITION BY conv_id ORDER BY d) AS path, x FROM rebuilt),
+ended AS (SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, arg_max(path, d) AS path FROM p GROUP BY conv_id) GROUP BY path),
+node AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n, (count(*) - 1) * len(regexp_extract_all(any_value(x), '[^\x20\x09-\x0D]+')) AS saved FROM p GROUP BY path, d),
+child AS (SELECT left(path, (d - 1) * 64) AS path, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+below AS (SELECT left(path, a * 64) AS path, sum(saved) AS saved, count(*) FILTER (leaf) AS leaves
+  FROM (SELECT path, saved, path NOT IN (SELECT path FROM child) AS leaf, unnest(range(0, d + 1)) AS a FROM node) GROUP BY 1)
+SELECT node.conv_id, node.d::BIGINT AS depth, up.conv_id AS parent_conv_id, node.n AS n_convs, coalesce(child.n, 0)::BIGINT AS n_children, below.leaves::BIGINT AS n_leaves, below.saved::BIGINT AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM node LEFT JOIN node AS up ON up.d = node.d - 1 AND up.path = left(node.path, up.d * 64) LEFT JOIN child ON child.path = node.path JOIN below ON below.path = node.path LEFT JOIN ended ON ended.path = node.path
+"""
+
+
+@query("op11_prefix_trie", _OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 _OP12_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS s FROM documents),
 h AS (SELECT doc_id, t, u, len(u) AS n, ('0x' || s[1:8])::UINTEGER % (len(u) + 1) AS x, ('0x' || s[9:16])::UINTEGER % (len(u) + 1) AS y, ('0x' || s[17:24])::UINTEGER % 100 AS z, ('0x' || s[25:32])::UINTEGER % 100 AS w FROM d),
