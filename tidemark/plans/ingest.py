@@ -6,13 +6,13 @@ SRC1-SRC3, AUD1-AUD4, AUD6, EXT1-EXT16, SNK1.  One Spark job extracts all new fi
    last hashed (path, size, modification time), in pieces and whatever their size; files whose
    content is in the manifest are skipped, and of identical files in this run only the first by
    path is taken (AUD1, AUD2).  A file that cannot be read fails alone (AUD6).
-2. The lines of the new files are extracted in one pass (``extract_grid``); the per-file facts
-   (first line, headers, row count, widest row) are collected -- one small row per file.
+2. The lines of the new files are scanned once (``scan_grid``), which stages their cells; the
+   per-file facts (first line, headers, row count, widest row) are collected -- one small row per file.
 3. Files without data rows are skipped and not recorded (EXT7); files whose widest row does not
    match the header width fail alone and make the run ``partial`` (EXT14, AUD6).
-4. Data rows of the good files are staged once, partitioned by header signature, in the shared
-   checkpoint folder; each (table, header) signature is then written from its own staging
-   partition, one ``snapshot=<id>`` per file (SNK1).  The raw text is read once.
+4. Data rows of the good files are dealt out by header signature in the shared checkpoint folder;
+   each (table, header) signature is then written from its own partition there, one
+   ``snapshot=<id>`` per file (SNK1).  The raw text is read once.
 5. Manifest rows are appended after the data (AUD3), the run row last (AUD4).
 """
 
@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from tidemark.plans.audit import FILE_INDEX, MANIFEST, AuditStore, file_hashes, remember_hashes, unhashed, unseen_files
 from tidemark.session import checkpoint_dir
 from tidemark.sources.layouts import DEFAULT_LAYOUTS, Layout, layout_by_name, match_layouts, to_table
-from tidemark.sources.reports import extract_grid, file_stats, read_report_lines
+from tidemark.sources.reports import file_stats, read_report_lines, scan_grid
 from tidemark.sources.snapshots import SNAPSHOT, commit_snapshot, dataset_path, snapshot_id, write_snapshots_by_column
 
 
@@ -72,8 +72,8 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
             return res
         hash_of = {r["file"]: r["file_hash"] for r in todo}
         lines = read_report_lines(spark, encoding=encoding, paths=sorted(hash_of))   # only the new files
-        rows, files = extract_grid(lines, multi_cell_dividers)
-        meta = match_layouts(file_stats(rows, files), layouts).collect()
+        grid = scan_grid(lines, multi_cell_dividers)
+        meta = match_layouts(file_stats(grid.rows(), grid.files), layouts).collect()
 
         good = []
         for seq, m in enumerate(sorted(meta, key=lambda r: r["file"])):
@@ -98,7 +98,7 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
                                                    T.StructField("_sid", T.StringType()),
                                                    T.StructField("_sig", T.StringType())]))
         stage = f"{checkpoint_dir(spark).rstrip('/')}/bronze-stage-{run_ts:%Y%m%d%H%M%S%f}"
-        (rows.join(info, "file").select("_sig", "_sid", "file", "cells")
+        (grid.rows(info).select("_sig", "_sid", "file", "cells")
              .write.mode("errorifexists").partitionBy("_sig").parquet(stage))
 
         by_sig: dict[str, list[dict]] = {}

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans.fixtures import table
-from tidemark.session import checkpoint_dir
 from tidemark.sources.tables import ensure_parallelism
 from tidemark.sources.layouts import POSITION_COST_HEADERS, POSITION_COST_SIGNATURE
 
@@ -47,14 +46,6 @@ def render(df: DataFrame, file: Column, page: Column, slot: Column, title: str,
     return data.unionByName(frame)
 
 
-def materialize(lines: DataFrame) -> DataFrame:
-    """Write rendered report lines once (reliable checkpoint in the shared checkpoint folder),
-    as report files would sit on disk.  Without it Catalyst may push the extractor's line
-    filters below the rendering projection and render every line several times."""
-    checkpoint_dir(lines.sparkSession)
-    return lines.checkpoint(eager=True)
-
-
 # ---------------------------------------------------------------------------------------
 # orders as a table-dump report, split into files of 5,000 keys, 50 rows per page
 
@@ -166,3 +157,32 @@ def poscost_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def poscost_sql_cells() -> list[tuple[str, str]]:
     return [(h, q) for h, _, q in _poscost_columns()]
+
+
+# ---------------------------------------------------------------------------------------
+# lineitem as reports of very unequal size: one file with nine tenths of the lines, 20 others
+
+_amount = lambda name: (lambda: F.format_number(F.col(name), 2))
+#: (header, Spark cell-text builder, DuckDB cell text)
+LINEITEM_CELLS = [
+    *((c, (lambda c=c: F.col(c).cast("string")), f"CAST({c} AS VARCHAR)") for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")),
+    *((c, _amount(c), f"format('{{:,.2f}}', {c})") for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")),
+    *((c, (lambda c=c: F.col(c)), c) for c in ("l_returnflag", "l_linestatus")),
+    ("l_shipdate", lambda: F.date_format(F.to_date("l_shipdate"), "dd.MM.yyyy"), "strftime(CAST(l_shipdate AS DATE), '%d.%m.%Y')"),
+]
+LINEITEM_FILE_SQL = "CASE WHEN l_orderkey % 10 < 9 THEN 'lineitem_main.txt' ELSE 'lineitem_' || CAST(l_orderkey // 10 % 20 AS VARCHAR) || '.txt' END"
+
+
+def lineitem_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines in the order in which the table's rows are scanned; every 50th brings the header again."""
+    k = F.col("l_orderkey")
+    name = F.when(k % 10 < 9, F.lit("main")).otherwise((F.floor(k / 10) % 20).cast("string"))
+    t = ensure_parallelism(table(spark, sf, "lineitem")).withColumn("id", F.monotonically_increasing_id() + 10)
+    t = t.withColumn("file", F.concat(F.lit("reports/lineitem_"), name, F.lit(".txt")))
+    header = "| " + " |  ".join(h for h, _, _ in LINEITEM_CELLS) + " |"
+    page = [F.lit("Page"), F.lit(DIVIDER), F.lit(header), F.lit(DIVIDER)]
+    row = F.concat(F.lit("| "), F.concat_ws(" | ", *(s() for _, s, _ in LINEITEM_CELLS)), F.lit(" |"))
+    lines = t.select("file", "id", F.posexplode(F.when(F.col("id") % 50 == 0, F.array(*page, row)).otherwise(F.array(row))).alias("at", "value"))
+    titles = t.select("file").distinct().select("file", F.posexplode(F.array(F.lit("Lines"), *page)).alias("pos", "value"))
+    return titles.select("file", F.col("pos").cast("bigint").alias("pos"), "value").unionByName(
+        lines.select("file", (F.col("id") * 10 + F.col("at")).alias("pos"), "value"))

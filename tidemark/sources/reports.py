@@ -12,20 +12,24 @@ of files; ``pos`` is any orderable column giving the line order inside a file.
 * EXT6  later rows equal to the header are skipped
 * EXT7  files without data rows report ``n_rows = 0`` (callers skip them)
 
-Per-file facts come from one aggregate grouped by file (partial aggregation, one small row per
-file); they are joined back on ``file``.  AQE turns that join into a broadcast when the per-file
-table is small and splits the lines side when one file holds most of the lines.  No window over a
-file, so a huge file never lands in one task.
+The text is scanned once.  What a line must know of its file, the header, is carried over the
+file's splits: each split gives a summary row, these are scanned in split order, and the header is
+handed back to each split (``scan_grid``).  Lines are joined by split, never by file, so a huge
+file never lands in one task.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.text import PY_WHITESPACE, strip_ws
+from tidemark.session import checkpoint_dir
 
 DIVIDER = r"(?U)^\|[-\s]+\|$"
 _CHARSETS = {"utf-8": "utf-8", "utf8": "utf-8", "latin-1": "latin-1", "latin1": "latin-1",
@@ -78,31 +82,99 @@ def _cells(stripped: Column) -> Column:
     return F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
 
 
-def extract_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Return ``(rows, files)``.
+#: Lines whose ``pos`` is a plain number are cut into splits of so many positions.
+SPLIT_BITS = 20
+
+
+@dataclass(frozen=True)
+class Grid:
+    """The grid lines of report files, scanned once, and what every split of them was handed back.
+
+    ``lines``:  ``file, block, pos, cells, width, hash_1, hash_2`` -- every grid row, headers included.
+    ``splits``: ``file, block, hash_1, hash_2`` -- one row per split, with the hashes of its file's header.
+    ``files``:  ``file, first_line, headers`` -- one row per non-empty file.
+    """
 
-    ``rows``:  ``file, pos, cells`` -- the data rows (header, dividers, repeats removed).
-    ``files``: ``file, first_line, headers, header_pos`` -- one row per non-empty file.
+    lines: DataFrame
+    splits: DataFrame
+    files: DataFrame
+
+    def rows(self, per_file: DataFrame | None = None) -> DataFrame:
+        """Data rows ``file, block, pos, cells, width``: no headers, dividers or repeats (EXT6).
+
+        ``per_file`` (one row per file) adds its columns, and only its files are left.  Both go
+        to the rows by split, so no join key stands for more rows than one split has.
+        """
+        state = self.splits
+        if per_file is not None:
+            state = state.join(per_file, "file")
+        state = state.withColumnsRenamed({"hash_1": "_h1", "hash_2": "_h2"})
+        state = F.broadcast(state) if _small(state) else state.hint("shuffle_merge")
+        header = (F.col("hash_1") == F.col("_h1")) & (F.col("hash_2") == F.col("_h2"))
+        return self.lines.join(state, ["file", "block"]).where(~header).drop("hash_1", "hash_2", "_h1", "_h2")
+
+
+def _small(state: DataFrame) -> bool:
+    """Whether a table of splits, measured in text bytes and 16 bytes a field, is under the session's broadcast limit."""
+    spark = state.sparkSession
+    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, t in state.dtypes if t == "string"), F.lit(0))
+    size = state.agg(F.sum(text + 16 * len(state.columns))).collect()[0][0] or 0
+    return size <= limit
+
+
+def _staged(df: DataFrame, name: str) -> DataFrame:
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
+    """Scan ``lines`` (file, pos, value) once and carry each file's header over its splits (EXT1-EXT6).
+
+    A split is what one task reads of a file (``pos.block``), or 2^20 positions where ``pos`` is a
+    number.  The scan writes the cells of grid rows, their width and a 128-bit hash to the shared
+    checkpoint folder.  From the narrow columns alone each split gives one summary row, the places
+    of its first line and first grid row.  A running minimum over a file's summaries is its first
+    line and header; the header's hashes are handed back to each split.  No line meets a row of
+    another split, and a file that holds most of the lines is as many tasks as it has splits.
     """
-    s = strip_ws(F.col("value"))
-    is_grid = s.startswith("|") & s.endswith("|")
-    is_row = is_grid & ~s.rlike(DIVIDER_MULTI if multi_cell_dividers else DIVIDER)
-    marked = lines.select("file", "pos", s.alias("s"), is_row.alias("is_row"))
-    grid = F.col("is_row")
-    files = (marked.groupBy("file")
-                   .agg(F.min_by("s", "pos").alias("first_line"),
-                        F.min_by(F.when(grid, _cells(F.col("s"))), F.when(grid, F.col("pos"))).alias("headers"),
-                        F.min(F.when(grid, F.col("pos"))).alias("header_pos")))
-    body = marked.where(grid).select("file", "pos", _cells(F.col("s")).alias("cells"))
-    hdr = files.select(F.col("file").alias("_f"), F.col("headers").alias("_h"), F.col("header_pos").alias("_hp"),
-                       F.xxhash64("headers").alias("_hh"))
-    # EXT6: "differs from the header" -- a 64-bit hash decides almost every row; the exact array
-    # comparison runs only when the hashes agree (short-circuit OR), so the result stays exact.
-    differs = (F.xxhash64("cells") != F.col("_hh")) | (F.col("cells") != F.col("_h"))
-    rows = (body.join(hdr, body["file"] == hdr["_f"])
-                .where((F.col("pos") != F.col("_hp")) & differs)
-                .select("file", "pos", "cells"))
-    return rows, files
+    numbered = not isinstance(lines.schema["pos"].dataType, T.StructType)
+    block = F.shiftright("pos", SPLIT_BITS).cast("bigint") if numbered else F.col("pos.block")
+    at = F.col("pos").cast("bigint") if numbered else F.col("pos.row")
+    scanned = lines.select("file", block.alias("block"), at.alias("at"), "pos", strip_ws(F.col("value")).alias("s"))
+    is_row = F.col("s").startswith("|") & F.col("s").endswith("|") & ~F.col("s").rlike(DIVIDER_MULTI if multi_cell_dividers else DIVIDER)
+    scanned = scanned.withColumn("cells", F.when(is_row, _cells(F.col("s"))))
+    # a line's text is read again only where it is a file's first line, which may be a grid row
+    keep = F.lit(True) if numbered else F.col("cells").isNull() | (F.col("block") == 0)
+    staged = _staged(scanned.select("file", "block", "at", "pos", F.when(keep, F.col("s")).alias("s"), "cells", F.size("cells").alias("width"),
+                                    F.xxhash64("cells").alias("hash_1"), F.xxhash64(F.lit(1), F.col("cells")).alias("hash_2")), "grid-lines")
+    is_grid = F.col("width") >= 0
+    summary = staged.groupBy("file", "block").agg(F.min("at").alias("first"), F.min(F.when(is_grid, F.col("at"))).alias("head"))
+    in_order = Window.partitionBy("file").orderBy("block")
+    first = F.row_number().over(in_order) == 1
+    carried = F.first(F.when(F.col("head").isNotNull(), F.struct("block", "head")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    summary = _staged(summary.select("file", "block", F.when(first, F.col("first")).alias("first"), carried.alias("header")), "grid-splits")
+
+    # the two lines of each file that matter, looked up by split and place
+    asked = summary.where("first is not null").select("file", "block", F.col("first").alias("at")).union(
+        summary.where("first is not null and header is not null").select("file", "header.block", "header.head")).distinct()
+    asked = F.broadcast(asked) if _small(asked) else asked
+    found = _staged(staged.join(asked, ["file", "block", "at"]).select("file", "block", "at", "s", "cells", "hash_1", "hash_2"), "grid-heads")
+    firsts = summary.where("first is not null").select("file", "block", F.col("first").alias("at"), "header")
+    files = (firsts.join(found.select("file", "block", "at", F.col("s").alias("first_line")), ["file", "block", "at"])
+                   .join(found.select("file", F.struct("block", F.col("at").alias("head")).alias("header"), F.col("cells").alias("headers")), ["file", "header"], "left")
+                   .select("file", "first_line", "headers"))
+    heads = found.select(F.col("file").alias("f"), F.struct("block", F.col("at").alias("head")).alias("h"), "hash_1", "hash_2")
+    splits = summary.join(heads, (F.col("file") == F.col("f")) & (F.col("header") == F.col("h"))).select("file", "block", "hash_1", "hash_2")
+    grid = staged.where(is_grid).select("file", "block", "pos", "cells", "width", "hash_1", "hash_2")
+    return Grid(grid, _staged(splits, "grid-state"), files)
+
+
+def extract_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(rows, files)`` of ``scan_grid``: the data rows and one row per non-empty file."""
+    grid = scan_grid(lines, multi_cell_dividers)
+    return grid.rows(), grid.files
 
 
 def file_stats(rows: DataFrame, files: DataFrame) -> DataFrame:
@@ -110,10 +182,9 @@ def file_stats(rows: DataFrame, files: DataFrame) -> DataFrame:
 
     ``ragged``: the widest row differs from the header width -- the source cannot build a
     frame from such a file (the file fails, the run is partial).  Shorter rows alone are fine;
-    they are padded with NULL.
+    they are padded with NULL.  Reads the rows' widths, not their cells.
     """
-    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"),
-                                      F.max(F.size("cells")).alias("max_width"))
+    counts = rows.groupBy("file").agg(F.count(F.lit(1)).alias("n_rows"), F.max("width").alias("max_width"))
     return (files.join(counts, "file", "left")
                  .select("file", "first_line", "headers",
                          F.coalesce("n_rows", F.lit(0)).cast("bigint").alias("n_rows"),
