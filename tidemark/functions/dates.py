@@ -47,6 +47,11 @@ def inclusive_days(start, end) -> Column:
     return (F.datediff(as_col(end), as_col(start)) + F.lit(1)).cast("bigint")
 
 
+def day_number(c) -> Column:
+    """Days since 1970-01-01 as BIGINT."""
+    return F.datediff(as_col(c), F.lit(_EPOCH)).cast("bigint")
+
+
 def day_bucket(c, width_days: int) -> Column:
     """Index of the ``width_days``-wide time bucket holding a date (bucketed overlap joins)."""
     return F.floor(F.datediff(as_col(c), F.lit(_EPOCH)) / F.lit(width_days)).cast("bigint")

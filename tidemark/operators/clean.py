@@ -14,7 +14,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions._col import as_col
+from tidemark.functions._col import as_col, quote
 from tidemark.functions.dates import parse_dirty_date
 from tidemark.functions.numbers import parse_dirty_decimal
 from tidemark.functions.text import blank_to_null
@@ -122,3 +122,20 @@ def is_org_assignment(df: DataFrame) -> Column:
 def org_assignment_filter(df: DataFrame) -> DataFrame:
     """FLT1: the filter of the PA0001 Silver job (a NULL condition drops the row)."""
     return df.where(is_org_assignment(df))
+
+
+def active_only(df: DataFrame, status: str | None = None, active: Sequence[str] = (), deleted: str | None = None) -> DataFrame:
+    """FLT8: rows whose trimmed ``status`` is one of ``active`` and whose ``deleted`` flag is blank or NULL.
+
+    Either column may be left out; a NULL status drops the row, as in the other filters.
+    """
+    if status is None and deleted is None:
+        raise ValueError("name a status or a deletion-flag column")
+    keep = F.lit(True)
+    if status is not None:
+        if not active:
+            raise ValueError("name the status values that count as active")
+        keep = keep & F.trim(F.col(quote(status))).isin(*active)
+    if deleted is not None:
+        keep = keep & (F.coalesce(F.trim(F.col(quote(deleted))), F.lit("")) == "")
+    return df.where(keep)

@@ -38,6 +38,6 @@ def register(name: str, ids: str, oracle: str | None):
 def load_all() -> dict[str, Query]:
     """Import the modules that register queries (idempotent)."""
     from tidemark.plans import (  # noqa: F401
-        queries_temporal, queries_clean, queries_report, queries_profile, queries_audit, queries_files,
+        queries_temporal, queries_balance, queries_clean, queries_report, queries_profile, queries_audit, queries_files,
     )
     return REGISTRY
