@@ -42,6 +42,40 @@ def test_a_star_whose_centre_is_unlike_the_rest(spark):
     assert _rows(got) == sorted(brute_components(texts), key=str)
 
 
+def test_rows_that_repeat_an_id_have_links_of_their_own(spark):
+    rnd = random.Random(9)
+    a, c, alone = (" ".join(f"{x}{rnd.randrange(50)}" for _ in range(40)) for x in "acz")
+    rows = [(1, a), (1, c), (2, a + " more"), (3, c + " more"), (4, alone), (4, a)]
+    expected = sorted([(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (4, 1, False)], key=str)
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3))
+        assert sorted(((r.doc_id, r.component_id, r.kept) for r in got.collect()), key=str) == expected
+
+
+def test_small_sets_always_share_a_key():
+    rng = np.random.default_rng(4)
+    for _ in range(4000):
+        union = int(rng.integers(3, minhash.SMALL + 1))
+        both = -(-75 * union // 100)
+        values = rng.integers(0, 2 ** 64, union, dtype=np.uint64)
+        cut = int(rng.integers(both, union + 1))
+        left, right = np.unique(values[:cut]), np.unique(np.concatenate([values[:both], values[cut:]]))
+        assert set(minhash.small_keys(left).tolist()) & set(minhash.small_keys(right).tolist())
+
+
+def test_many_short_texts_against_brute_force(spark):
+    rnd = random.Random(8)
+    texts = []
+    for _ in range(60):
+        base = [f"w{rnd.randrange(12)}" for _ in range(rnd.randrange(5, 14))]
+        for _ in range(4):
+            copy = list(base)
+            copy[rnd.choice([0, -1])] = f"w{rnd.randrange(12)}"
+            texts.append(" ".join(copy))
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert _rows(got) == sorted(brute_components(texts), key=str)
+
+
 def test_odd_rows(documents, no_documents):
     got = minhash.near_duplicates(documents).collect()
     assert len(got) == documents.count()

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.llm.labelled import fold, logistic, sample, sigmoid, verdicts
-from tidemark.llm.scratch import stage
+from tidemark.llm.scratch import stage, tidy
 
 PER_CLASS = 4000        # labelled rows of each class that are learnt from at most: half for the dictionaries, half for calibration
 PIECE, PIECES = 4096, 4  # pieces of a sampled text that a dictionary is built from: so many of so many bytes, evenly spread
@@ -69,6 +69,7 @@ class Sizes:
 
 
 def _features(dictionaries):
+    @tidy
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Sizes(*dictionaries.value)
         for batch in batches:
@@ -78,6 +79,7 @@ def _features(dictionaries):
 
 
 def _score(model, text: str, name: str):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good, weights = model.value
         sizes = Sizes(bad, good) if weights is not None else None

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.labelled import fold
-from tidemark.llm.scratch import drop, stage
+from tidemark.llm.scratch import drop, stage, tidy
 from tidemark.llm.words import U64, Scanner, chunks
 
 DEPTH = 5
@@ -199,6 +199,7 @@ def _scan(column: pa.Array) -> Iterator[tuple[int, int, object, np.ndarray]]:
         yield row, end, words, text_codes(_FOLD[data[scan.inside[data]]], words.ends - words.starts, words.per_doc())
 
 
+@tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes, learnt, codes, size = [], [], [], 0
 
@@ -291,6 +292,7 @@ def _least(table: DataFrame, column: str, size, most: int) -> int:
 
 
 def _score_texts(common):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts, total, held, held_logs = common.value
         logs = np.log10((counts + 1.0) / total)

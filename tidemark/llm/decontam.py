@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.scratch import stage
+from tidemark.llm.scratch import stage, tidy
 from tidemark.llm.words import U64, Scanner, chunks
 
 WINDOW = 10
@@ -31,6 +31,7 @@ _INDEX = "first_slot long, doc_ids array<long>, doc_words array<long>, terms bin
 _HITS = "slot long, items array<long>, spans array<struct<start:long,end:long>>"
 
 
+@tidy
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     scan = Scanner("alnum", lower=True)
     slot = TaskContext.get().partitionId() << 40
@@ -54,7 +55,7 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame) -> DataFrame:
     """Store the postings of all words of ``docs`` (doc_id, text); null texts have none, null ids stay null."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(texts.mapInArrow(_postings, _INDEX), "postings")
+    return stage(texts.mapInArrow(_postings, _INDEX), "postings", large_rows=True)
 
 
 class Phrases:
@@ -112,6 +113,7 @@ class Phrases:
 
 
 def _matcher(shared, slop: int):
+    @tidy
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases: Phrases = shared.value
         for batch in batches:

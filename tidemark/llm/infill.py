@@ -87,7 +87,7 @@ def frame_store(docs: DataFrame) -> DataFrame:
     ``docs`` has doc_id and text; other columns are ignored.  A null or empty text has no frames.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return stage(texts.mapInArrow(_store, f"doc_id long, marked boolean, {_LISTS}"), "frames")
+    return stage(texts.mapInArrow(_store, f"doc_id long, marked boolean, {_LISTS}"), "frames", large_rows=True)
 
 
 class Frames:

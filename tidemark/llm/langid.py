@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.scratch import stage
+from tidemark.llm.scratch import stage, tidy
 from tidemark.llm.words import chunks
 
 LANGUAGES = ("de", "en", "es", "fr")
@@ -56,6 +56,7 @@ def _grams(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def _counter(languages: tuple[str, ...]):
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), BUCKETS), np.int64)
         number = {name: k for k, name in enumerate(languages)}
@@ -72,6 +73,7 @@ def _counter(languages: tuple[str, ...]):
 
 
 def _likelihoods(table):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p: np.ndarray = table.value
         for batch in batches:

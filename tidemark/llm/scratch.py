@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+import functools
 import os
 import shutil
 import tempfile
@@ -25,10 +26,21 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+#: Bytes of a row group of tables with large rows; a writer holds one, a reader's batch lies within one.
+GROUP_BYTES = 8 << 20
+
+
+def stage(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    With ``large_rows`` the writer looks at its size after every row and closes row groups of
+    ``GROUP_BYTES``; by default it looks after 100 rows first, whatever they weigh.
+    """
     path = folder(df.sparkSession, name)
-    df.write.parquet(path)
+    write = df.write
+    if large_rows:
+        write = write.option("parquet.block.size", GROUP_BYTES).option("parquet.page.size.row.check.min", 1)
+    write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -57,6 +69,34 @@ def give_back() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def tidy(run):
+    """A function of Arrow batches whose worker gives memory back at the end of each task."""
+    @functools.wraps(run)
+    def batches(held):
+        try:
+            yield from run(held)
+        finally:
+            give_back()
+
+    return batches
+
+
+def tidy_group(run):
+    """A function of a group whose worker gives memory back after every ``GROUPS`` of them."""
+    @functools.wraps(run)
+    def group(key, rows):
+        out = run(key, rows)
+        _GROUPS[0] += 1
+        if _GROUPS[0] % GROUPS == 0:
+            give_back()
+        return out
+
+    return group
+
+
+GROUPS = 500
+_GROUPS = [0]
+
 #: Bytes of an Arrow batch: whole texts go to Python, and a task holds several copies of a batch.
 BATCH_BYTES = 8 << 20
 
