@@ -53,11 +53,17 @@ def running(sizes: Column) -> Column:
         step = lambda acc, x: F.struct(F.concat(acc["sums"], F.array(acc["total"])).alias("sums"), (acc["total"] + x).alias("total"))
         return F.aggregate(run, begin, step, lambda acc: acc["sums"])
 
-    runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _RUN).cast("int")), lambda k: F.slice(sizes, k * _RUN + 1, F.lit(_RUN)))
-    total = lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda acc, x: acc + x)
-    before = within(F.transform(runs, total))
-    summed = F.flatten(F.zip_with(runs, before, lambda run, base: F.transform(within(run), lambda x: x + base)))
-    return F.when(F.size(sizes) > 0, summed).otherwise(F.expr("cast(array() as array<bigint>)"))
+    def summed(sizes: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _RUN).cast("int")), lambda k: F.slice(sizes, k * _RUN + 1, F.lit(_RUN)))
+        total = lambda run: F.aggregate(run, F.lit(0).cast("long"), lambda acc, x: acc + x)
+        return _let(runs, lambda runs: F.flatten(F.zip_with(runs, within(F.transform(runs, total)), lambda run, base: F.transform(within(run), lambda x: x + base))))
+
+    return F.when(F.size(sizes) > 0, _let(sizes, summed)).otherwise(F.expr("cast(array() as array<bigint>)"))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often, and inside whatever lambda, the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _spans(table: DataFrame, name: str, pattern: str, group: int, least: int, number: int) -> DataFrame:
