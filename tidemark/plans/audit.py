@@ -1,9 +1,9 @@
 """Audit trail: content hashes, manifest of processed files, run log, transform log (AUD1-AUD7).
 
-The three audit tables are append-only Parquet datasets under one folder with fixed schemas.
+The audit tables are append-only logs (``sources.commitlog``) under one folder with fixed schemas.
 Appends are small (one row per run / job / file) and written *after* the data they describe
 (a crash in between leaves an unreferenced snapshot that the next run simply repeats under a
-new id).  One writer at a time.
+new id).  Several runs may append at once: a run's id is the number of its log entry.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions._col import as_col
+from tidemark.sources.commitlog import CommitLog
 
 MANIFEST = "processed_files"
 RUNS = "pipeline_runs"
@@ -159,7 +160,7 @@ def remember_hashes(store: "AuditStore", hashes: DataFrame) -> None:
 # AUD3-AUD5: the audit store
 
 class AuditStore:
-    """Append-only audit tables under ``root`` (a shared folder on a cluster)."""
+    """Append-only audit tables under ``root`` (a shared folder on a cluster), a commit log each."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -168,29 +169,23 @@ class AuditStore:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def _exists(self, name: str) -> bool:
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        return fs.exists(p)
+    def _log(self, name: str) -> CommitLog:
+        return CommitLog(self.spark, self.path(name), SCHEMAS[name])
 
     def read(self, name: str) -> DataFrame:
-        if not self._exists(name):
-            return self.spark.createDataFrame([], SCHEMAS[name])
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        return self._log(name).read()
 
     def append(self, name: str, rows: Iterable[dict]) -> None:
-        schema = SCHEMAS[name]
+        stamped = [self._stamped(name, r) for r in rows]
+        if stamped:
+            self._log(name).append(stamped)
+
+    @staticmethod
+    def _stamped(name: str, row: dict) -> dict:
+        """The row with the current time where a time is missing (current_timestamp default)."""
         now = _dt.datetime.now()
-        data = []
-        for r in rows:
-            r = dict(r)
-            for f in schema.fields:
-                if isinstance(f.dataType, T.TimestampType) and r.get(f.name) is None:
-                    r[f.name] = now                    # current_timestamp default
-            data.append(tuple(r.get(f.name) for f in schema.fields))
-        if data:
-            self.spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(self.path(name))
+        times = [f.name for f in SCHEMAS[name].fields if isinstance(f.dataType, T.TimestampType)]
+        return {f.name: row.get(f.name) for f in SCHEMAS[name].fields} | {t: row.get(t) or now for t in times}
 
     def append_df(self, name: str, df: DataFrame) -> None:
         cols = []
@@ -201,17 +196,15 @@ class AuditStore:
                 cols.append(F.current_timestamp().alias(f.name))
             else:
                 cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        df.select(*cols).write.mode("append").parquet(self.path(name))
+        self._log(name).append_df(df.select(*cols))
 
     # AUD4
     def log_run(self, script_name: str, output_dir: str, total_rows: int, files_processed: int,
                 status: str) -> int:
-        """Run log row; ``run_id`` continues the sequence from 1 (single writer)."""
-        last = self.read(RUNS).agg(F.max("run_id")).first()[0]
-        run_id = (last or 0) + 1
-        self.append(RUNS, [dict(run_id=run_id, script_name=script_name, output_dir=output_dir,
-                                total_rows=int(total_rows), files_processed=int(files_processed), status=status)])
-        return run_id
+        """Run log row; ``run_id`` is the number of its entry: from 1, without gaps, also with several writers."""
+        row = self._stamped(RUNS, dict(script_name=script_name, output_dir=output_dir, total_rows=int(total_rows),
+                                       files_processed=int(files_processed), status=status))
+        return self._log(RUNS).append(lambda n: [row | {"run_id": n}])
 
     # AUD5
     def log_transform(self, table_name: str, layer: str, source_files: list[str], output_file: str,

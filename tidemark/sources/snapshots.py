@@ -3,7 +3,8 @@
 Every run writes a new snapshot directory; readers take the lexicographically largest id.  Ids
 start with the run timestamp, so "largest" is "newest"; a per-file sequence number and a hash
 prefix make two outputs of one second distinct.  A snapshot counts only with a ``_COMMITTED``
-marker, which is written last: what a failed or still running write leaves is never read.  Listing
+marker, which is written last: what a failed or still running write leaves is never read.  The
+marker holds the number of rows, counted inside the write job (AUD5).  Listing
 uses the Hadoop FileSystem API (names only), so it costs one directory listing whatever the data
 size.
 """
@@ -11,9 +12,10 @@ size.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions._col import as_col
@@ -42,10 +44,22 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def commit_snapshot(spark: SparkSession, path: str) -> None:
-    """Mark a snapshot as whole; the last step of every write."""
+def commit_snapshot(spark: SparkSession, path: str, rows: int) -> None:
+    """Mark a snapshot as whole and keep its number of rows; the last step of every write."""
     p, fs = _fs(spark, f"{path}/{COMMITTED}")
-    fs.create(p, True).close()
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps({"rows": int(rows)}).encode()))
+    out.close()
+
+
+def snapshot_rows(spark: SparkSession, path: str) -> int:
+    """Rows of a committed snapshot, from its marker; no job runs."""
+    p, fs = _fs(spark, f"{path}/{COMMITTED}")
+    source = fs.open(p)
+    try:
+        return json.loads(bytes(source.readAllBytes()))["rows"]
+    finally:
+        source.close()
 
 
 def _is_committed(spark: SparkSession, path: str) -> bool:
@@ -109,17 +123,20 @@ def pick_latest(listing: DataFrame, dataset_col: str, layer_col: str, snapshot_c
 def write_snapshot(df: DataFrame, root: str, layer: str, dataset: str, sid: str) -> str:
     """SNK1-SNK3: write one snapshot (ZSTD Parquet).  Fails instead of overwriting an existing
     snapshot.  Task output is committed atomically by Spark's commit protocol, so lost
-    executors only cause task retries."""
+    executors only cause task retries.  Rows are counted by an ``Observation`` in the tasks that
+    write them; a retried task of that stage counts once."""
     path = f"{dataset_path(root, layer, dataset)}/{SNAPSHOT}={sid}"
-    df.write.mode("errorifexists").option("compression", "zstd").parquet(path)
-    commit_snapshot(df.sparkSession, path)
+    seen = Observation()
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    observed.write.mode("errorifexists").option("compression", "zstd").parquet(path)
+    commit_snapshot(df.sparkSession, path, seen.get["rows"])
     return path
 
 
 def write_snapshots_by_column(df: DataFrame, root: str, layer: str, dataset: str, sid_col: str) -> str:
     """Several snapshots of one dataset in one write job: ``partitionBy(snapshot)``, append.
 
-    The caller commits each snapshot (``commit_snapshot``) after the job has ended."""
+    The caller knows the rows of each and commits it (``commit_snapshot``) after the job has ended."""
     path = dataset_path(root, layer, dataset)
     (df.withColumnRenamed(sid_col, SNAPSHOT).write.mode("append").option("compression", "zstd")
        .partitionBy(SNAPSHOT).parquet(path))
