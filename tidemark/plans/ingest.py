@@ -11,8 +11,8 @@ SRC1-SRC3, AUD1-AUD4, AUD6, EXT1-EXT16, SNK1.  One Spark job extracts all new fi
 3. Files without data rows are skipped and not recorded (EXT7); files whose widest row does not
    match the header width fail alone and make the run ``partial`` (EXT14, AUD6).
 4. Data rows of the good files are dealt out by header signature in the shared checkpoint folder;
-   each (table, header) signature is then written from its own partition there, one
-   ``snapshot=<id>`` per file (SNK1).  The raw text is read once.
+   each (table, header) signature is then written from its own partition there, several at once,
+   one ``snapshot=<id>`` per file with a commit marker of its own (SNK1).  The raw text is read once.
 5. Manifest rows are appended after the data (AUD3), the run row last (AUD4).
 """
 
@@ -22,6 +22,7 @@ import datetime as _dt
 import hashlib
 import os
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -48,6 +49,10 @@ def hash_files(spark: SparkSession, raw_dir: str, glob: str, audit: AuditStore):
     return listing.join(index, ["file", "size", "modified"], "left").select("file", "file_hash", "size", "modified")
 
 
+def _output(root: str, g: dict) -> str:
+    return f"{dataset_path(root, 'bronze', g['table'])}/{SNAPSHOT}={g['sid']}"
+
+
 @dataclass
 class IngestResult:
     status: str = "success"
@@ -59,7 +64,8 @@ class IngestResult:
 def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStore, *,
                   layouts: Sequence[Layout] = DEFAULT_LAYOUTS, glob: str = "*.txt",
                   encoding: str = "utf-8", multi_cell_dividers: bool = False,
-                  run_ts: _dt.datetime | None = None) -> IngestResult:
+                  run_ts: _dt.datetime | None = None, writers: int = 8) -> IngestResult:
+    """Ingest the new files of ``raw_dir``; up to ``writers`` tables are written at once."""
     run_ts = run_ts or _dt.datetime.now()
     res = IngestResult()
     try:
@@ -104,21 +110,31 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
         by_sig: dict[str, list[dict]] = {}
         for g in good:
             by_sig.setdefault(g["sig"], []).append(g)
-        manifest = []
-        for sig, group in by_sig.items():
+
+        def write(group: list[dict]) -> Exception | None:
+            """One job for all files of a signature, then a commit marker for each (SNK1)."""
             g0 = group[0]
             try:
-                staged = spark.read.parquet(f"{stage}/_sig={sig}")
+                staged = spark.read.schema("_sid string, file string, cells array<string>").parquet(f"{stage}/_sig={g0['sig']}")
                 table = to_table(staged, g0["headers"], layout_by_name(g0["layout"], layouts), keep=["_sid"])
                 write_snapshots_by_column(table, root, "bronze", g0["table"], "_sid")
+                for g in group:
+                    commit_snapshot(spark, _output(root, g), g["rows"])
             except Exception as e:  # noqa: BLE001 -- AUD6: one failing table does not stop the others
+                return e
+            return None
+
+        manifest = []
+        with ThreadPoolExecutor(max_workers=max(1, writers)) as threads:
+            errors = list(threads.map(write, by_sig.values()))
+        for group, error in zip(by_sig.values(), errors):
+            if error is not None:
                 res.status = "partial"
                 for g in group:
-                    res.files.append(dict(file=g["name"], status="error", error=f"{type(e).__name__}: {e}"))
+                    res.files.append(dict(file=g["name"], status="error", error=f"{type(error).__name__}: {error}"))
                 continue
             for g in group:
-                out = f"{dataset_path(root, 'bronze', g['table'])}/{SNAPSHOT}={g['sid']}"
-                commit_snapshot(spark, out)
+                out = _output(root, g)
                 manifest.append(dict(filename=g["name"], file_hash=hash_of[g["file"]], row_count=g["rows"],
                                      output_file=out))
                 res.files.append(dict(file=g["name"], status="ingested", table=g["table"], rows=g["rows"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +14,13 @@ from tidemark.operators.clean import active_only
 from tidemark.operators.coverage import coverage_balance
 from tidemark.operators.temporal import DimSpec, analysis_window
 from tidemark.plans import fixtures as fx
+from tidemark.plans.audit import TRANSFORMS, AuditStore
 from tidemark.plans.catalog import register
 from tidemark.plans.hr_summary import hr_summary
+from tidemark.plans.jobs import GOLD_JOBS, run_jobs
 from tidemark.plans.queries_temporal import _gold, _gold_with
+from tidemark.session import checkpoint_dir
+from tidemark.sources.snapshots import read_latest, write_snapshot
 
 FISCAL_START = 7
 
@@ -83,3 +89,21 @@ def active_rows(spark: SparkSession, sf: str) -> DataFrame:
     flag = F.when(k % 7 == 0, F.lit("X")).when(k % 5 == 0, F.lit(" "))
     t = fx.table(spark, sf, "orders").select("o_orderkey", F.concat("o_orderstatus", F.when(k % 3 == 0, " ").otherwise("")).alias("status"), flag.alias("deletion_flag"))
     return active_only(t, "status", ("O", "P"), "deletion_flag")
+
+
+@register("gold_jobs", "CFG3 CFG4 SRC6 SRC7 AGG4 AUD5 SNK3", _gold_with("""SELECT CAST(date_trunc('month', "Adj_Start_Date") AS DATE) AS month, "Actual Personnel Area" AS org_unit,
+    COUNT(*) AS segments, CAST(SUM("Days in Segment") AS BIGINT) AS days, CAST(SUM(CAST("Total" AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_cost,
+    (SELECT count(*) FROM zpost) AS gold_in, (SELECT count(*) FROM gold) AS gold_out
+FROM gold GROUP BY 1, 2"""))
+def gold_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """The configured Gold jobs over Silver snapshots: the monthly summary reads the Gold summary that ran before it.
+
+    With the rows in and out that the transform log has of the Gold summary."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex[:12]}"
+    for name, df in (("zpost", fx.zpost(spark, sf)), ("pa0001", fx.pa0001(spark, sf)), ("pa0008", fx.pa0008(spark, sf))):
+        write_snapshot(df, root, "silver", name, "20240101_000000_000000")
+    audit = AuditStore(spark, f"{root}/_audit")
+    run_jobs(spark, GOLD_JOBS[::-1], root, audit)
+    logged = audit.read(TRANSFORMS).where("table_name = 'hr_summary'")
+    summary, _ = read_latest(spark, root, "monthly_cost_summary", ("gold",))
+    return summary.withColumns({"gold_in": logged.select("input_row_count").scalar(), "gold_out": logged.select("output_row_count").scalar()})

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import clean as C
-from tidemark.operators.profile import blank_profile, blank_profile_rows
+from tidemark.operators.profile import blank_profile, blank_profile_rows, state_rows
 from tidemark.plans import fixtures as fx
 from tidemark.plans.catalog import register
+from tidemark.plans.profiles import merged_profile, update_profile
+from tidemark.session import checkpoint_dir
+from tidemark.sources.snapshots import write_snapshot
 
 _LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -43,6 +48,21 @@ def blank_profile_rows_query(spark: SparkSession, sf: str) -> DataFrame:
     return blank_profile_rows(fx.pa0001(spark, sf))
 
 
+_TOTALS_SQL = _profile_sql(_LINEITEM_COLS, "lineitem")
+
+
+@register("profile_incremental", "AGG2 AGG3 SNK2", f"""
+WITH p AS ({_TOTALS_SQL}) SELECT metric, value FROM (UNPIVOT p ON COLUMNS(*) INTO NAME metric VALUE value)""")
+def profile_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """lineitem as three snapshots, profiled as they arrive; the states merged are the profile of all rows."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex[:12]}"
+    t = fx.table(spark, sf, "lineitem")
+    for k in range(3):
+        write_snapshot(t.where(F.col("l_orderkey") % 3 == k), root, "silver", "lineitem", f"2024010{k + 1}_000000_000000")
+        update_profile(spark, root, "silver", "lineitem")
+    return state_rows(merged_profile(spark, root, "silver", "lineitem"))
+
+
 @register("run_balance", "AUD5 AGG1 FLT1", fx.with_fixtures("""
 SELECT 'pa0001' AS table_name, 'silver' AS layer, COUNT(*) AS input_row_count,
        COUNT(*) FILTER (WHERE TRIM("Pers.No.") <> '' AND TRIM("Position") NOT IN ('', '99999999')
