@@ -1,6 +1,6 @@
 """Packing documents into training sequences by non-negative least squares.
 
-Documents are taken in runs of about 8 MB of text.  What fills whole windows is cut off; of the
+Documents are taken in runs of about ``RUN_IDS`` ids of one task.  What fills whole windows is cut off; of the
 rest, lengths fall into ``CLASSES`` classes and make a histogram.  The shallow combinations of
 classes that fill a window exactly (at most ``DEPTH`` of them together) are enumerated once; how
 often to use each is the non-negative least-squares solution against the histogram, rounded down.
@@ -27,6 +27,8 @@ from tidemark.llm.tokens import encoder
 WINDOW = 2048
 CLASSES = 32
 DEPTH = 4
+RUN_IDS = 1 << 22
+ENCODED = 2 << 20  # bytes of text that are encoded together
 LEAST = 16  # a gap of fewer ids is padded rather than filled by a cut
 
 Piece = tuple[int, int, int]  # document, first id, ids
@@ -144,20 +146,32 @@ def _packer(tokenizer: str, window: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts = encoder(tokenizer)
         sequence = TaskContext.get().partitionId() << 40
+        names, docs, held = [], [], 0
+
+        def planned() -> pa.RecordBatch:
+            nonlocal sequence
+            rows = []
+            for pieces in plan(np.array([len(d) for d in docs]), window):
+                offset = 0
+                for d, start, n in pieces:
+                    rows.append((names[d], start, n, zlib.crc32(docs[d][start:start + n].astype("<u4").tobytes()), len(docs[d]), sequence, offset, docs[d][start:start + n] if with_ids else None))
+                    offset += n
+                sequence += 1
+            columns = list(zip(*rows))
+            kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
+            return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES[:len(kinds)])
+
         for batch in batches:
-            names = batch.column("doc_id").to_pylist()
-            for row, end, ids, bounds in encode_texts(batch.column("text")):
-                docs = [np.append(ids[a:b], np.uint32(END)) for a, b in zip(bounds[:-1], bounds[1:])]
-                rows = []
-                for pieces in plan(np.array([len(d) for d in docs]), window):
-                    offset = 0
-                    for d, start, n in pieces:
-                        rows.append((names[row + d], start, n, zlib.crc32(docs[d][start:start + n].astype("<u4").tobytes()), len(docs[d]), sequence, offset, docs[d][start:start + n] if with_ids else None))
-                        offset += n
-                    sequence += 1
-                columns = list(zip(*rows))
-                kinds = [pa.int64()] * 7 + [pa.list_(pa.int32())] * with_ids
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=_NAMES[:len(kinds)])
+            ids_of = batch.column("doc_id").to_pylist()
+            for row, end, ids, bounds in encode_texts(batch.column("text"), ENCODED):
+                names += ids_of[row:end]
+                docs += [np.append(ids[a:b], np.uint32(END)) for a, b in zip(bounds[:-1], bounds[1:])]
+                held += len(ids) + end - row
+                if held >= RUN_IDS:
+                    yield planned()
+                    names, docs, held = [], [], 0
+        if docs:
+            yield planned()
         encode_texts.forget()
 
     return run

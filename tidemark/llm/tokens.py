@@ -90,13 +90,13 @@ class Encoder:
             self.plain[raw] = tuple(ids[at:stop])
             at = stop
 
-    def __call__(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """(first row, end row, ids, bounds) of runs of texts; a null text has no ids.
+    def __call__(self, column: pa.Array, run: int = _RUN) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first row, end row, ids, bounds) of runs of texts of about ``run`` bytes; a null text has no ids.
 
         A text that spells out a token added to the vocabulary (such as its end of text) goes
         through the library whole, which cuts the text there.
         """
-        for row, end, data, bounds in chunks(column, _RUN):
+        for row, end, data, bounds in chunks(column, run):
             raw = data.tobytes()
             whole = self._spelt(raw, bounds) if self.fast else np.ones(end - row, bool)
             lengths = np.diff(bounds)
