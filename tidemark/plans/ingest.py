@@ -72,7 +72,7 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
         hashes = hash_files(spark, raw_dir, glob, audit)
         for r in unhashed(hashes).collect():    # AUD6: a file that cannot be read fails alone
             res.status = "partial"
-            res.files.append(dict(file=os.path.basename(r["file"]), status="error", error="the file could not be read"))
+            res.files.append(dict(file=os.path.basename(r["file"]), path=r["file"], status="error", error="the file could not be read"))
         todo = sorted(unseen_files(hashes, audit.seen_hashes()).select("file", "file_hash").collect())
         if not todo:
             return res
@@ -85,11 +85,11 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
         for seq, m in enumerate(sorted(meta, key=lambda r: r["file"])):
             name = os.path.basename(m["file"])
             if m["n_rows"] == 0:
-                res.files.append(dict(file=name, status="skipped_empty"))
+                res.files.append(dict(file=name, path=m["file"], status="skipped_empty"))
                 continue
             if m["ragged"]:
                 res.status = "partial"
-                res.files.append(dict(file=name, status="error",
+                res.files.append(dict(file=name, path=m["file"], status="error",
                                       error=f"{m['max_width']} cells in a row, {len(m['headers'])} headers"))
                 continue
             sig = hashlib.md5(("\x1f".join([m["table_name"], m["layout"], *m["headers"]])).encode()).hexdigest()[:16]
@@ -131,13 +131,13 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
             if error is not None:
                 res.status = "partial"
                 for g in group:
-                    res.files.append(dict(file=g["name"], status="error", error=f"{type(error).__name__}: {error}"))
+                    res.files.append(dict(file=g["name"], path=g["file"], status="error", error=f"{type(error).__name__}: {error}"))
                 continue
             for g in group:
                 out = _output(root, g)
                 manifest.append(dict(filename=g["name"], file_hash=hash_of[g["file"]], row_count=g["rows"],
                                      output_file=out))
-                res.files.append(dict(file=g["name"], status="ingested", table=g["table"], rows=g["rows"],
+                res.files.append(dict(file=g["name"], path=g["file"], status="ingested", table=g["table"], rows=g["rows"],
                                       output=out))
                 res.files_processed += 1
                 res.total_rows += g["rows"]

@@ -17,7 +17,7 @@ from tidemark.plans import fixtures as fx
 from tidemark.plans.audit import TRANSFORMS, AuditStore
 from tidemark.plans.catalog import register
 from tidemark.plans.hr_summary import hr_summary
-from tidemark.plans.jobs import GOLD_JOBS, run_jobs
+from tidemark.plans.jobs import GOLD_JOBS, Job, run_jobs
 from tidemark.plans.queries_temporal import _gold, _gold_with
 from tidemark.session import checkpoint_dir
 from tidemark.sources.snapshots import read_latest, write_snapshot
@@ -107,3 +107,17 @@ def gold_jobs(spark: SparkSession, sf: str) -> DataFrame:
     logged = audit.read(TRANSFORMS).where("table_name = 'hr_summary'")
     summary, _ = read_latest(spark, root, "monthly_cost_summary", ("gold",))
     return summary.withColumns({"gold_in": logged.select("input_row_count").scalar(), "gold_out": logged.select("output_row_count").scalar()})
+
+
+@register("sql_template_job", "SRC4 SRC5 CFG2 FLT2 SNK2", fx.with_fixtures("""
+SELECT "Post Type" AS post_type, count(*) AS posts, CAST(sum("Total") AS DECIMAL(38,2)) AS total, count(DISTINCT "Personnel area") AS areas
+FROM z WHERE "Personnel area" <> 'P' GROUP BY 1""", z=fx.ZPOST_SQL))
+def sql_template_job(spark: SparkSession, sf: str) -> DataFrame:
+    """A job given as a SQL template over a Silver snapshot, its filter from the configuration."""
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lake-{uuid.uuid4().hex[:12]}"
+    write_snapshot(fx.zpost(spark, sf), root, "silver", "zpost", "20240101_000000_000000")
+    job = Job("by_post_type", "gold", {"z": "zpost"}, source_layers=("silver",), filters="`Personnel area` <> 'P'", sql="""
+SELECT `Post Type` AS post_type, count(*) AS posts, CAST(sum(`Total`) AS DECIMAL(38,2)) AS total, count(DISTINCT `Personnel area`) AS areas
+FROM {z} {filters} GROUP BY 1""")
+    run_jobs(spark, [job], root, AuditStore(spark, f"{root}/_audit"))
+    return read_latest(spark, root, "by_post_type", ("gold",))[0]
