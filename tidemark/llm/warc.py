@@ -170,7 +170,11 @@ def write_archives(pages: DataFrame, where: str | None = None, least_bytes: int
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     rows = rows.withColumn("payload_key", F.unhex(F.sha1(F.encode("html", "UTF-8"))))
     middle = F.greatest(F.lit(1), (F.length("html") / 2).cast("int") - SAMPLE_BYTES // 8)
-    sample = rows.select(F.xxhash64("page_id", "payload_key").alias("rank"), F.encode(F.substr("html", middle, F.lit(SAMPLE_BYTES // 4)), "UTF-8").alias("piece")).orderBy("rank").limit(SAMPLE_PAGES)
+    ranked = rows.withColumn("rank", F.xxhash64("page_id", "payload_key"))
+    n = pages.count()
+    if n > 2 * SAMPLE_PAGES:  # about twice as many as wanted pass, so what tasks hand to the one that sorts doesn't grow
+        ranked = ranked.filter(F.col("rank") < -(1 << 63) + (1 << 64) * 2 * SAMPLE_PAGES // n)
+    sample = ranked.select("rank", F.encode(F.substr("html", middle, F.lit(SAMPLE_BYTES // 4)), "UTF-8").alias("piece")).orderBy("rank").limit(SAMPLE_PAGES)
     trained = sample.groupBy(F.lit(0).alias("one")).applyInPandas(_train, "dictionary binary").collect()
     dictionary = spark.sparkContext.broadcast(bytes(trained[0].dictionary) if trained else b"WARC/1.1\r\n")
     # written first: the join then sees its size, and can split a payload that very many pages share
