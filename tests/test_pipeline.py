@@ -75,14 +75,16 @@ def test_raw_to_report(spark, tmp_root):
     assert bal["pa0001"]["input_row_count"] - expected_out == bal["pa0001"]["rows_filtered"]
 
     gold = run_jobs(spark, GOLD_JOBS, root, audit)
-    assert [g.status for g in gold] == ["success", "success"]
+    assert [g.status for g in gold] == ["success"] * 3
     g, _ = read_latest(spark, root, "hr_summary", ("silver", "gold"))
     direct = hr_summary(C.clean(zp, C.ZPOST), C.clean(pa1, C.PA0001, where=C.org_assignment_filter),
                         C.clean(pa8, C.PA0008))
     assert g.count() == direct.count() > 0
     assert g.exceptAll(direct).count() == 0
-    # Gold-on-Gold job read the Gold table
+    # the Gold-on-Gold jobs read the Gold table
     assert list_snapshots(spark, root, "gold", "monthly_cost_summary")
+    by_month, _ = read_latest(spark, root, "calendar_cost_summary", ("gold",))
+    assert by_month.agg(F.sum("days")).first()[0] == g.agg(F.sum("Days in Segment")).first()[0]
 
     # reports: zero rows -> no file; otherwise a file with header
     out = export_report(area_mismatches(g), os.path.join(tmp_root, "reports", "pa"))
@@ -92,7 +94,7 @@ def test_raw_to_report(spark, tmp_root):
         assert spark.read.option("header", True).csv(out).count() == area_mismatches(g).count()
 
     top = latest(audit.read(RUNS), "run_at", 2, tie_break=["run_id"]).collect()
-    assert len(top) == 2 and top[0]["run_id"] == max(r["run_id"] for r in audit.read(RUNS).collect())
+    assert len(top) == 2 and top[0]["run_at"] == max(r["run_at"] for r in audit.read(RUNS).collect())
 
 
 def test_missing_dependency_and_failing_job(spark, tmp_root):
@@ -206,7 +208,7 @@ def test_command_line_layers(spark, tmp_root, capsys):
     assert json.loads(capsys.readouterr().out)["files_processed"] == 3
     assert main(["silver", root], spark=spark) == 0
     assert main(["gold", root], spark=spark) == 0
-    assert [j["status"] for j in json.loads(capsys.readouterr().out.strip().splitlines()[-1])] == ["success"] * 2
+    assert [j["status"] for j in json.loads(capsys.readouterr().out.strip().splitlines()[-1])] == ["success"] * 3
     assert main(["report", root, os.path.join(tmp_root, "out"), "--kind", "psg"], spark=spark) == 0
     assert json.loads(capsys.readouterr().out)["status"] in ("exported", "no_mismatches")
 

@@ -70,16 +70,26 @@ def read_report_lines(spark: SparkSession, raw_dir: str | None = None, glob: str
     )
 
 
-# A cell delimiter that swallows the whitespace around each '|': splitting a stripped line on
-# it yields already-stripped cells in one codegen'd split (no per-cell lambda).
 _WS_CLASS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE) + "]"
-CELL_SPLIT = _WS_CLASS + r"*\|" + _WS_CLASS + "*"
+_LOOSE_PIPE = _WS_CLASS + r"*+\|" + _WS_CLASS + "*+"
+_OTHER_WS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE if ch != " ") + "]"
 
 
-def _cells(stripped: Column) -> Column:
-    """EXT4: ``[c.strip() for c in line.split('|')[1:-1]]`` of a stripped grid line."""
-    parts = F.split(stripped, CELL_SPLIT, -1)
-    return F.slice(parts, 2, F.greatest(F.size(parts) - 2, F.lit(0)))
+def _with_tight(lines: DataFrame, is_row: Column) -> DataFrame:
+    """Add ``tight``: a grid row (of ``s``) without the whitespace around its ``|``, so that its cells are stripped.
+
+    One space on either side goes by plain replacement; the pattern runs only on lines that have
+    more of them or other whitespace.
+    """
+    plain = F.replace(F.replace(F.col("s"), F.lit(" |"), F.lit("|")), F.lit("| "), F.lit("|"))
+    t = F.col("tight")
+    loose = t.contains(" |") | t.contains("| ") | t.rlike(_OTHER_WS)
+    return lines.withColumn("tight", F.when(is_row, plain)).withColumn("tight", F.when(loose, F.regexp_replace(t, _LOOSE_PIPE, "|")).otherwise(t))
+
+
+def _cells(tight: Column, width: Column) -> Column:
+    """EXT4: ``[c.strip() for c in line.split('|')[1:-1]]`` of a grid line, from its tight form."""
+    return F.slice(F.split(tight, r"\|", -1), F.lit(2), width)
 
 
 #: Lines whose ``pos`` is a plain number are cut into splits of so many positions.
@@ -133,8 +143,8 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     """Scan ``lines`` (file, pos, value) once and carry each file's header over its splits (EXT1-EXT6).
 
     A split is what one task reads of a file (``pos.block``), or 2^20 positions where ``pos`` is a
-    number.  The scan writes the cells of grid rows, their width and a 128-bit hash to the shared
-    checkpoint folder.  From the narrow columns alone each split gives one summary row, the places
+    number.  The scan writes grid rows without whitespace around their cells, their width and a
+    128-bit hash to the shared checkpoint folder.  From the narrow columns alone each split gives one summary row, the places
     of its first line and first grid row.  A running minimum over a file's summaries is its first
     line and header; the header's hashes are handed back to each split.  No line meets a row of
     another split, and a file that holds most of the lines is as many tasks as it has splits.
@@ -144,11 +154,13 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     at = F.col("pos").cast("bigint") if numbered else F.col("pos.row")
     scanned = lines.select("file", block.alias("block"), at.alias("at"), "pos", strip_ws(F.col("value")).alias("s"))
     is_row = F.col("s").startswith("|") & F.col("s").endswith("|") & ~F.col("s").rlike(DIVIDER_MULTI if multi_cell_dividers else DIVIDER)
-    scanned = scanned.withColumn("cells", F.when(is_row, _cells(F.col("s"))))
+    scanned = _with_tight(scanned, is_row)
     # a line's text is read again only where it is a file's first line, which may be a grid row
-    keep = F.lit(True) if numbered else F.col("cells").isNull() | (F.col("block") == 0)
-    staged = _staged(scanned.select("file", "block", "at", "pos", F.when(keep, F.col("s")).alias("s"), "cells", F.size("cells").alias("width"),
-                                    F.xxhash64("cells").alias("hash_1"), F.xxhash64(F.lit(1), F.col("cells")).alias("hash_2")), "grid-lines")
+    keep = F.lit(True) if numbered else F.col("tight").isNull() | (F.col("block") == 0)
+    width = F.length("tight") - F.length(F.replace("tight", F.lit("|"), F.lit(""))) - 1
+    staged = _staged(scanned.select("file", "block", "at", "pos", F.when(keep, F.col("s")).alias("s"), "tight", width.alias("width"),
+                                    F.xxhash64("tight").alias("hash_1"), F.xxhash64(F.lit(1), F.col("tight")).alias("hash_2")), "grid-lines")
+    staged = staged.withColumn("cells", _cells(F.col("tight"), F.col("width")))
     is_grid = F.col("width") >= 0
     summary = staged.groupBy("file", "block").agg(F.min("at").alias("first"), F.min(F.when(is_grid, F.col("at"))).alias("head"))
     in_order = Window.partitionBy("file").orderBy("block")
