@@ -25,7 +25,7 @@ def documents(spark, odd_texts):
     rows += [rows[3], rows[3], (None, "no id here", None, None, None)]
     table = spark.createDataFrame(rows, DOCUMENT)
     from pyspark.sql import functions as F
-    for name in ("score", "slot", "rep", "label", "kept", "component_id", "hash", "n", "rank", "y", "items", "path", "looks", "__text"):
+    for name in ("score", "slot", "rep", "label", "kept", "component_id", "hash", "n", "rank", "y", "items", "path", "looks", "__text", "__rejected", "__Quality_Score", "row", "rep_"):
         table = table.withColumn(name, F.lit("clash"))
     return table
 

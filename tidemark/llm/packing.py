@@ -27,8 +27,8 @@ from tidemark.llm.tokens import encoder
 WINDOW = 2048
 CLASSES = 32
 DEPTH = 4
-RUN_IDS = 1 << 22
-ENCODED = 2 << 20  # bytes of text that are encoded together
+RUN_IDS = 1 << 21
+ENCODED = 1 << 20  # bytes of text that are encoded together
 LEAST = 16  # a gap of fewer ids is padded rather than filled by a cut
 
 Piece = tuple[int, int, int]  # document, first id, ids

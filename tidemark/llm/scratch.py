@@ -26,6 +26,30 @@ def folder(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Lists that note the paths of tables as they are staged.
+_RECORDS: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def recorded(paths: list[str]):
+    """Within the block the paths of staged tables are added to the list."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.pop()
+
+
+def drop_paths(spark: SparkSession, paths: list[str], read: DataFrame) -> None:
+    """Delete staged tables by path, but for those that ``read`` still reads, and empty the list."""
+    held = {os.path.dirname(f) for f in read.inputFiles()} if paths else set()
+    for path in paths:
+        if not any(h.endswith(os.path.basename(path)) for h in held):
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    paths.clear()
+
+
 #: Bytes of a row group of tables with large rows; a writer holds one, a reader's batch lies within one.
 GROUP_BYTES = 8 << 20
 
@@ -41,6 +65,8 @@ def stage(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
     if large_rows:
         write = write.option("parquet.block.size", GROUP_BYTES).option("parquet.page.size.row.check.min", 1)
     write.parquet(path)
+    if _RECORDS:
+        _RECORDS[-1].append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._staged_at = path
     return out
@@ -98,7 +124,7 @@ GROUPS = 500
 _GROUPS = [0]
 
 #: Bytes of an Arrow batch: whole texts go to Python, and a task holds several copies of a batch.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def ship(spark: SparkSession) -> None:

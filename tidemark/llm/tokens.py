@@ -3,8 +3,8 @@
 A tokenizer that lower-cases, drops white space and marks word ends (byte-pair merges with an end
 of word suffix) never merges across its pieces (letters, single digits, other characters), and each
 piece ends in a token with that suffix.  So numpy cuts a run of texts into pieces and tells them
-apart by 64-bit hashes; pieces seen before are looked up, and all new ones go through the library
-as one text, whose ids are cut at the suffix.  Words with an apostrophe or with characters outside
+apart by 64-bit hashes; pieces that the task has seen before are looked up in sorted arrays, and all
+new ones go through the library as one text, whose ids are cut at the suffix.  Words with an apostrophe or with characters outside
 ASCII and the accented Latin-1 letters, texts that spell out one of the vocabulary's added tokens and
 texts of other tokenizers go through it as they are.
 """
@@ -15,7 +15,6 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +24,8 @@ from tidemark.llm.words import Scanner, chunks, mix, word_bytes
 
 #: Fixed value: the pattern by which the tokenizer file cuts pieces.
 _FILE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_MOST_PIECES = 700_000  # cached; then the cache starts anew
-_RUN, _PART = 8 << 20, 1 << 20  # bytes of text whose pieces are looked up, and cut, together
+_MOST_PIECES = 2_000_000  # cached, at some 30 bytes each; then the cache starts anew
+_RUN, _PART = 8 << 20, 1 << 19  # bytes of text whose pieces are looked up, and cut, together
 
 # Of the bytes beyond ASCII only those of U+00C0-U+00FF but the two signs among them are plain;
 # in plain words 0x80-0x9E then end an upper-case letter, whose lower-case form is 0x20 further on.
@@ -56,15 +55,15 @@ class Encoder:
         pattern = re.search(r'"Regex": "(\'s.*?)"\}', json.dumps(held["pre_tokenizer"]))
         self.fast = literal and bool(suffix) and held["model"].get("dropout") is None and pattern is not None and json.loads(f'"{pattern[1]}"') == _FILE_PATTERN and [x["type"] for x in held["normalizer"]["normalizers"]] == ["NFC", "Replace", "Lowercase"]
         self.scan = Scanner("spaced", lower=False)
-        self.plain: dict[bytes, tuple[int, ...]] = {}
-        self.odd: dict[bytes, tuple[int, ...]] = {}
+        self._clear()
         if self.fast:
-            self.parts = Tokenizer.from_file(path)
-            self.parts.normalizer = None
+            self.parts = Tokenizer(self.whole.model)  # the same model in memory, without added tokens
             self.parts.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
             vocabulary = held["model"]["vocab"]
             self.ends = np.zeros(1 + max(vocabulary.values()), bool)
             self.ends[[k for word, k in vocabulary.items() if word.endswith(suffix)]] = True
+        del held
+        give_back()
 
     def whole_text(self, text: str) -> list[int]:
         """Ids by the library alone."""
@@ -72,23 +71,34 @@ class Encoder:
 
     def forget(self) -> None:
         """Empty the cache and give its memory back; a task does so at its end, as its worker goes on to other work."""
-        self.plain, self.odd = {}, {}
+        self._clear()
         give_back()
 
-    def _learn(self, plain: list[bytes], odd: list[bytes]) -> None:
-        """Add pieces to the cache."""
-        for raw in odd:
-            self.odd[raw] = tuple(self.whole_text(raw.decode()))
-        if not plain:
-            return
-        ids = self.parts.encode_batch_fast([b" ".join(plain).decode()], add_special_tokens=False)[0].ids
-        stops = np.flatnonzero(self.ends[ids]) + 1
-        if len(stops) != len(plain):
-            raise ValueError("a piece without exactly one end of word")
-        at = 0
-        for raw, stop in zip(plain, stops.tolist()):
-            self.plain[raw] = tuple(ids[at:stop])
-            at = stop
+    def _clear(self) -> None:
+        """An empty cache: sorted hashes of pieces, and where in ``ids`` the ids of each start and how many they are."""
+        self.keys, self.starts, self.counts, self.ids = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+
+    def _learn(self, place: np.ndarray, keys: np.ndarray, pieces: list[bytes], odd: np.ndarray) -> None:
+        """Add pieces to the cache, all plain ones encoded as one text."""
+        counts, parts = np.zeros(len(pieces), np.int32), []
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            ids = np.array(self.parts.encode_batch_fast([b" ".join([pieces[k] for k in plain.tolist()]).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) != len(plain):
+                raise ValueError("a piece without exactly one end of word")
+            counts[plain] = np.diff(stops, prepend=0)
+            parts.append(ids)
+        strange = np.flatnonzero(odd)
+        for k in strange.tolist():
+            ids = self.whole_text(pieces[k].decode())
+            counts[k] = len(ids)
+            parts.append(np.array(ids, np.uint32))
+        order = np.concatenate([plain, strange])  # in which their ids were added
+        starts = np.zeros(len(pieces), np.int64)
+        starts[order] = len(self.ids) + np.cumsum(counts[order], dtype=np.int64) - counts[order]
+        self.ids = np.concatenate([self.ids, *parts])
+        self.keys, self.starts, self.counts = np.insert(self.keys, place, keys), np.insert(self.starts, place, starts), np.insert(self.counts, place, counts)
 
     def __call__(self, column: pa.Array, run: int = _RUN) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, end row, ids, bounds) of runs of texts of about ``run`` bytes; a null text has no ids.
@@ -169,24 +179,21 @@ class Encoder:
         if not pieces:
             return np.zeros(0, np.uint32), first
         hashes, strange, at, lengths, folded = (np.concatenate(x) for x in zip(*parts))
-        _, lead, which = np.unique(hashes, return_index=True, return_inverse=True)
-        raw = folded.tobytes()
-        own = [raw[a:b] for a, b in zip(at[lead].tolist(), (at + lengths)[lead].tolist())]
-        odd = np.flatnonzero(strange[lead]).tolist()
-        fresh_odd = [own[k] for k in odd]
-        plain = own if not odd else [own[k] for k in np.flatnonzero(~strange[lead]).tolist()]
-        for cache, new in ((self.plain, plain), (self.odd, fresh_odd)):
-            if len(cache) + len(new) > _MOST_PIECES:
-                cache.clear()
-        self._learn([x for x in plain if x not in self.plain], list(set(fresh_odd).difference(self.odd)))
-        found = list(map(self.plain.get, own))
-        for k in odd:
-            found[k] = self.odd[own[k]]
-        counts = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), np.uint32, int(counts.sum()))
-        many = counts[which]
-        ends = np.concatenate([[0], np.cumsum(many)])
-        ids = flat[np.repeat((np.cumsum(counts) - counts)[which] - ends[:-1], many) + np.arange(ends[-1])]
+        distinct, lead, which = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.keys) + len(distinct) > _MOST_PIECES:
+            self._clear()
+        place = np.searchsorted(self.keys, distinct)
+        known = place < len(self.keys)
+        known[known] = self.keys[place[known]] == distinct[known]
+        if not known.all():
+            new = lead[~known]
+            raw = folded.tobytes()
+            pieces = [raw[a:b] for a, b in zip(at[new].tolist(), (at + lengths)[new].tolist())]
+            self._learn(place[~known], distinct[~known], pieces, strange[new])
+            place = np.searchsorted(self.keys, distinct)
+        many = self.counts[place][which]
+        ends = np.concatenate([[0], np.cumsum(many, dtype=np.int64)])
+        ids = self.ids[np.repeat(self.starts[place][which] - ends[:-1], many) + np.arange(ends[-1])]
         return ids, ends[first]
 
 
