@@ -44,20 +44,24 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def commit_snapshot(spark: SparkSession, path: str, rows: int) -> None:
-    """Mark a snapshot as whole and keep its number of rows; the last step of every write."""
+def commit_snapshot(spark: SparkSession, path: str, rows: int, **more) -> None:
+    """Mark a snapshot as whole and keep its number of rows (and whatever else is given); the last step of every write."""
     p, fs = _fs(spark, f"{path}/{COMMITTED}")
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps({"rows": int(rows)}).encode()))
+    out.write(bytearray(json.dumps({"rows": int(rows), **more}).encode()))
     out.close()
 
 
 def snapshot_rows(spark: SparkSession, path: str) -> int:
     """Rows of a committed snapshot, from its marker; no job runs."""
+    return snapshot_marker(spark, path)["rows"]
+
+
+def snapshot_marker(spark: SparkSession, path: str) -> dict:
     p, fs = _fs(spark, f"{path}/{COMMITTED}")
     source = fs.open(p)
     try:
-        return json.loads(bytes(source.readAllBytes()))["rows"]
+        return json.loads(bytes(source.readAllBytes()))
     finally:
         source.close()
 
