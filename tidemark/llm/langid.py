@@ -89,9 +89,9 @@ def _likelihoods(table):
 def _text_models(rows: DataFrame, languages: tuple[str, ...]) -> np.ndarray:
     """log P(3-gram | language), a line for each language and one for ``und``."""
     counts = rows.select("declared", "text").filter(F.col("declared").isin(*languages)).mapInArrow(_counter(languages), "which int, bucket int, n long")
-    seen = counts.groupBy("which", "bucket").agg(F.sum("n").alias("n")).toPandas()  # at most languages x BUCKETS rows
+    seen = counts.groupBy("which", "bucket").agg(F.sum("n").alias("n")).toArrow()  # at most languages x BUCKETS rows
     total = np.zeros((len(languages), BUCKETS))
-    total[seen.which, seen.bucket] = seen.n
+    total[seen["which"].to_numpy(), seen["bucket"].to_numpy()] = seen["n"].to_numpy()
     log_p = np.log((total + ADD) / (total.sum(axis=1, keepdims=True) + ADD * BUCKETS))
     log_p[total.sum(axis=1) == 0] = -2 * np.log(BUCKETS)  # nothing is known of a language that no row declares
     return np.vstack([log_p, np.full(BUCKETS, -np.log(BUCKETS))])
@@ -112,11 +112,12 @@ def _shares(rows: DataFrame, value: str, names: tuple[str, ...]) -> DataFrame:
     return wide.select(value, F.array(*logs).alias(f"log_{value}"))
 
 
-def _host_priors(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
-    """P(language | host), smoothed towards the site, all rows and equal shares: (host, prior)."""
+def _host_priors(rows: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, list[float]]:
+    """log P(language | host), smoothed towards the site, all rows and equal shares: (host, log_host), and that of all rows, with those that have no host."""
     tally = [F.coalesce(F.sum(F.when(F.col("looks") == x, F.col("n"))), F.lit(0)).alias(f"n_{k}") for k, x in enumerate(names)]
-    per = stage(rows.groupBy("host", "looks").agg(F.count("*").alias("n")), "hosts").withColumn("site", F.regexp_extract("host", r"([^.]+\.[^.]+)$|^([^.]*)$", 0))
-    everything = per.agg(*tally).collect()[0]
+    every = stage(rows.groupBy("host", "looks").agg(F.count("*").alias("n")), "hosts")
+    per = every.filter("host is not null").withColumn("site", F.regexp_extract("host", r"([^.]+\.[^.]+)$|^([^.]*)$", 0))
+    everything = every.agg(*tally).collect()[0]
     start = [(UND_ROWS if x == UNKNOWN else 1.0) for x in names]
     whole = [(everything[k] + start[k]) / (sum(everything) + sum(start)) for k in range(len(names))]
     sites = per.groupBy("site").agg(*tally)
@@ -126,15 +127,15 @@ def _host_priors(rows: DataFrame, names: tuple[str, ...]) -> DataFrame:
     n_host = sum(F.col(f"n_{k}") for k in range(len(names)))
     joined = hosts.join(sites, "site")
     priors = [F.log((F.col(f"n_{k}") + PRIOR_ROWS * F.col(f"s_{k}") / F.col("s")) / (n_host + PRIOR_ROWS)) for k in range(len(names))]
-    return joined.select("host", F.array(*priors).alias("log_host"))
+    return joined.select("host", F.array(*priors).alias("log_host")), [float(np.log(x)) for x in whole]
 
 
 def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
     """Language of every row of (id, text, declared, suffix, host): id, language, posterior, accepted, text_language, declared, n_letters.
 
     ``declared`` is the markup's language (its part before ``-`` or ``_``, lower-cased, counts);
-    declared, suffix and host may be null, which is no evidence (a null host has the prior of all
-    rows).  Null, empty and letter-less texts have no text evidence and ``und`` as text_language;
+    declared, suffix and host may be null, which is no evidence (a null host, and one without any
+    lettered text, has the prior of all rows).  Null, empty and letter-less texts have no text evidence and ``und`` as text_language;
     their language rests on the rest but they are never accepted.  Ties go to the language first
     in order, ``und`` last.  A row is accepted if a language other than ``und`` has a posterior of
     0.6 or more.  Repeated rows each get a row, and an empty table gives none.
@@ -155,9 +156,9 @@ def identify(rows: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> DataFra
     for value, logs in says.items():
         log_says = F.when(F.col("says") == value, F.array(*map(F.lit, logs))).otherwise(log_says)
     suffixes = stage(_shares(scored.filter("suffix is not null and n_letters > 0"), "suffix", names), "suffixes")
-    hosts = stage(_host_priors(scored.filter("n_letters > 0").withColumn("host", F.coalesce("host", F.lit(""))), names), "host-priors")
-    joined = scored.withColumn("__host", F.coalesce("host", F.lit(""))).join(hosts.withColumnRenamed("host", "__host"), "__host", "left").join(suffixes, "suffix", "left")
-    total = F.array(*(TEMPER * F.col("log_text")[k] + log_says[k] + F.coalesce(F.col("log_suffix")[k], F.lit(0.0)) + F.coalesce(F.col("log_host")[k], F.lit(0.0)) for k in range(len(names))))
+    hosts, whole = _host_priors(scored.filter("n_letters > 0"), names)
+    joined = scored.join(stage(hosts, "host-priors"), "host", "left").withColumn("log_host", F.coalesce("log_host", F.array(*map(F.lit, whole)))).join(suffixes, "suffix", "left")
+    total = F.array(*(TEMPER * F.col("log_text")[k] + log_says[k] + F.coalesce(F.col("log_suffix")[k], F.lit(0.0)) + F.col("log_host")[k] for k in range(len(names))))
     joined = joined.withColumn("__total", total)
     top = F.array_max("__total")
     posterior = 1.0 / F.aggregate("__total", F.lit(0.0), lambda s, x: s + F.exp(x - top))
