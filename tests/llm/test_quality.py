@@ -65,3 +65,40 @@ def test_odd_rows(documents, no_documents, labels):
     assert quality_rules.quality_rules(no_documents, labels([(1, 1), (2, 0)])).collect() == []
     out = compress_quality.scored(documents, (b"", b"", None), name="__s")
     assert out.columns == [*documents.columns, "__s"] and out.count() == documents.count()
+
+
+def test_margins_against_loops_over_words_and_characters():
+    """A margin is the mean weight of a text's n-grams of each kind; characters, not bytes, make n-grams."""
+    import re
+
+    import numpy as np
+    import pyarrow as pa
+    from tidemark.llm import quality_rules as Q
+    from tidemark.llm.words import Scanner, chunks, hash_of, ngrams
+
+    texts = ["été déjà vu", "plain words only here", "", "a", "漢字 かな 漢字", "x\U0001F600y\U0001F600z", "ab", "été déjà vu été", "日本"]
+    scan = Scanner("spaced", lower=True)
+    weights = np.random.default_rng(1).normal(size=Q.KINDS * Q.BUCKETS)
+
+    def number(c):
+        raw = c.encode()
+        out = raw[0]
+        for b in raw[1:]:
+            out = out << 6 | b & 0x3F
+        return out
+
+    def gram(piece):
+        out = 0
+        for c in piece:
+            out = (out + number(c)) * 0x9E3779B1 & 0xFFFFFFFF
+        return out >> (32 - Q.BITS)
+
+    def expected(text):
+        words = hash_of([w.lower().encode() if w.isascii() else w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", text)], scan)
+        kinds = [[int(h) >> (64 - Q.BITS) for h in words], [int(h) >> (64 - Q.BITS) for h in ngrams(words, 2)]]
+        kinds += [[gram(text[k:k + n]) for k in range(len(text) - n + 1)] for n in (3, 4)]
+        return Q.SCALE * sum(np.mean([weights[k * Q.BUCKETS + b] for b in own]) for k, own in enumerate(kinds) if own)
+
+    for row, end, data, bounds in chunks(pa.array(texts)):
+        got = Q.margins(data, bounds, scan(data, bounds), weights)
+        assert np.allclose(got, [expected(t) for t in texts[row:end]])

@@ -1,6 +1,6 @@
 """Quality rules: counts over whole texts and a hashed n-gram logistic regression.
 
-The regression sees words, word pairs and byte 3- and 4-grams, each hashed into ``BUCKETS``
+The regression sees words, word pairs and character 3- and 4-grams, each hashed into ``BUCKETS``
 buckets.  A feature is the share of a text's n-grams of that kind that fall into a bucket, so a
 score is a mean of weights over the text's n-grams and is read off in one pass over the Arrow
 buffers.  It is trained on labelled quality rows, calibrated on labelled rows held back from that,
@@ -22,7 +22,7 @@ from tidemark.llm.words import U64, Scanner, chunks, mix, ngrams
 
 BITS = 15
 BUCKETS = 1 << BITS      # for each kind of n-gram
-KINDS = 4                # words, word pairs, byte 3-grams, byte 4-grams
+KINDS = 4                # words, word pairs, character 3-grams, character 4-grams
 PER_CLASS = 3000         # labelled rows of each class that are learnt from at most: two thirds for weights, the rest for calibration
 KEEP_AT = 0.3            # calibrated probability of good quality from which a document is kept
 MIN_WORDS = 50
@@ -35,13 +35,25 @@ _SYMBOL[list(b"#*$%&|<>")] = True
 _SHIFT32 = np.uint32(32 - BITS)
 
 
-def _byte_grams(data: np.ndarray, n: int) -> np.ndarray:
-    """Bucket of the n bytes from each place on; as many as there are places."""
-    if len(data) < n:
+def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each character of UTF-8 texts laid end to end (its lead byte followed by 6 bits of each other byte), and the texts' bounds in characters."""
+    if not (data >= 0x80).any():
+        return data, bounds
+    at = np.flatnonzero((data & 0xC0) != 0x80)
+    out = data[at].astype(np.uint32)
+    for k, least in ((1, 0xC0), (2, 0xE0), (3, 0xF0)):
+        longer = np.flatnonzero(data[at] >= least)
+        out[longer] = (out[longer] << np.uint32(6)) | (data[at[longer] + k] & 0x3F)
+    return out, np.searchsorted(at, bounds)
+
+
+def _character_grams(values: np.ndarray, n: int) -> np.ndarray:
+    """Bucket of the n characters from each place on; as many as there are places."""
+    if len(values) < n:
         return np.zeros(0, np.uint32)
-    out = np.zeros(len(data) - n + 1, np.uint32)
+    out = np.zeros(len(values) - n + 1, np.uint32)
     for k in range(n):
-        out = (out + data[k:len(data) - n + 1 + k]) * np.uint32(0x9E3779B1)
+        out = (out + values[k:len(values) - n + 1 + k]) * np.uint32(0x9E3779B1)
     return out >> _SHIFT32
 
 
@@ -52,9 +64,10 @@ def _kinds(data: np.ndarray, bounds: np.ndarray, words) -> Iterator[tuple[np.nda
         grams = words.hashes if n == 1 else ngrams(words.hashes, 2)
         first, end = words.first[:-1], words.first[1:] - n + 1
         yield (grams >> shift).astype(np.int64), first, np.maximum(first, end)
+    values, bounds = characters(data, bounds)
     for n in (3, 4):
         first, end = bounds[:-1], bounds[1:] - n + 1
-        yield _byte_grams(data, n), first, np.maximum(first, end)
+        yield _character_grams(values, n), first, np.maximum(first, end)
 
 
 def _means(values: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
