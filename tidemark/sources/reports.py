@@ -24,7 +24,7 @@ import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,11 +103,13 @@ class Grid:
     ``lines``:  ``file, block, pos, cells, width, hash_1, hash_2`` -- every grid row, headers included.
     ``splits``: ``file, block, hash_1, hash_2`` -- one row per split, with the hashes of its file's header.
     ``files``:  ``file, first_line, headers`` -- one row per non-empty file.
+    ``state_bytes``: size of ``splits``, measured while it was written.
     """
 
     lines: DataFrame
     splits: DataFrame
     files: DataFrame
+    state_bytes: int
 
     def rows(self, per_file: DataFrame | None = None) -> DataFrame:
         """Data rows ``file, block, pos, cells, width``: no headers, dividers or repeats (EXT6).
@@ -115,27 +117,29 @@ class Grid:
         ``per_file`` (one row per file) adds its columns, and only its files are left.  Both go
         to the rows by split, so no join key stands for more rows than one split has.
         """
-        state = self.splits
+        state, size = self.splits, self.state_bytes
         if per_file is not None:
             state = state.join(per_file, "file")
+            size = state.agg(_size(state)).collect()[0][0]
         state = state.withColumnsRenamed({"hash_1": "_h1", "hash_2": "_h2"})
-        state = F.broadcast(state) if _small(state) else state.hint("shuffle_merge")
+        state = F.broadcast(state) if size <= _broadcast_limit(state) else state.hint("shuffle_merge")
         header = (F.col("hash_1") == F.col("_h1")) & (F.col("hash_2") == F.col("_h2"))
         return self.lines.join(state, ["file", "block"]).where(~header).drop("hash_1", "hash_2", "_h1", "_h2")
 
 
-def _small(state: DataFrame) -> bool:
-    """Whether a table of splits, measured in text bytes and 16 bytes a field, is under the session's broadcast limit."""
-    spark = state.sparkSession
-    limit = spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+def _size(state: DataFrame) -> Column:
+    """Bytes of a table of splits: its text and 16 a field."""
     text = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c, t in state.dtypes if t == "string"), F.lit(0))
-    size = state.agg(F.sum(text + 16 * len(state.columns))).collect()[0][0] or 0
-    return size <= limit
+    return F.coalesce(F.sum(text + 16 * len(state.columns)), F.lit(0)).alias("size")
 
 
-def _staged(df: DataFrame, name: str) -> DataFrame:
+def _broadcast_limit(df: DataFrame) -> int:
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def _staged(df: DataFrame, name: str, seen: Observation | None = None) -> DataFrame:
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    (df if seen is None else df.observe(seen, _size(df))).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -168,10 +172,9 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     carried = F.first(F.when(F.col("head").isNotNull(), F.struct("block", "head")), ignorenulls=True).over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     summary = _staged(summary.select("file", "block", F.when(first, F.col("first")).alias("first"), carried.alias("header")), "grid-splits")
 
-    # the two lines of each file that matter, looked up by split and place
+    # the two lines of each file that matter, looked up by split and place (AQE broadcasts them if they are small)
     asked = summary.where("first is not null").select("file", "block", F.col("first").alias("at")).union(
         summary.where("first is not null and header is not null").select("file", "header.block", "header.head")).distinct()
-    asked = F.broadcast(asked) if _small(asked) else asked
     found = _staged(staged.join(asked, ["file", "block", "at"]).select("file", "block", "at", "s", "cells", "hash_1", "hash_2"), "grid-heads")
     firsts = summary.where("first is not null").select("file", "block", F.col("first").alias("at"), "header")
     files = (firsts.join(found.select("file", "block", "at", F.col("s").alias("first_line")), ["file", "block", "at"])
@@ -180,7 +183,9 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     heads = found.select(F.col("file").alias("f"), F.struct("block", F.col("at").alias("head")).alias("h"), "hash_1", "hash_2")
     splits = summary.join(heads, (F.col("file") == F.col("f")) & (F.col("header") == F.col("h"))).select("file", "block", "hash_1", "hash_2")
     grid = staged.where(is_grid).select("file", "block", "pos", "cells", "width", "hash_1", "hash_2")
-    return Grid(grid, _staged(splits, "grid-state"), files)
+    seen = Observation()
+    state = _staged(splits, "grid-state", seen)
+    return Grid(grid, state, files, seen.get["size"])
 
 
 def extract_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> tuple[DataFrame, DataFrame]:
