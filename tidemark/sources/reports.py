@@ -70,24 +70,40 @@ def read_report_lines(spark: SparkSession, raw_dir: str | None = None, glob: str
     )
 
 
-_WS_CLASS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE) + "]"
+def _char_class(chars: str) -> str:
+    """A regex class of the characters, neighbours as ranges: a matcher tries its parts one by one."""
+    runs: list[list[int]] = []
+    for c in sorted(map(ord, chars)):
+        if runs and c == runs[-1][1] + 1:
+            runs[-1][1] = c
+        else:
+            runs.append([c, c])
+    return "[" + "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in runs) + "]"
+
+
+_WS_CLASS = _char_class(PY_WHITESPACE)
 _LOOSE_PIPE = _WS_CLASS + r"*+\|" + _WS_CLASS + "*+"
-_OTHER_WS = "[" + "".join(f"\\u{ord(ch):04x}" for ch in PY_WHITESPACE if ch != " ") + "]"
+_OTHER_WS = _char_class(PY_WHITESPACE.replace(" ", ""))
+_UNPRINTED = "[^ -~]"       # one range, so a plain line is passed over quickly; all of _OTHER_WS lies outside it
 
 
 def _with_tight(lines: DataFrame, is_row: Column) -> DataFrame:
     """Add ``tight``: a grid row (of ``s``) without the whitespace around its ``|``, so that its cells are stripped.
 
-    One space on either side goes by plain replacement; the pattern runs only on lines that have
-    more of them or other whitespace.
+    One space on either side goes by plain replacement, once more where some are left (blank cells);
+    a pattern runs only on lines that have still more of them, or other whitespace.
     """
-    plain = F.replace(F.replace(F.col("s"), F.lit(" |"), F.lit("|")), F.lit("| "), F.lit("|"))
+    def plain(c: Column) -> Column:
+        return F.replace(F.replace(c, F.lit(" |"), F.lit("|")), F.lit("| "), F.lit("|"))
+
     t = F.col("tight")
-    loose = t.contains(" |") | t.contains("| ") | t.rlike(_OTHER_WS)
-    return lines.withColumn("tight", F.when(is_row, plain)).withColumn("tight", F.when(loose, F.regexp_replace(t, _LOOSE_PIPE, "|")).otherwise(t))
+    loose = t.contains(" |") | t.contains("| ")
+    other = t.rlike(_UNPRINTED) & t.rlike(_OTHER_WS)
+    lines = lines.withColumn("tight", F.when(is_row, plain(F.col("s")))).withColumn("tight", F.when(loose, plain(t)).otherwise(t))
+    return lines.withColumn("tight", F.when(other, F.regexp_replace(t, _LOOSE_PIPE, "|")).when(loose, F.regexp_replace(t, r" *+\| *+", "|")).otherwise(t))
 
 
-def _cells(tight: Column, width: Column) -> Column:
+def cells(tight: Column, width: Column) -> Column:
     """EXT4: ``[c.strip() for c in line.split('|')[1:-1]]`` of a grid line, from its tight form."""
     return F.slice(F.split(tight, r"\|", -1), F.lit(2), width)
 
@@ -100,7 +116,7 @@ SPLIT_BITS = 20
 class Grid:
     """The grid lines of report files, scanned once, and what every split of them was handed back.
 
-    ``lines``:  ``file, block, pos, cells, width, hash_1, hash_2`` -- every grid row, headers included.
+    ``lines``:  ``file, block, pos, tight, width, hash_1, hash_2`` -- every grid row, headers included.
     ``splits``: ``file, block, hash_1, hash_2`` -- one row per split, with the hashes of its file's header.
     ``files``:  ``file, first_line, headers`` -- one row per non-empty file.
     ``state_bytes``: size of ``splits``, measured while it was written.
@@ -112,7 +128,12 @@ class Grid:
     state_bytes: int
 
     def rows(self, per_file: DataFrame | None = None) -> DataFrame:
-        """Data rows ``file, block, pos, cells, width``: no headers, dividers or repeats (EXT6).
+        """Data rows ``file, block, pos, cells, width``: no headers, dividers or repeats (EXT6)."""
+        found = self.texts(per_file)
+        return found.select(*[cells(F.col("tight"), F.col("width")).alias("cells") if c == "tight" else c for c in found.columns])
+
+    def texts(self, per_file: DataFrame | None = None) -> DataFrame:
+        """Data rows as ``rows`` gives them, but with the line's text ``tight``, of which ``cells`` makes them.
 
         ``per_file`` (one row per file) adds its columns, and only its files are left.  Both go
         to the rows by split, so no join key stands for more rows than one split has.
@@ -161,10 +182,9 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     scanned = _with_tight(scanned, is_row)
     # a line's text is read again only where it is a file's first line, which may be a grid row
     keep = F.lit(True) if numbered else F.col("tight").isNull() | (F.col("block") == 0)
-    width = F.length("tight") - F.length(F.replace("tight", F.lit("|"), F.lit(""))) - 1
+    width = F.octet_length("tight") - F.octet_length(F.replace("tight", F.lit("|"), F.lit(""))) - 1
     staged = _staged(scanned.select("file", "block", "at", "pos", F.when(keep, F.col("s")).alias("s"), "tight", width.alias("width"),
                                     F.xxhash64("tight").alias("hash_1"), F.xxhash64(F.lit(1), F.col("tight")).alias("hash_2")), "grid-lines")
-    staged = staged.withColumn("cells", _cells(F.col("tight"), F.col("width")))
     is_grid = F.col("width") >= 0
     summary = staged.groupBy("file", "block").agg(F.min("at").alias("first"), F.min(F.when(is_grid, F.col("at"))).alias("head"))
     in_order = Window.partitionBy("file").orderBy("block")
@@ -175,14 +195,14 @@ def scan_grid(lines: DataFrame, multi_cell_dividers: bool = False) -> Grid:
     # the two lines of each file that matter, looked up by split and place (AQE broadcasts them if they are small)
     asked = summary.where("first is not null").select("file", "block", F.col("first").alias("at")).union(
         summary.where("first is not null and header is not null").select("file", "header.block", "header.head")).distinct()
-    found = _staged(staged.join(asked, ["file", "block", "at"]).select("file", "block", "at", "s", "cells", "hash_1", "hash_2"), "grid-heads")
+    found = _staged(staged.join(asked, ["file", "block", "at"]).select("file", "block", "at", "s", cells(F.col("tight"), F.col("width")).alias("cells"), "hash_1", "hash_2"), "grid-heads")
     firsts = summary.where("first is not null").select("file", "block", F.col("first").alias("at"), "header")
     files = (firsts.join(found.select("file", "block", "at", F.col("s").alias("first_line")), ["file", "block", "at"])
                    .join(found.select("file", F.struct("block", F.col("at").alias("head")).alias("header"), F.col("cells").alias("headers")), ["file", "header"], "left")
                    .select("file", "first_line", "headers"))
     heads = found.select(F.col("file").alias("f"), F.struct("block", F.col("at").alias("head")).alias("h"), "hash_1", "hash_2")
     splits = summary.join(heads, (F.col("file") == F.col("f")) & (F.col("header") == F.col("h"))).select("file", "block", "hash_1", "hash_2")
-    grid = staged.where(is_grid).select("file", "block", "pos", "cells", "width", "hash_1", "hash_2")
+    grid = staged.where(is_grid).select("file", "block", "pos", "tight", "width", "hash_1", "hash_2")
     seen = Observation()
     state = _staged(splits, "grid-state", seen)
     return Grid(grid, state, files, seen.get["size"])
@@ -212,7 +232,7 @@ def file_stats(rows: DataFrame, files: DataFrame) -> DataFrame:
 
 def unescaped(path: Column) -> Column:
     """A path as the file system has it: ``_metadata`` gives it with URL escapes, other sources do not."""
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(path.contains("%"), F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))).otherwise(path)
 
 
 def _literal(path: str) -> str:
