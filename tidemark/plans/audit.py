@@ -67,8 +67,15 @@ SCHEMAS = {
 # ---------------------------------------------------------------------------------------
 # AUD1 / AUD2: content hashes and dedup
 
+def list_files(spark: SparkSession, raw_dir: str, glob: str = "*.txt") -> DataFrame:
+    """``(file, size, modified)`` of each ``glob`` file directly in ``raw_dir``, without file contents."""
+    return (spark.read.format("binaryFile").load(raw_dir.rstrip("/") + "/" + glob)
+                 .select(F.col("path").alias("file"), F.col("length").alias("size"),
+                         F.col("modificationTime").alias("modified")))
+
+
 def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
-                known: DataFrame | None = None) -> DataFrame:
+                known: DataFrame | None = None, listing: DataFrame | None = None) -> DataFrame:
     """AUD1: MD5 of all bytes of each ``glob`` file directly in ``raw_dir``
     -> ``(file, file_hash, size, modified)``.
 
@@ -76,12 +83,11 @@ def file_hashes(spark: SparkSession, raw_dir: str, glob: str = "*.txt",
     in ``known`` with the same size and time keep their recorded hash; only the others are read,
     so a run reads the bytes of new or changed files only.  Each is streamed by one task in
     pieces of ``PIECE`` bytes, so its size does not matter; the files are spread over all tasks.
+    A caller that has listed the files (``list_files``) passes the listing.
     A file that cannot be opened or read has a NULL hash.
     """
-    pattern = raw_dir.rstrip("/") + "/" + glob
-    listing = (spark.read.format("binaryFile").load(pattern)
-                    .select(F.col("path").alias("file"), F.col("length").alias("size"),
-                            F.col("modificationTime").alias("modified")))
+    if listing is None:
+        listing = list_files(spark, raw_dir, glob)
     keys = ["file", "size", "modified"]
     if known is not None:
         seen = listing.join(known.select(*keys, "file_hash"), keys)

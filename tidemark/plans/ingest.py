@@ -21,34 +21,62 @@ from __future__ import annotations
 import datetime as _dt
 import hashlib
 import os
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.plans.audit import FILE_INDEX, MANIFEST, AuditStore, file_hashes, remember_hashes, unhashed, unseen_files
+from tidemark.plans.audit import FILE_INDEX, MANIFEST, AuditStore, file_hashes, filesystem, list_files, remember_hashes, unhashed, unseen_files
 from tidemark.session import checkpoint_dir
 from tidemark.sources.layouts import DEFAULT_LAYOUTS, Layout, layout_by_name, match_layouts, to_table
-from tidemark.sources.reports import file_stats, read_report_lines, scan_grid
-from tidemark.sources.snapshots import SNAPSHOT, commit_snapshot, dataset_path, snapshot_id, write_snapshots_by_column
+from tidemark.sources.reports import _staged, cells, file_stats, read_report_lines, scan_grid
+from tidemark.sources.snapshots import COMMITTED, SNAPSHOT, commit_snapshot, dataset_path, marker, snapshot_id, write_snapshots_by_column
 
 
 def hash_files(spark: SparkSession, raw_dir: str, glob: str, audit: AuditStore):
     """AUD1 with an index: hash only new or changed files (their bytes are read once, by the
     job that appends them to the shared file index), then resolve every listed file's hash from
-    the index with a content-free listing."""
-    fresh = file_hashes(spark, raw_dir, glob, known=audit.read(FILE_INDEX))
+    the index.  The files are listed once, without their contents, and the listing is staged: with
+    many small files a listing costs more than their hashes."""
+    listing = _staged(list_files(spark, raw_dir, glob), "file-listing")
+    fresh = file_hashes(spark, raw_dir, glob, known=audit.read(FILE_INDEX), listing=listing)
     remember_hashes(audit, fresh.where(F.col("file_hash").isNotNull()))
-    listing = (spark.read.format("binaryFile").load(raw_dir.rstrip("/") + "/" + glob)
-                    .select(F.col("path").alias("file"), F.col("length").alias("size"),
-                            F.col("modificationTime").alias("modified")))
     index = audit.read(FILE_INDEX).dropDuplicates(["file", "size", "modified"])
     return listing.join(index, ["file", "size", "modified"], "left").select("file", "file_hash", "size", "modified")
 
 
+def _mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Write the commit markers of snapshots; give back those that Arrow cannot reach."""
+    for outputs in batches:
+        done = []
+        for path, rows in zip(outputs["path"], outputs["rows"]):
+            try:
+                system, local = filesystem(f"{path}/{COMMITTED}")
+                with system.open_output_stream(local) as out:
+                    out.write(marker(rows))
+                done.append(True)
+            except (OSError, pa.ArrowException):
+                done.append(False)
+        yield outputs[[not d for d in done]]
+
+
+def commit_snapshots(spark: SparkSession, outputs: Sequence[tuple[str, int]]) -> None:
+    """Commit many snapshots (path, rows) after the write has ended: tasks write the markers, each a file of its own."""
+    if len(outputs) > DRIVER_MARKS:
+        table = spark.createDataFrame(list(outputs), "path string, rows long").repartition(spark.sparkContext.defaultParallelism)
+        outputs = [(r["path"], r["rows"]) for r in table.mapInPandas(_mark, table.schema).collect()]
+    for path, rows in outputs:
+        commit_snapshot(spark, path, rows)
+
+
+DRIVER_MARKS = 64       # so many markers are written faster than a job starts
+
+
 def _output(root: str, g: dict) -> str:
     return f"{dataset_path(root, 'bronze', g['table'])}/{SNAPSHOT}={g['sid']}"
 
@@ -104,7 +132,7 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
                                                    T.StructField("_sid", T.StringType()),
                                                    T.StructField("_sig", T.StringType())]))
         stage = f"{checkpoint_dir(spark).rstrip('/')}/bronze-stage-{run_ts:%Y%m%d%H%M%S%f}"
-        (grid.rows(info).select("_sig", "_sid", "file", "cells")
+        (grid.texts(info).select("_sig", "_sid", "file", "tight", "width")
              .write.mode("errorifexists").partitionBy("_sig").parquet(stage))
 
         by_sig: dict[str, list[dict]] = {}
@@ -115,11 +143,11 @@ def ingest_bronze(spark: SparkSession, raw_dir: str, root: str, audit: AuditStor
             """One job for all files of a signature, then a commit marker for each (SNK1)."""
             g0 = group[0]
             try:
-                staged = spark.read.schema("_sid string, file string, cells array<string>").parquet(f"{stage}/_sig={g0['sig']}")
+                staged = spark.read.schema("_sid string, file string, tight string, width int").parquet(f"{stage}/_sig={g0['sig']}")
+                staged = staged.withColumn("cells", cells(F.col("tight"), F.col("width")))
                 table = to_table(staged, g0["headers"], layout_by_name(g0["layout"], layouts), keep=["_sid"])
                 write_snapshots_by_column(table, root, "bronze", g0["table"], "_sid")
-                for g in group:
-                    commit_snapshot(spark, _output(root, g), g["rows"])
+                commit_snapshots(spark, [(_output(root, g), g["rows"]) for g in group])
             except Exception as e:  # noqa: BLE001 -- AUD6: one failing table does not stop the others
                 return e
             return None

@@ -44,11 +44,16 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def marker(rows: int, **more) -> bytes:
+    """What a commit marker holds."""
+    return json.dumps({"rows": int(rows), **more}).encode()
+
+
 def commit_snapshot(spark: SparkSession, path: str, rows: int, **more) -> None:
     """Mark a snapshot as whole and keep its number of rows (and whatever else is given); the last step of every write."""
     p, fs = _fs(spark, f"{path}/{COMMITTED}")
     out = fs.create(p, True)
-    out.write(bytearray(json.dumps({"rows": int(rows), **more}).encode()))
+    out.write(bytearray(marker(rows, **more)))
     out.close()
 
 
