@@ -103,3 +103,28 @@ def test_components_of_a_path_a_star_and_nothing(spark):
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {**{k: 20 for k in range(20, 36)}, **{k: 1 for k in range(1, 15)}}
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_sets_are_deduplicated_only_where_ids_repeat(spark, monkeypatch):
+    """op4's disk: full sets with ids of their own are not shuffled to find copies; a repeated id still gives each set once."""
+    plans, rows = [], []
+    stage = minhash.stage
+
+    def staged(df, name, **more):
+        out = stage(df, name, **more)
+        if name == "sets":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            rows.append(sorted(r["rep"] for r in out.select("rep").collect()))
+        return out
+
+    monkeypatch.setattr(minhash, "stage", staged)
+    words = [f"w{i}" for i in range(200)]
+    near = [" ".join(words), " ".join(words[:195] + ["other"])]
+    far = " ".join(f"x{i}" for i in range(50))
+    once = minhash.near_duplicates(spark.createDataFrame([(1, near[0]), (2, near[1]), (3, far)], "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in once.collect()) == [(1, 1), (2, 1), (3, 3)]
+    again = [(1, near[0]), (1, near[0]), (2, near[1]), (2, near[0]), (3, far)]
+    repeated = minhash.near_duplicates(spark.createDataFrame(again, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in repeated.collect()) == [(1, 1), (1, 1), (2, 1), (2, 1), (3, 3)]
+    assert "first(shingles" not in plans[0] and "first(shingles" in plans[1]
+    assert all(len(found) == 2 == len(set(found)) for found in rows)

@@ -244,8 +244,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = stage(stars.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(_agreeing, "a long, b long"), "stars")
     wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).union(shared.filter("n > 2").select("rep")).distinct()
     wanted = stage(reps.join(wanted, "rep", "left_semi").select("rep", "set_id", "doc_id"), "wanted")
-    sets = texts.join(small(wanted.select("doc_id").distinct()), "doc_id", "left_semi").mapInArrow(_full_sets, _SETS)
-    sets = stage(sets.join(wanted.select("set_id", "rep"), "set_id").dropDuplicates(["rep"]).select("rep", "shingles"), "sets", large_rows=True)
+    ids = small(wanted.select("doc_id").distinct())
+    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_full_sets, _SETS)
+    sets = sets.join(wanted.select("set_id", "rep"), "set_id").select("rep", "shingles")
+    # only where ids repeat can a set come from several texts; else the sets, the bulk of what is shuffled, stay where they are
+    if sketches.join(ids, "doc_id", "left_semi").join(wanted.select("set_id"), "set_id", "left_semi").count() > wanted.count():
+        sets = sets.dropDuplicates(["rep"])
+    sets = stage(sets, "sets", large_rows=True)
     links = stage(_confirmed(stars, sets), "links")
     found = components(links)
 
