@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 from conftest_llm import brute_components
-from tidemark.llm import minhash
+from tidemark.llm import minhash, scratch
 from tidemark.llm.components import components
 
 
@@ -128,3 +128,66 @@ def test_sets_are_deduplicated_only_where_ids_repeat(spark, monkeypatch):
     assert sorted((r["doc_id"], r["component_id"]) for r in repeated.collect()) == [(1, 1), (1, 1), (2, 1), (2, 1), (3, 3)]
     assert "first(shingles" not in plans[0] and "first(shingles" in plans[1]
     assert all(len(found) == 2 == len(set(found)) for found in rows)
+
+
+def _near_texts(seed, groups=12):
+    rnd = random.Random(seed)
+    texts = []
+    for g in range(groups):
+        base = [f"g{g}w{rnd.randrange(500)}" for _ in range(120)]
+        for k in range(4):
+            copy = list(base)
+            copy[rnd.randrange(120)] = f"x{k}"
+            texts += [" ".join(copy)] * (1 + k % 2)
+    return texts
+
+
+def test_sketches_and_sets_are_not_shuffled_to_find_their_class(spark, monkeypatch):
+    """op4's disk: by size alone Spark broadcast small tables of classes, and shuffled whole sketches and sets beside larger ones."""
+    plans = {}
+    stage = minhash.stage
+
+    def staged(df, name, **more):
+        plans.setdefault(name, df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, name, **more)
+
+    monkeypatch.setattr(minhash, "stage", staged)
+    texts = _near_texts(3)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = _rows(minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got == sorted(brute_components(texts), key=str)
+    assert plans["buckets"].count("Exchange hashpartitioning") == 1  # of the keys
+    assert plans["sets"].count("Exchange hashpartitioning") == 0
+
+
+def test_tables_of_ids_too_large_to_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "BROADCAST_IDS", 0)
+    texts = _near_texts(4)
+    got = minhash.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert _rows(got) == sorted(brute_components(texts), key=str)
+
+
+def test_a_set_of_an_own_id_and_of_a_repeated_one_is_staged_once(spark, monkeypatch):
+    found = []
+    stage = minhash.stage
+
+    def staged(df, name, **more):
+        out = stage(df, name, **more)
+        if name == "sets":
+            found.extend(r["rep"] for r in out.select("rep").collect())
+        return out
+
+    monkeypatch.setattr(minhash, "stage", staged)
+    a, b = ([f"{x}{i}" for i in range(100)] for x in "ab")
+    rows = [(1, a), (2, a), (2, b), (3, [*a, "more"]), (4, [*b, "more"]), (5, [f"c{i}" for i in range(60)]), (2, [])]
+    rows = [(k, " ".join(words)) for k, words in rows]
+    for order in (rows, rows[::-1]):
+        found.clear()
+        got = minhash.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").coalesce(1))
+        expected = [(1, 1), (2, 1), (2, 2), (2, 2), (3, 1), (4, 2), (5, 5)]
+        assert sorted((r["doc_id"], r["component_id"]) for r in got.collect()) == expected
+        assert len(found) == 4 == len(set(found))

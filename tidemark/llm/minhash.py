@@ -137,6 +137,22 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(ids, pa.binary()), pa.array(held, pa.list_(pa.int64()))], schema=schema)
 
 
+@tidy
+def _own_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The full sets of texts whose rep is known."""
+    schema = pa.schema([("rep", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+    for batch in batches:
+        held, done, size = [], 0, 0
+        for values in shingle_sets(batch.column("text")):
+            held.append(values.view(np.int64))
+            size += len(values)
+            if size > 1 << 20:
+                yield pa.record_batch([batch.column("rep").slice(done, len(held)), pa.array(held, pa.list_(pa.int64()))], schema=schema)
+                held, done, size = [], done + len(held), 0
+        if held:
+            yield pa.record_batch([batch.column("rep").slice(done), pa.array(held, pa.list_(pa.int64()))], schema=schema)
+
+
 @tidy
 def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs whose sketches agree in a share of at least ``AGREE`` of their bins, and those of small sets; not those whose sizes alone rule them out."""
@@ -206,6 +222,29 @@ def _tested(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
+def _only(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows of ``table`` whose rep is in ``rows``: while these are few, no others are shuffled by a later join."""
+    return table.join(small(stage(rows.select("rep").distinct(), "reps")), "rep", "left_semi")
+
+
+def _sets(texts: DataFrame, sketches: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The full sets of ``wanted`` (rep, set_id, doc_id), each once: (rep, shingles).
+
+    A text whose id is its own gets its rep by the id, before its set is made, so that sets are not
+    shuffled.  Texts of an id that several rows have are told apart by their sets.
+    """
+    ids = small(wanted.select("doc_id").distinct())
+    again = stage(sketches.select("doc_id").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"), "again")
+    repeated = small(again)
+    own = stage(wanted.join(repeated, "doc_id", "left_anti").select("doc_id", "rep"), "own")
+    sets = texts.join(small(own), "doc_id").select("rep", "text").mapInArrow(_own_sets, "rep long, shingles array<long>")
+    if again.isEmpty():
+        return sets
+    others = texts.join(repeated, "doc_id", "left_semi").mapInArrow(_full_sets, _SETS)
+    others = others.join(wanted.join(repeated, "doc_id", "left_semi").select("set_id", "rep"), "set_id")
+    return sets.union(others.dropDuplicates(["rep"]).select("rep", "shingles"))
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose full sets have at least ``SIMILAR`` per cent of their union in common."""
     # the side of b first: a is the centre of many pairs, and only its own set joins them all
@@ -232,7 +271,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     copies = usable.groupBy("set_id").agg(F.min("row").alias("first"), F.min("doc_id").alias("least"), F.count("*").alias("n"))
     copies = stage(copies.filter("n > 1").select("set_id", "first", "least"), "copies")
     member = sketches.join(copies, "set_id", "left").withColumn("rep", F.coalesce("first", "row")).withColumn("least", F.coalesce("least", "doc_id"))
-    reps = member.filter("rep = row and n_shingles > 0 and doc_id is not null")
+    # sketches are the bulk of a row: they are not shuffled to leave out repeats, or, if those are too many to broadcast, once
+    repeats = stage(usable.join(copies, "set_id").filter("row != first").select("row"), "repeats")
+    left_out = small(repeats)
+    reps = usable.join(left_out, "row", "left_anti").withColumnRenamed("row", "rep")
+    reps = stage(reps, "reps") if left_out is repeats else reps
 
     keyed = reps.select("rep", F.posexplode("bands").alias("band", "key"))
     buckets = stage(keyed.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).filter("n > 1"), "buckets")
@@ -244,13 +287,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = stage(stars.select("a", "b", "of_a", "of_b", "n_a", "n_b").mapInArrow(_agreeing, "a long, b long"), "stars")
     wanted = stars.select(F.col("a").alias("rep")).union(stars.select("b")).union(shared.filter("n > 2").select("rep")).distinct()
     wanted = stage(reps.join(wanted, "rep", "left_semi").select("rep", "set_id", "doc_id"), "wanted")
-    ids = small(wanted.select("doc_id").distinct())
-    sets = texts.join(ids, "doc_id", "left_semi").mapInArrow(_full_sets, _SETS)
-    sets = sets.join(wanted.select("set_id", "rep"), "set_id").select("rep", "shingles")
-    # only where ids repeat can a set come from several texts; else the sets, the bulk of what is shuffled, stay where they are
-    if sketches.join(ids, "doc_id", "left_semi").join(wanted.select("set_id"), "set_id", "left_semi").count() > wanted.count():
-        sets = sets.dropDuplicates(["rep"])
-    sets = stage(sets, "sets", large_rows=True)
+    sets = stage(_sets(texts, sketches, wanted), "sets", large_rows=True)
     links = stage(_confirmed(stars, sets), "links")
     found = components(links)
 
@@ -260,7 +297,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sizes = labelled.groupBy("key", "label").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"), F.count("*").alias("labels"))
     mixed = stage(mixed.filter("labels > 1").select("key", "main", F.ceil((F.col("n") - F.col("n_main")) / BLOCK).cast("int").alias("lefts"), F.ceil(F.col("n") / BLOCK).cast("int").alias("rights")), "mixed")
-    within = labelled.join(mixed, "key").join(reps.select("rep", "sketch", "marks", "n_shingles"), "rep")
+    within = stage(labelled.join(mixed, "key"), "within")
+    within = within.join(_only(reps.select("rep", "sketch", "marks", "n_shingles"), within), "rep")
     spread = F.xxhash64("rep")
     each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     kept = ["key", "low", "high", "left", "band", "rep", "label", "main", "sketch", "marks", "n_shingles"]
@@ -268,11 +306,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     others = within.withColumn("left", F.lit(False)).withColumn("high", F.pmod(spread, F.col("rights")).cast("int")).withColumn("low", each(F.col("lefts")))
     rest = strays.select(kept).union(others.select(kept))
     asked = stage(rest.groupBy("key", "low", "high").applyInPandas(_to_test, rest.schema), "asked")
-    more = stage(asked.join(sets, "rep").groupBy("key", "low", "high").applyInPandas(_tested, "a long, b long").distinct(), "links")
+    more = stage(asked.join(_only(sets, asked), "rep").groupBy("key", "low", "high").applyInPandas(_tested, "a long, b long").distinct(), "links")
     labels = components(links.union(more))
-    least = reps.select(F.col("rep").alias("node"), "least").join(labels, "node").groupBy("label").agg(F.min("least").alias("component"))
+    least = member.filter("rep = row and n_shingles > 0 and doc_id is not null").select(F.col("rep").alias("node"), "least").join(labels, "node").groupBy("label").agg(F.min("least").alias("component"))
     final = stage(labels.join(least, "label").select(F.col("node").alias("rep"), "component"), "components")
-    drop(sets, labelled, mixed, shared, buckets)
+    drop(sets, labelled, mixed, shared, buckets, *([reps] if left_out is repeats else []))
     out = member.select("doc_id", "n_shingles", "rep", "least").join(final, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "least"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
